@@ -20,7 +20,7 @@ NOW = datetime(2024, 1, 31, tzinfo=timezone.utc)
 CAPACITY_NOW = datetime(2001, 8, 1, tzinfo=timezone.utc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+TWINS: dict[str, tuple[str, str, dict[str, int]]] = {}
 
 
 class Lake:
@@ -95,7 +95,7 @@ def query(name: str, sql: str | None = None, columns: str = "", digits: dict[str
         run.__name__ = name
         QUERIES[name] = run
         if sql is not None:
-            ORACLES[name] = twin(sql, columns, digits)
+            TWINS[name] = (sql, columns, digits)
         return build
 
     return register
