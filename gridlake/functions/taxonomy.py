@@ -79,13 +79,17 @@ def raw_type_key(name: Column) -> Column:
     return F.lower(F.trim(name))
 
 
-def standardize_type(name: Column, taxonomy: str = "fine") -> Column:
-    """Standard name of a raw production type; NULL stays NULL."""
+def standardize_type(name: Column, taxonomy: str = "fine", key: Column | None = None) -> Column:
+    """Standard name of a raw production type; NULL stays NULL.
+
+    `key` may be a column that already holds `raw_type_key(name)`; the fine rules then do not
+    trim and lower-case the name once per rule.
+    """
     if taxonomy == "coarse":
         text = F.upper(F.trim(name))
-        return _first_match([(text.contains(key), F.lit(label)) for key, label in COARSE_TYPES], name)
+        return _first_match([(text.contains(word), F.lit(label)) for word, label in COARSE_TYPES], name)
     if taxonomy == "fine":
-        text = F.lower(F.trim(name))
+        text = raw_type_key(name) if key is None else key
         branches = [
             (reduce(Column.__and__, [text.contains(word) for word in words]), F.lit(label))
             for words, label in FINE_TYPES

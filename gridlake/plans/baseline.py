@@ -25,7 +25,13 @@ def _slots(agg: DataFrame) -> DataFrame:
 
 
 def performance_baseline(
-    agg: DataFrame, dim: DataFrame, as_of: datetime, days: int = 90, min_observations: int = 10
+    agg: DataFrame,
+    dim: DataFrame,
+    as_of: datetime,
+    days: int = 90,
+    min_observations: int = 10,
+    moderate: float = MODERATE,
+    severe: float = SEVERE,
 ) -> DataFrame:
     """Typical production per plant, half hour, weekday and season over the last `days`.
 
@@ -51,8 +57,8 @@ def performance_baseline(
     plants = dim.filter("active_flag").select("production_type_id", "energy_category", "controllability_type")
     return lookup_join(enough, plants, ("production_type_id",), "left").withColumns(
         {
-            "underperformance_threshold_moderate": below(MODERATE),
-            "underperformance_threshold_severe": below(SEVERE),
+            "underperformance_threshold_moderate": below(moderate),
+            "underperformance_threshold_severe": below(severe),
             "underperformance_threshold_quartile": F.col("baseline_p25_production"),
             "created_at": F.lit(as_of),
             "updated_at": F.lit(None).cast("timestamp"),

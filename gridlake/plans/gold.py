@@ -20,9 +20,8 @@ from gridlake.workspace import materialise
 def dim_production_type(typed: list[DataFrame], as_of: datetime, naming: str = "fine") -> DataFrame:
     """One row per plant name and country found in the given frames.
 
-    Only `production_type` and `country` are read, and deduplication does not change which of them
-    occur, so frames from before the dedup shuffle serve as well. With `naming="family"` several
-    types share one family name, and the distinct after mapping keeps one row for them.
+    Silver tables serve, and so do the `type_pairs` of bronze frames. With `naming="family"`
+    several types share one family name, and the distinct after mapping keeps one row for them.
     """
     pairs = reduce(DataFrame.unionByName, [df.select("production_type", "country") for df in typed]).distinct()
     known = pairs.filter(F.col("production_type").isNotNull())
@@ -30,8 +29,10 @@ def dim_production_type(typed: list[DataFrame], as_of: datetime, naming: str = "
         "production_type", "country", taxonomy.production_attributes(F.col("production_type")).alias("_a")
     ).select("production_type", "country", "_a.*")
     mapped = mapped.withColumnRenamed("production_plant_name", "plant_family")
-    name = F.col("plant_family" if naming == "family" else "production_type")
-    rows = mapped.withColumn("production_plant_name", name).drop("production_type").distinct()
+    if naming == "family":
+        rows = mapped.withColumn("production_plant_name", F.col("plant_family")).drop("production_type").distinct()
+    else:
+        rows = mapped.withColumnRenamed("production_type", "production_plant_name")
     rows = rows.withColumns(
         {
             "production_type_id": F.sha2(F.concat_ws("_", "production_plant_name", "country"), 256),

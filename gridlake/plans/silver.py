@@ -36,12 +36,29 @@ def _type_key(dedup_on: str) -> str:
     return {"raw": "raw_type", "standardized": "production_type"}[dedup_on]
 
 
+def _typed(bronze: DataFrame, taxonomy_name: str) -> DataFrame:
+    """Add `raw_type` and replace the type by its standard name."""
+    name, key = F.col("production_type"), F.col("raw_type")
+    keyed = bronze.withColumn("raw_type", taxonomy.raw_type_key(name))
+    return keyed.withColumn("production_type", taxonomy.standardize_type(name, taxonomy_name, key))
+
+
+def type_pairs(bronze: DataFrame, taxonomy_name: str = "fine") -> DataFrame:
+    """Standard type and country of everything found in a bronze frame.
+
+    Made distinct before the rules apply: they then see a handful of names, and the scan reads two
+    columns. Deduplication by time keeps every pair, so this equals the pairs of the silver table.
+    """
+    pairs = bronze.select("production_type", measures.normalised_country(F.col("country")).alias("country")).distinct()
+    return _typed(pairs, taxonomy_name).select("production_type", "country")
+
+
 def standardized_power(bronze: DataFrame, taxonomy_name: str = "fine") -> DataFrame:
     """Production rows under silver names, types standardised, not yet deduplicated."""
-    return bronze.select(
+    return _typed(bronze, taxonomy_name).select(
         "timestamp",
-        taxonomy.standardize_type(F.col("production_type"), taxonomy_name).alias("production_type"),
-        taxonomy.raw_type_key(F.col("production_type")).alias("raw_type"),
+        "production_type",
+        "raw_type",
         "electricity_generated",
         *timeslots.calendar(F.col("timestamp"), "year", "month", "day", "hour"),
         measures.normalised_country(F.col("country")).alias("country"),
@@ -54,10 +71,10 @@ def standardized_power(bronze: DataFrame, taxonomy_name: str = "fine") -> DataFr
 
 def standardized_capacity(bronze: DataFrame, taxonomy_name: str = "fine") -> DataFrame:
     """Capacity rows under silver names, types standardised, not yet deduplicated."""
-    return bronze.select(
+    return _typed(bronze, taxonomy_name).select(
         "timestamp",
-        taxonomy.standardize_type(F.col("production_type"), taxonomy_name).alias("production_type"),
-        taxonomy.raw_type_key(F.col("production_type")).alias("raw_type"),
+        "production_type",
+        "raw_type",
         F.col("installed_capacity").alias("installed_power"),
         *timeslots.calendar(F.col("timestamp"), "year", "month"),
         "time_period",

@@ -48,8 +48,8 @@ class Lake:
         return silver.silver_installed_power(self.capacity(), CAPACITY_NOW)
 
     def dim(self) -> DataFrame:
-        """Stored, and read from the rows before their dedup shuffle."""
-        typed = [silver.standardized_power(self.power()), silver.standardized_capacity(self.capacity())]
+        """Stored; made from the bronze pairs, which needs no dedup shuffle."""
+        typed = [silver.type_pairs(self.power()), silver.type_pairs(self.capacity())]
         return materialise(gold.dim_production_type(typed, NOW), "dim")
 
     def fact(self, dim: DataFrame, price_join: str = "hour") -> DataFrame:

@@ -34,7 +34,7 @@ STEPS["family_dim"] = dim_sql("SELECT DISTINCT t, country FROM coarse_pairs", pl
 
 @query("dim_by_family", f"SELECT *, {_DIM_EXTRA} FROM family_dim", _DIM)
 def _(lake):
-    return gold.dim_production_type([silver.standardized_power(lake.power(), "coarse")], NOW, "family")
+    return gold.dim_production_type([silver.type_pairs(lake.power(), "coarse")], NOW, "family")
 
 
 _FACT = (
@@ -67,7 +67,7 @@ _LEGACY_SLOT = f"date_trunc('hour', p.timestamp) + to_minutes({LEGACY_MARKER})"
 )
 def _(lake):
     power = silver.silver_public_power(lake.power(), NOW, taxonomy_name="coarse", dedup_on="standardized")
-    dim = gold.dim_production_type([silver.standardized_power(lake.power(), "coarse")], NOW, "family")
+    dim = gold.dim_production_type([silver.type_pairs(lake.power(), "coarse")], NOW, "family")
     return gold.fact_power(
         power, lake.silver_price(), materialise(dim, "dim"), NOW, "exact", "legacy15", "production_type_id"
     )

@@ -185,27 +185,38 @@ def _(lake):
     return rows.drop("created_at", "updated_at")
 
 
-@query(
-    "underperformance",
-    """SELECT * FROM (SELECT h.timestamp_30min, production_plant_name, h.country, d.controllability_type,
-        avg_electricity_produced AS actual_production, baseline_avg_production AS expected_production,
-        CASE WHEN avg_electricity_produced < underperformance_threshold_severe THEN 'Severe'
-          WHEN avg_electricity_produced < underperformance_threshold_moderate THEN 'Moderate' ELSE 'Normal' END AS performance_status,
-        (avg_electricity_produced - baseline_avg_production) / nullif(baseline_avg_production, 0) * 100 AS deviation_pct
-      FROM slotted h JOIN dim d USING (production_type_id)
-      JOIN base b ON h.production_type_id = b.production_type_id AND h.hour = b.hour
-        AND h.minute_interval_30 = b.minute_interval_30 AND h.day_of_week = b.day_of_week AND h.season = b.season
-      WHERE timestamp_30min >= TIMESTAMP '2024-01-31' - INTERVAL 720 HOUR) AS c
-      WHERE performance_status IN ('Severe', 'Moderate')""",
-    digits={"actual_production": 3, "expected_production": 3, "deviation_pct": 2},
-)
-def _(lake):
+_LOW_SQL = """SELECT * FROM (SELECT h.timestamp_30min, production_plant_name, h.country, d.controllability_type,
+    avg_electricity_produced AS actual_production, baseline_avg_production AS expected_production,
+    CASE WHEN avg_electricity_produced < baseline_avg_production - baseline_std_production * {severe} THEN 'Severe'
+      WHEN avg_electricity_produced < baseline_avg_production - baseline_std_production * {moderate} THEN 'Moderate'
+      ELSE 'Normal' END AS performance_status,
+    (avg_electricity_produced - baseline_avg_production) / nullif(baseline_avg_production, 0) * 100 AS deviation_pct
+  FROM slotted h JOIN dim d USING (production_type_id)
+  JOIN base b ON h.production_type_id = b.production_type_id AND h.hour = b.hour
+    AND h.minute_interval_30 = b.minute_interval_30 AND h.day_of_week = b.day_of_week AND h.season = b.season
+  WHERE timestamp_30min >= TIMESTAMP '2024-01-31' - INTERVAL 720 HOUR) AS c
+  WHERE performance_status IN ('Severe', 'Moderate')"""
+_LOW_DIGITS = {"actual_production": 3, "expected_production": 3, "deviation_pct": 2}
+
+
+def _underperformance(lake, **thresholds):
     dim = lake.dim()
     agg = lake.half_hours(dim)
-    base = baseline.performance_baseline(agg, dim, NOW, min_observations=_MIN_OBSERVATIONS)
+    base = baseline.performance_baseline(agg, dim, NOW, min_observations=_MIN_OBSERVATIONS, **thresholds)
     return baseline.underperformance(agg, base, dim, NOW, hours=720)
 
 
+@query("underperformance", _LOW_SQL.format(moderate=1.5, severe=2.0), digits=_LOW_DIGITS)
+def _(lake):
+    return _underperformance(lake)
+
+
+@query("underperformance_tight", _LOW_SQL.format(moderate=0.7, severe=1.0), digits=_LOW_DIGITS)
+def _(lake):
+    """With so few observations hardly a value is 1.5 deviations low; tighter thresholds find some."""
+    return _underperformance(lake, moderate=0.7, severe=1.0)
+
+
 @query(
     "capacity_utilisation",
     """SELECT timestamp_30min, production_plant_name AS production_type, h.country, avg_electricity_produced, installed_mw,

@@ -103,8 +103,8 @@ STEPS["power_dim"] = dim_sql("SELECT DISTINCT production_type AS t, country FROM
 )
 def _(lake):
     then = datetime(2001, 8, 1, tzinfo=timezone.utc)
-    old = gold.dim_production_type([silver.standardized_capacity(lake.capacity())], then)
-    new = gold.dim_production_type([silver.standardized_power(lake.power())], NOW)
+    old = gold.dim_production_type([silver.type_pairs(lake.capacity())], then)
+    new = gold.dim_production_type([silver.type_pairs(lake.power())], NOW)
     renamed = F.when(F.col("country") == "at", F.concat("description", F.lit(" (AT)"))).otherwise(F.col("description"))
     return merge.scd2_merge(old, new.withColumn("description", renamed), NOW)
 
