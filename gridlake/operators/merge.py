@@ -41,10 +41,11 @@ def upsert_table(
     The partition columns must follow from the keys (year and month of a key timestamp). With
     `incremental` a stored row newer than the source row survives, so late batches do no harm.
     """
-    newest = materialise(keep_latest(source, keys, *newest_first), "upsert")
+    newest = keep_latest(source, keys, *newest_first)
     if not tables.table_exists(spark, path):
         tables.overwrite_table(newest, path, partition_by)
         return
+    newest = materialise(newest, "upsert")
     touched = newest.select(*partition_by).distinct()
     stored = spark.read.schema(newest.schema).parquet(path).join(touched, list(partition_by), "left_semi")
     stored = stored.select(*newest.columns)

@@ -22,14 +22,18 @@ _VALUE_ARRAY = {"public_power": "production_types", "price": "price", "installed
 
 
 def parse_payloads(df: DataFrame, kind: str, column: str = "payload") -> DataFrame:
-    """Decode the JSON text in `column` into the arrays of `kind`; the text stays for reject reports."""
+    """Decode the JSON text in `column` into the arrays of `kind`; the text stays for reject reports.
+
+    `inline` makes the decoding a step of its own. As a plain column, a filter on its fields would
+    be pushed below it and decode every text again.
+    """
     schema = schemas.PAYLOAD[schemas.known_kind(kind)]
     decoded = F.from_json(
         F.col(column),
         f"{schema.simpleString()[:-1]},{schemas.CORRUPT}:string>",
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT},
     )
-    return df.withColumn("_decoded", decoded).select("*", "_decoded.*").drop("_decoded")
+    return df.select("*", F.inline(F.array(decoded)))
 
 
 def _filled(column: str) -> Column:

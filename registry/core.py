@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,14 +30,22 @@ class Lake:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
 
+    @cached_property
+    def events(self) -> DataFrame:
+        return staging.events(self.spark, self.dir)
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return staging.orders(self.spark, self.dir)
+
     def power(self) -> DataFrame:
-        return staging.bronze_public_power(self.spark, self.dir)
+        return staging.power_from_events(self.events)
 
     def price(self) -> DataFrame:
-        return staging.bronze_price(self.spark, self.dir)
+        return staging.price_from_events(self.events)
 
     def capacity(self) -> DataFrame:
-        return staging.bronze_installed_power(self.spark, self.dir)
+        return staging.installed_from_orders(self.orders)
 
     def silver_power(self) -> DataFrame:
         return silver.silver_public_power(self.power(), NOW)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.functions.timeslots import floor_minutes
-from gridlake.sources import landing, payloads, staging, windows
+from gridlake.sources import landing, payloads, windows
 from gridlake.workspace import scratch_path
 from registry.core import CAPACITY_NOW, NOW, STEPS, query, slot_sql
 
@@ -29,7 +29,7 @@ def _shapes(number, texts: list) -> F.Column:
 
 def _events(lake) -> DataFrame:
     ts = F.col("ts").cast("timestamp")
-    return staging.events(lake.spark, lake.dir).select(
+    return lake.events.select(
         "event_id",
         F.when(F.col("user_id") % 3 == 0, "at").otherwise("de").alias("country"),
         ts.alias("ingestion_date"),
@@ -70,7 +70,6 @@ def price_payloads(lake) -> DataFrame:
 
 
 def capacity_payloads(lake) -> DataFrame:
-    orders = staging.orders(lake.spark, lake.dir)
     ordered = F.col("o_orderdate").cast("timestamp")
     p, t = F.date_format(ordered, "MM.yyyy"), F.col("o_totalprice")
     texts = [
@@ -82,7 +81,7 @@ def capacity_payloads(lake) -> DataFrame:
         _text("{}"),
     ]
     shaped = _shapes(F.col("o_orderkey"), texts).alias("payload")
-    return orders.select("o_orderkey", F.lit("de").alias("country"), ordered.alias("ingestion_date"), shaped)
+    return lake.orders.select("o_orderkey", F.lit("de").alias("country"), ordered.alias("ingestion_date"), shaped)
 
 
 def _bronze(rows: DataFrame, kind: str) -> DataFrame:

@@ -14,7 +14,7 @@ from registry.tables import KEYS
 
 def _power(lake):
     """Production rows as a stream over the file of events."""
-    schema = staging.events(lake.spark, lake.dir).schema
+    schema = lake.events.schema
     return staging.power_from_events(jobs.table_stream(lake.spark, lake.dir, schema, only="events.parquet"))
 
 
