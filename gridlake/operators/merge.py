@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,12 @@ def insert_absent(target: DataFrame, source: DataFrame, keys: tuple[str, ...], *
     return target.unionByName(anti_join(keep_latest(source, keys, *newest_first), target, keys))
 
 
+def _one_of(folders: list, columns: tuple[str, ...]) -> Column:
+    """Whether the partition columns equal one of the given rows."""
+    matches = [reduce(Column.__and__, [F.col(c).eqNullSafe(F.lit(row[c])) for c in columns]) for row in folders]
+    return reduce(Column.__or__, matches, F.lit(False))
+
+
 def upsert_table(
     spark: SparkSession,
     path: str,
@@ -46,8 +53,10 @@ def upsert_table(
         tables.overwrite_table(newest, path, partition_by)
         return
     newest = materialise(newest, "upsert")
-    touched = newest.select(*partition_by).distinct()
-    stored = spark.read.schema(newest.schema).parquet(path).join(touched, list(partition_by), "left_semi")
+    # One short row per touched folder, far fewer than the driver lists anyway. As literals they
+    # prune the scan to just those folders.
+    touched = newest.select(*partition_by).distinct().collect()
+    stored = spark.read.schema(newest.schema).parquet(path).filter(_one_of(touched, partition_by))
     stored = stored.select(*newest.columns)
     merged = keep_latest(stored.unionByName(newest), keys, *newest_first) if incremental else upsert(stored, newest, keys, *newest_first)
     tables.overwrite_partitions(merged, path, partition_by)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridlake.functions.measures import present
@@ -203,35 +203,73 @@ def validity_counts(df: DataFrame) -> DataFrame:
 
 
 def quality_summary(df: DataFrame, measure: str = "installed_capacity") -> DataFrame:
-    """One row: rows per status, anomalies, average score, spread, coverage and load times."""
-    status = F.col("dq_check_status")
-    return df.agg(
-        F.count(F.lit(1)).alias("total_records"),
-        F.count_if(status == "VALID").alias("valid_records"),
-        F.count_if(status == "WARNING").alias("warning_records"),
-        F.count_if(status == "ERROR").alias("error_records"),
-        F.count_if("is_anomaly").alias("anomaly_records"),
-        F.avg("dq_score").alias("avg_dq_score"),
-        F.avg(measure).alias("avg_installed_capacity"),
-        F.stddev(measure).alias("stddev_installed_capacity"),
+    """One row: rows per status, anomalies, average score, spread, coverage and load times.
+
+    Rows are first combined per type, period and country. The distinct counts then run over that
+    small table; directly over the rows each of them would multiply the input.
+    """
+    status, value = F.col("dq_check_status"), present(F.col(measure)).cast("double")
+    groups = df.groupBy("production_type", "time_period", "country").agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.count_if(status == level).alias(f"_{level}") for level in ("VALID", "WARNING", "ERROR")],
+        F.count_if("is_anomaly").alias("_anomalies"),
+        F.sum("dq_score").alias("_score"),
+        F.count("dq_score").alias("_scored"),
+        F.count(value).alias("_n"),
+        F.avg(value).alias("_mean"),
+        F.var_pop(value).alias("_var"),
+        F.min("ingestion_date").alias("_first"),
+        F.max("ingestion_date").alias("_last"),
+    )
+    everything = Window.partitionBy(F.lit(0))
+    center = F.sum(F.col("_n") * F.col("_mean")).over(everything) / F.sum("_n").over(everything)
+    spread = F.sum(F.col("_n") * (F.col("_var") + F.pow(F.col("_mean") - F.col("_center"), 2)))
+    return groups.withColumn("_center", center).agg(
+        F.sum("_rows").alias("total_records"),
+        F.sum("_VALID").alias("valid_records"),
+        F.sum("_WARNING").alias("warning_records"),
+        F.sum("_ERROR").alias("error_records"),
+        F.sum("_anomalies").alias("anomaly_records"),
+        F.try_divide(F.sum("_score"), F.sum("_scored")).alias("avg_dq_score"),
+        F.first("_center").alias("avg_installed_capacity"),
+        F.sqrt(F.try_divide(spread, F.sum("_n") - 1)).alias("stddev_installed_capacity"),
         F.count_distinct("production_type").alias("unique_production_types"),
         F.count_distinct("time_period").alias("unique_time_periods"),
         F.count_distinct("country").alias("unique_countries"),
-        F.min("ingestion_date").alias("earliest_bronze_record"),
-        F.max("ingestion_date").alias("latest_bronze_record"),
+        F.min("_first").alias("earliest_bronze_record"),
+        F.max("_last").alias("latest_bronze_record"),
     )
 
 
 def silver_statistics(df: DataFrame, measure: str = "installed_capacity") -> DataFrame:
-    """One row: counts, distinct keys, time range, average and sum."""
-    return df.agg(
-        F.count(F.lit(1)).alias("total_silver_records"),
-        F.count_distinct("business_key").alias("unique_business_keys"),
-        F.count_distinct("production_type").alias("unique_production_types"),
-        F.min("timestamp").alias("earliest_timestamp"),
-        F.max("timestamp").alias("latest_timestamp"),
-        F.avg(measure).alias("avg_capacity"),
-        F.sum(measure).alias("total_capacity"),
+    """One row: counts, distinct keys, time range, average and sum.
+
+    Rows are combined per business key, which contains the type, so one shuffle serves both
+    distinct counts.
+    """
+    by_key = df.groupBy("business_key").agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.min("production_type").alias("production_type"),
+        F.min("timestamp").alias("_first"),
+        F.max("timestamp").alias("_last"),
+        F.sum(measure).alias("_sum"),
+        F.count(measure).alias("_n"),
+    )
+    return by_key.groupBy("production_type").agg(
+        F.sum("_rows").alias("_rows"),
+        F.count("business_key").alias("_keys"),
+        F.min("_first").alias("_first"),
+        F.max("_last").alias("_last"),
+        F.sum("_sum").alias("_sum"),
+        F.sum("_n").alias("_n"),
+    ).agg(
+        F.sum("_rows").alias("total_silver_records"),
+        F.sum("_keys").alias("unique_business_keys"),
+        F.count("production_type").alias("unique_production_types"),
+        F.min("_first").alias("earliest_timestamp"),
+        F.max("_last").alias("latest_timestamp"),
+        F.try_divide(F.sum("_sum"), F.sum("_n")).alias("avg_capacity"),
+        F.sum("_sum").alias("total_capacity"),
     )
 
 

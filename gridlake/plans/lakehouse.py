@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +15,15 @@ from gridlake.workspace import materialise
 
 MONTHLY = ("year", "month")
 
+TABLES = (
+    "silver_public_power",
+    "silver_price",
+    "silver_installed_power",
+    "gold_dim_production_type",
+    "gold_fact_power",
+    "gold_fact_power_30min_agg",
+)
+
 
 def build_silver(spark: SparkSession, bronze: dict[str, DataFrame], root: str, as_of: datetime, batch_id: str) -> None:
     """Upsert the three silver tables; only the months found in the bronze frames are rewritten.
@@ -27,14 +36,31 @@ def build_silver(spark: SparkSession, bronze: dict[str, DataFrame], root: str, a
         "installed_power": silver.silver_installed_power,
     }
     for kind, rows in bronze.items():
+        if rows.isEmpty():
+            continue
         frame = build[schemas.known_kind(kind)](rows, as_of, batch_id)
         merge.upsert_table(spark, f"{root}/silver_{kind}", frame, ("business_key",), MONTHLY, silver.NEWEST)
 
 
 def build_gold(
-    spark: SparkSession, root: str, as_of: datetime, price_join: str = "hour", slot_mode: str = "floor"
+    spark: SparkSession,
+    root: str,
+    as_of: datetime,
+    price_join: str = "hour",
+    slot_mode: str = "floor",
+    since: date | None = None,
 ) -> dict[str, dict]:
-    """Dimension (with history), 15-minute fact and half-hour fact; returns the counts of each write."""
+    """Dimension (with history), 15-minute fact and half-hour fact; returns the counts of each write.
+
+    `since` limits the facts to the months from that date on: only those folders are read and
+    replaced. A month that has lost all its rows keeps its old fact; leave `since` out then.
+    """
+    month = F.make_date("year", "month", F.lit(1))
+    only = None if since is None else month >= F.lit(since.replace(day=1))
+
+    def months(df: DataFrame) -> DataFrame:
+        return df if only is None else df.filter(only)
+
     power = spark.read.parquet(f"{root}/silver_public_power")
     price = spark.read.parquet(f"{root}/silver_price")
     installed = spark.read.parquet(f"{root}/silver_installed_power")
@@ -48,15 +74,24 @@ def build_gold(
     dim = spark.read.schema(schemas.DIM_PRODUCTION_TYPE).parquet(dim_path)
 
     fact_path = f"{root}/gold_fact_power"
-    fact = gold.fact_power(power, price, dim, as_of, price_join, slot_mode)
-    counts["gold_fact_power"] = tables.checked_write(
-        fact, fact_path, MONTHLY, without_price=F.count_if(F.col("electricity_price").isNull())
-    )
-    agg = gold.fact_power_30min(spark.read.parquet(fact_path), as_of)
-    counts["gold_fact_power_30min_agg"] = tables.checked_write(agg, f"{root}/gold_fact_power_30min_agg", MONTHLY)
+    fact = gold.fact_power(months(power), months(price), dim, as_of, price_join, slot_mode)
+    without_price = F.count_if(F.col("electricity_price").isNull())
+    counts["gold_fact_power"] = tables.checked_write(fact, fact_path, MONTHLY, only, without_price=without_price)
+    agg = gold.fact_power_30min(months(spark.read.parquet(fact_path)), as_of)
+    counts["gold_fact_power_30min_agg"] = tables.checked_write(agg, f"{root}/gold_fact_power_30min_agg", MONTHLY, only)
     return counts
 
 
+def publish_views(spark: SparkSession, root: str, prefix: str = "") -> list[str]:
+    """Temporary views over all tables of `root`, for SQL users; returns their names."""
+    names = []
+    for table in TABLES:
+        if tables.table_exists(spark, f"{root}/{table}"):
+            spark.read.parquet(f"{root}/{table}").createOrReplaceTempView(f"{prefix}{table}")
+            names.append(f"{prefix}{table}")
+    return names
+
+
 def report_frames(spark: SparkSession, root: str, country: str = "de") -> dict[str, DataFrame]:
     """The three standard reports over the gold tables of `root`."""
     fact = spark.read.parquet(f"{root}/gold_fact_power")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -66,11 +66,22 @@ def observed(df: DataFrame, name: str, **metrics) -> tuple[DataFrame, Observatio
     return df.observe(observation, *[c.alias(k) for k, c in columns.items()]), observation
 
 
-def checked_write(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), **metrics) -> dict:
-    """Overwrite, then compare the rows written with the rows read back (parquet footers only)."""
+def checked_write(
+    df: DataFrame, path: str, partition_by: tuple[str, ...] = (), only: Column | None = None, **metrics
+) -> dict:
+    """Overwrite, then compare the rows written with the rows read back (parquet footers only).
+
+    With `only`, a condition on the partition columns that all rows of `df` meet, just the
+    partitions in `df` are replaced and just those matching the condition are counted.
+    """
     watched, observation = observed(df, "write", **metrics)
-    overwrite_table(watched, path, partition_by)
-    found = df.sparkSession.read.parquet(path).count()
+    stored = df.sparkSession.read.schema(df.schema)
+    if only is None:
+        overwrite_table(watched, path, partition_by)
+        found = stored.parquet(path).count()
+    else:
+        overwrite_partitions(watched, path, partition_by)
+        found = stored.parquet(path).filter(only).count()
     counts = dict(observation.get)
     if found != counts["rows"]:
         raise RuntimeError(f"{path}: wrote {counts['rows']} rows but read {found}")

@@ -26,9 +26,19 @@ def workspace_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{workspace_root(spark)}/gridlake/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the workspace."""
-    return f"{workspace_root(spark)}/gridlake/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the part of the workspace that belongs to this application."""
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clean_workspace(spark: SparkSession) -> None:
+    """Delete everything this application wrote to the workspace; call it when no result is needed any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -5,7 +5,8 @@ from datetime import datetime, timezone
 from pyspark.sql import functions as F
 
 from gridlake.operators import series
-from gridlake.plans import baseline, reports
+from gridlake.plans import baseline, lakehouse, reports
+from gridlake.workspace import scratch_path
 from registry.core import NOW, STEPS, query
 
 _TREND = """SELECT f.year, f.month, f.day, d.production_plant_name AS production_type,
@@ -61,6 +62,32 @@ def _(lake):
     return reports.wind_price(lake.fact(dim), dim)
 
 
+@query(
+    "wind_price_views",
+    """SELECT f.year, f.month, f.day, d.production_plant_name AS production_type,
+      sum(electricity_produced) AS total_daily_production_mw, avg(electricity_price) AS avg_daily_price_eur_per_mwh
+      FROM fact f JOIN dim d USING (production_type_id)
+      WHERE f.country = 'at' AND d.production_plant_name IN ('Wind offshore', 'Wind onshore') GROUP BY 1, 2, 3, 4""",
+    digits={"total_daily_production_mw": 3, "avg_daily_price_eur_per_mwh": 4},
+)
+def _(lake):
+    """SQL with parameters over the published views of a stored run."""
+    root = scratch_path(lake.spark, "lakehouse")
+    bronze = {"public_power": lake.power(), "price": lake.price(), "installed_power": lake.capacity()}
+    lakehouse.run(lake.spark, bronze, root, NOW, "batch-1")
+    lakehouse.publish_views(lake.spark, root)
+    return lake.spark.sql(
+        """SELECT f.year, f.month, f.day, d.production_plant_name AS production_type,
+             sum(f.electricity_produced) AS total_daily_production_mw,
+             avg(f.electricity_price) AS avg_daily_price_eur_per_mwh
+           FROM gold_fact_power f
+           JOIN gold_dim_production_type d ON f.production_type_id = d.production_type_id AND d.active_flag
+           WHERE f.country = :country AND array_contains(:names, d.production_plant_name)
+           GROUP BY f.year, f.month, f.day, d.production_plant_name""",
+        args={"country": "at", "names": F.array(F.lit("Wind offshore"), F.lit("Wind onshore"))},
+    )
+
+
 STEPS["featured"] = """SELECT h.*, production_plant_name, energy_category, controllability_type
   FROM half_hours h JOIN dim USING (production_type_id) WHERE h.country = 'de'"""
 _FEATURES = (
