@@ -125,14 +125,15 @@ def score_b(measure: str = "installed_capacity") -> Column:
     )
 
 
-def flag_outliers(df: DataFrame, measure: str) -> DataFrame:
+def flag_outliers(df: DataFrame, measure: str, over: DataFrame | None = None) -> DataFrame:
     """Add `is_anomaly`: more than three sample deviations from the mean of the whole frame.
 
-    The two statistics are a scalar subquery: one extra scan of a single column, no collect, no
-    join. Without deviation nothing is flagged.
+    `over` may be another frame with the measure, such as the full history when `df` is only its
+    newest part. The two statistics are a scalar subquery: one extra scan of a single column, no
+    collect, no join. Without deviation nothing is flagged.
     """
     value = present(F.col(measure)).cast("double")
-    stats = df.select(value.alias("_v")).agg(
+    stats = (df if over is None else over).select(value.alias("_v")).agg(
         F.struct(F.avg("_v").alias("mean"), F.stddev("_v").alias("deviation")).alias("stats")
     )
     mean, reach = F.col("_stats.mean"), SIGMAS * F.col("_stats.deviation")

@@ -25,10 +25,18 @@ TABLES = (
 )
 
 
-def build_silver(spark: SparkSession, bronze: dict[str, DataFrame], root: str, as_of: datetime, batch_id: str) -> None:
+def build_silver(
+    spark: SparkSession,
+    bronze: dict[str, DataFrame],
+    root: str,
+    as_of: datetime,
+    batch_id: str,
+    history: dict[str, DataFrame] | None = None,
+) -> None:
     """Upsert the three silver tables; only the months found in the bronze frames are rewritten.
 
-    Pass just the new bronze rows for an incremental run. Running it again changes nothing.
+    For an incremental run pass just the new rows as `bronze` and all of them as `history`: the
+    outlier limits then come from the history. Running it again changes nothing.
     """
     build = {
         "public_power": silver.silver_public_power,
@@ -38,7 +46,7 @@ def build_silver(spark: SparkSession, bronze: dict[str, DataFrame], root: str, a
     for kind, rows in bronze.items():
         if rows.isEmpty():
             continue
-        frame = build[schemas.known_kind(kind)](rows, as_of, batch_id)
+        frame = build[schemas.known_kind(kind)](rows, as_of, batch_id, (history or {}).get(kind))
         merge.upsert_table(spark, f"{root}/silver_{kind}", frame, ("business_key",), MONTHLY, silver.NEWEST)
 
 

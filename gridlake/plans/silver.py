@@ -87,19 +87,29 @@ def standardized_capacity(bronze: DataFrame, taxonomy_name: str = "fine") -> Dat
 
 
 def silver_public_power(
-    bronze: DataFrame, as_of: datetime, batch_id: str = "batch", taxonomy_name: str = "fine", dedup_on: str = "raw"
+    bronze: DataFrame,
+    as_of: datetime,
+    batch_id: str = "batch",
+    history: DataFrame | None = None,
+    taxonomy_name: str = "fine",
+    dedup_on: str = "raw",
 ) -> DataFrame:
-    """Standardise, score, flag outliers over all rows, keep the latest per time, type and country."""
+    """Standardise, score, flag outliers, keep the latest row per time, type and country.
+
+    Outliers are measured against `history` (a bronze frame) if given, else against all of `bronze`.
+    """
     by = ("timestamp", _type_key(dedup_on), "country")
     rows = standardized_power(bronze, taxonomy_name)
     rows = quality.score_quality(rows, "public_power", "electricity_generated")
-    rows = quality.flag_outliers(rows, "electricity_generated")
+    rows = quality.flag_outliers(rows, "electricity_generated", history)
     rows = keep_latest(rows, by, *NEWEST)
     return rows.withColumns({"business_key": keys.joined_key(*map(F.col, by)), **_processing(as_of, batch_id)})
 
 
-def silver_price(bronze: DataFrame, as_of: datetime, batch_id: str = "batch") -> DataFrame:
-    """Score, flag outliers over all rows, keep the latest per time and country."""
+def silver_price(
+    bronze: DataFrame, as_of: datetime, batch_id: str = "batch", history: DataFrame | None = None
+) -> DataFrame:
+    """Score, flag outliers (see `silver_public_power`), keep the latest row per time and country."""
     by = ("timestamp", "country")
     rows = bronze.select(
         "timestamp",
@@ -114,15 +124,20 @@ def silver_price(bronze: DataFrame, as_of: datetime, batch_id: str = "batch") ->
         F.col("ingestion_date").alias("ingestion_timestamp"),
     )
     rows = quality.score_quality(rows, "price", "electricity_price")
-    rows = quality.flag_outliers(rows, "electricity_price")
+    rows = quality.flag_outliers(rows, "electricity_price", history)
     rows = keep_latest(rows, by, *NEWEST)
     return rows.withColumns({"business_key": keys.joined_key(*map(F.col, by)), **_processing(as_of, batch_id)})
 
 
 def silver_installed_power(
-    bronze: DataFrame, as_of: datetime, batch_id: str = "batch", taxonomy_name: str = "fine", dedup_on: str = "raw"
+    bronze: DataFrame,
+    as_of: datetime,
+    batch_id: str = "batch",
+    history: DataFrame | None = None,
+    taxonomy_name: str = "fine",
+    dedup_on: str = "raw",
 ) -> DataFrame:
-    """Standardise, score, keep the latest per month, type and country."""
+    """Standardise, score, keep the latest per month, type and country. No outlier flag, so no use of `history`."""
     by = ("timestamp", _type_key(dedup_on), "country")
     rows = standardized_capacity(bronze, taxonomy_name)
     rows = quality.score_quality(rows, "installed_power", "installed_power")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridlake.functions import taxonomy
 from gridlake.plans import gold, silver
 from gridlake.session import prepare
 from gridlake.sources import staging
@@ -136,29 +137,20 @@ def twin(body: str, columns: str = "", digits: dict[str, int] | None = None) ->
 # SQL text of the shared expressions -----------------------------------------------------------
 
 
+def _case(branches: list[tuple[str, str]], default: str) -> str:
+    return f"CASE {' '.join(f'WHEN {condition} THEN {result}' for condition, result in branches)} ELSE {default} END"
+
+
+def _holds(text: str, *words: str) -> str:
+    return " AND ".join(f"contains({text}, '{word}')" for word in words)
+
+
 def fine_sql(name: str) -> str:
-    n = f"lower(trim({name}))"
-    return f"""CASE WHEN {n} LIKE '%solar%' AND {n} LIKE '%gross%' THEN 'Solar gross' WHEN {n} LIKE '%solar%' THEN 'Solar'
-      WHEN {n} LIKE '%wind%' AND {n} LIKE '%onshore%' THEN 'Wind onshore'
-      WHEN {n} LIKE '%wind%' AND {n} LIKE '%offshore%' THEN 'Wind offshore' WHEN {n} LIKE '%wind%' THEN 'Wind'
-      WHEN {n} LIKE '%nuclear%' THEN 'Nuclear' WHEN {n} LIKE '%coal%' AND {n} LIKE '%brown%' THEN 'Brown coal'
-      WHEN {n} LIKE '%coal%' AND {n} LIKE '%hard%' THEN 'Hard coal' WHEN {n} LIKE '%coal%' THEN 'Coal'
-      WHEN {n} LIKE '%gas%' AND {n} LIKE '%fossil%' THEN 'Fossil gas' WHEN {n} LIKE '%gas%' THEN 'Gas'
-      WHEN {n} LIKE '%hydro%' AND {n} LIKE '%run%' THEN 'Hydro Run-of-River'
-      WHEN {n} LIKE '%hydro%' AND {n} LIKE '%reservoir%' THEN 'Hydro Reservoir' WHEN {n} LIKE '%hydro%' THEN 'Hydro'
-      WHEN {n} LIKE '%battery%' THEN 'Battery Storage (Capacity)' WHEN {n} LIKE '%biomass%' THEN 'Biomass'
-      WHEN {n} LIKE '%waste%' THEN 'Waste' WHEN {n} LIKE '%oil%' THEN 'Oil' WHEN {n} LIKE '%other%' THEN 'Other'
-      ELSE trim({name}) END"""
+    return _case([(_holds(f"lower(trim({name}))", *words), f"'{label}'") for words, label in taxonomy.FINE_TYPES], f"trim({name})")
 
 
 def coarse_sql(name: str) -> str:
-    keys = [
-        ("WIND", "Wind"), ("SOLAR", "Solar"), ("NUCLEAR", "Nuclear"), ("FOSSIL", "Fossil"), ("HYDRO", "Hydro"),
-        ("BIOMASS", "Biomass"), ("GEOTHERMAL", "Geothermal"), ("PV", "Solar PV"),
-        ("RUN_OF_RIVER", "Run of River"), ("PUMPED_STORAGE", "Pumped Storage"),
-    ]
-    cases = " ".join(f"WHEN contains(upper(trim({name})), '{k}') THEN '{v}'" for k, v in keys)
-    return f"CASE {cases} ELSE {name} END"
+    return _case([(_holds(f"upper(trim({name}))", word), f"'{label}'") for word, label in taxonomy.COARSE_TYPES], name)
 
 
 def title_sql(name: str) -> str:
@@ -167,21 +159,9 @@ def title_sql(name: str) -> str:
 
 
 def plant_sql(name: str, field: str) -> str:
-    table = {
-        "solar": ("Solar", "Renewable", "Weather_Dependent", "Photovoltaic and solar thermal power"),
-        "wind": ("Wind", "Renewable", "Weather_Dependent", "Onshore and offshore wind power"),
-        "hydro": ("Hydro", "Renewable", "Controllable", "Hydroelectric power"),
-        "nuclear": ("Nuclear", "Non-Renewable", "Controllable", "Nuclear power plants"),
-        "coal": ("Coal", "Non-Renewable", "Controllable", "Coal-fired power plants"),
-        "gas": ("Fossil Gas", "Non-Renewable", "Controllable", "Gas-fired power plants"),
-        "biomass": ("Biomass", "Renewable", "Controllable", "Biomass and biogas plants"),
-        "oil": ("Oil", "Non-Renewable", "Controllable", "Oil-fired power plants"),
-        "battery": ("Battery Storage", "Renewable", "Mixed", "Battery energy storage systems"),
-    }
-    at = {"name": 0, "category": 1, "controllability": 2, "description": 3}[field]
-    other = [title_sql(name), "'Mixed'", "'Mixed'", "'Other or unknown type'"][at]
-    cases = " ".join(f"WHEN contains(lower({name}), '{word}') THEN '{values[at]}'" for word, values in table.items())
-    return f"CASE {cases} ELSE {other} END"
+    at = ("name", "category", "controllability", "description").index(field)
+    other = [title_sql(name), *[f"'{value}'" for value in taxonomy.OTHER_PLANT]][at]
+    return _case([(_holds(f"lower({name})", word), f"'{values[at]}'") for word, *values in taxonomy.PLANT_ATTRIBUTES], other)
 
 
 def slot_sql(ts: str, minutes: int = 30) -> str:

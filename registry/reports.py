@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gridlake.operators import series
 from gridlake.plans import baseline, lakehouse, reports
-from gridlake.workspace import scratch_path
+from gridlake.workspace import materialise, scratch_path
 from registry.core import NOW, STEPS, query
 
 _TREND = """SELECT f.year, f.month, f.day, d.production_plant_name AS production_type,
@@ -25,12 +25,9 @@ def _(lake):
     """The same report as parameterised SQL over frames."""
     dim = lake.dim()
     return lake.spark.sql(
-        """SELECT f.year, f.month, f.day, d.production_plant_name AS production_type,
-             sum(f.electricity_produced) AS total_daily_production
-           FROM {fact} f JOIN {dim} d ON f.production_type_id = d.production_type_id
-           WHERE f.country = :country AND d.active_flag
-           GROUP BY f.year, f.month, f.day, d.production_plant_name
-           ORDER BY f.year, f.month, f.day, d.production_plant_name""",
+        """WITH plants AS (SELECT production_type_id, production_plant_name AS production_type FROM {dim} WHERE active_flag)
+           SELECT year, month, day, production_type, sum(electricity_produced) AS total_daily_production
+           FROM {fact} JOIN plants USING (production_type_id) WHERE country = :country GROUP BY ALL ORDER BY ALL""",
         args={"country": "de"},
         fact=lake.fact(dim),
         dim=dim,
@@ -77,13 +74,12 @@ def _(lake):
     lakehouse.run(lake.spark, bronze, root, NOW, "batch-1")
     lakehouse.publish_views(lake.spark, root)
     return lake.spark.sql(
-        """SELECT f.year, f.month, f.day, d.production_plant_name AS production_type,
-             sum(f.electricity_produced) AS total_daily_production_mw,
-             avg(f.electricity_price) AS avg_daily_price_eur_per_mwh
-           FROM gold_fact_power f
-           JOIN gold_dim_production_type d ON f.production_type_id = d.production_type_id AND d.active_flag
-           WHERE f.country = :country AND array_contains(:names, d.production_plant_name)
-           GROUP BY f.year, f.month, f.day, d.production_plant_name""",
+        """WITH plants AS (
+             SELECT production_type_id, production_plant_name AS production_type FROM gold_dim_production_type
+             WHERE active_flag AND array_contains(:names, production_plant_name))
+           SELECT year, month, day, production_type, sum(electricity_produced) AS total_daily_production_mw,
+             avg(electricity_price) AS avg_daily_price_eur_per_mwh
+           FROM gold_fact_power JOIN plants USING (production_type_id) WHERE country = :country GROUP BY ALL""",
         args={"country": "at", "names": F.array(F.lit("Wind offshore"), F.lit("Wind onshore"))},
     )
 
@@ -228,7 +224,7 @@ _LOW_DIGITS = {"actual_production": 3, "expected_production": 3, "deviation_pct"
 
 def _underperformance(lake, **thresholds):
     dim = lake.dim()
-    agg = lake.half_hours(dim)
+    agg = materialise(lake.half_hours(dim), "half_hours")
     base = baseline.performance_baseline(agg, dim, NOW, min_observations=_MIN_OBSERVATIONS, **thresholds)
     return baseline.underperformance(agg, base, dim, NOW, hours=720)
 

@@ -27,19 +27,17 @@ def _(lake):
     return quality.score_quality(lake.capacity(), "installed_power", "installed_capacity").select(*_SCORES.split())
 
 
-STEPS["status_a"] = r"""SELECT *,
-    CASE WHEN record_id IS NULL OR record_id = '' OR time_period IS NULL OR time_period = '' OR production_type IS NULL
-        OR production_type = '' OR installed_capacity IS NULL OR installed_capacity < 0 OR country IS NULL OR country = ''
-        THEN 'ERROR'
-      WHEN NOT regexp_matches(time_period, '^[0-9]{2}\.[0-9]{4}$') OR installed_capacity = 0
-        OR length(production_type) > 100 THEN 'WARNING' ELSE 'VALID' END AS dq_check_status,
-    CAST(CASE WHEN record_id IS NULL OR time_period IS NULL OR production_type IS NULL OR installed_capacity IS NULL
-        OR country IS NULL THEN 1
-      WHEN installed_capacity < 0 OR NOT regexp_matches(time_period, '^[0-9]{2}\.[0-9]{4}$') THEN 2
-      WHEN installed_capacity = 0 OR length(production_type) > 100 THEN 3
-      WHEN record_id <> '' AND time_period <> '' AND production_type <> '' AND installed_capacity > 0 AND country <> '' THEN 5
-      ELSE 4 END AS INTEGER) AS dq_score
+_KEY_COLUMNS = ("record_id", "time_period", "production_type", "country")
+_NO_KEY = " OR ".join(f"{c} IS NULL" for c in _KEY_COLUMNS)
+_BLANK_KEY = " OR ".join(f"coalesce({c}, '') = ''" for c in _KEY_COLUMNS)
+STEPS["judged_a"] = rf"""SELECT *, installed_capacity AS x, {_NO_KEY} AS no_key, {_BLANK_KEY} AS blank_key,
+    NOT regexp_matches(time_period, '^\d\d\.\d\d\d\d$') AS odd_period, length(production_type) > 100 AS long_name
   FROM b_capacity"""
+STEPS["status_a"] = """SELECT * EXCLUDE (x, no_key, blank_key, odd_period, long_name),
+    CASE WHEN blank_key OR x IS NULL OR x < 0 THEN 'ERROR' WHEN odd_period OR x = 0 OR long_name THEN 'WARNING'
+      ELSE 'VALID' END AS dq_check_status,
+    CAST(CASE WHEN no_key OR x IS NULL THEN 1 WHEN x < 0 OR odd_period THEN 2 WHEN x = 0 OR long_name THEN 3
+      WHEN NOT blank_key THEN 5 ELSE 4 END AS INTEGER) AS dq_score FROM judged_a"""
 
 
 @query("dq_status_a", "SELECT record_id, dq_check_status, dq_score FROM status_a")
@@ -51,26 +49,20 @@ def _(lake):
 
 STEPS["normal_capacity"] = f"""SELECT * REPLACE ({fine_sql('production_type')} AS production_type,
     lower(trim(country)) AS country) FROM b_capacity"""
-STEPS["pair_stats"] = """SELECT production_type, country, avg(installed_capacity) AS a, stddev_samp(installed_capacity) AS s,
-    quantile_cont(installed_capacity, 0.25) AS q1, quantile_cont(installed_capacity, 0.75) AS q3
-  FROM normal_capacity GROUP BY 1, 2"""
-STEPS["status_b"] = """SELECT b.*,
-    coalesce(installed_capacity < q1 - 1.5 * (q3 - q1) OR installed_capacity > q3 + 1.5 * (q3 - q1), false)
-      OR coalesce(s > 0 AND abs(installed_capacity - a) / s > 3, false) AS is_anomaly,
-    CASE WHEN installed_capacity IS NULL OR installed_capacity < 0 THEN 'ERROR'
-      WHEN time_period IS NULL OR b.production_type IS NULL OR b.country IS NULL THEN 'ERROR'
-      WHEN length(trim(time_period)) = 0 OR length(trim(b.production_type)) = 0 THEN 'ERROR'
-      WHEN installed_capacity = 0 AND b.production_type NOT LIKE '%Storage%' THEN 'WARNING'
-      WHEN installed_capacity > 100000 THEN 'WARNING'
-      WHEN installed_capacity < q1 - 1.5 * (q3 - q1) OR installed_capacity > q3 + 1.5 * (q3 - q1) THEN 'WARNING'
-      ELSE 'VALID' END AS dq_check_status,
-    CAST(CASE WHEN installed_capacity IS NULL OR installed_capacity < 0 THEN 1
-      WHEN time_period IS NULL OR b.production_type IS NULL THEN 1
-      WHEN installed_capacity = 0 AND b.production_type NOT LIKE '%Storage%' THEN 2
-      WHEN installed_capacity > 100000 THEN 2
-      WHEN installed_capacity < q1 - 1.5 * (q3 - q1) OR installed_capacity > q3 + 1.5 * (q3 - q1) THEN 3
-      WHEN s > 0 AND abs(installed_capacity - a) / s < 1 THEN 5 ELSE 4 END AS INTEGER) AS dq_score
+STEPS["pair_stats"] = """SELECT *, q1 - 1.5 * (q3 - q1) AS lowest, q3 + 1.5 * (q3 - q1) AS highest FROM (
+    SELECT production_type, country, avg(installed_capacity) AS a, stddev_samp(installed_capacity) AS s,
+      quantile_cont(installed_capacity, 0.25) AS q1, quantile_cont(installed_capacity, 0.75) AS q3
+    FROM normal_capacity GROUP BY ALL) AS g"""
+STEPS["judged_b"] = """SELECT b.*, installed_capacity AS x, abs(installed_capacity - a) / nullif(s, 0) AS z,
+    coalesce(installed_capacity < lowest OR installed_capacity > highest, false) AS outside,
+    installed_capacity = 0 AND NOT contains(b.production_type, 'Storage') AS idle
   FROM normal_capacity b LEFT JOIN pair_stats p ON b.production_type = p.production_type AND b.country = p.country"""
+STEPS["status_b"] = """SELECT * EXCLUDE (x, z, outside, idle), outside OR coalesce(z > 3, false) AS is_anomaly,
+    CASE WHEN x IS NULL OR x < 0 OR coalesce(trim(time_period), '') = '' OR coalesce(trim(production_type), '') = ''
+        OR country IS NULL THEN 'ERROR'
+      WHEN idle OR x > 100000 OR outside THEN 'WARNING' ELSE 'VALID' END AS dq_check_status,
+    CAST(CASE WHEN x IS NULL OR x < 0 OR time_period IS NULL OR production_type IS NULL THEN 1
+      WHEN idle OR x > 100000 THEN 2 WHEN outside THEN 3 WHEN z < 1 THEN 5 ELSE 4 END AS INTEGER) AS dq_score FROM judged_b"""
 
 
 @query("dq_status_b", "SELECT record_id, dq_check_status, dq_score FROM status_b")
@@ -84,13 +76,12 @@ def _(lake):
     return quality.flag_outliers(lake.power(), "electricity_generated").select("record_id", "is_anomaly")
 
 
-STEPS["type_flags"] = """SELECT *, coalesce(abs(installed_capacity - avg(installed_capacity) OVER w)
-      > 3 * stddev_samp(installed_capacity) OVER w, false)
-    OR coalesce(installed_capacity < quantile_cont(installed_capacity, 0.25) OVER w - 1.5 *
-      (quantile_cont(installed_capacity, 0.75) OVER w - quantile_cont(installed_capacity, 0.25) OVER w), false)
-    OR coalesce(installed_capacity > quantile_cont(installed_capacity, 0.75) OVER w + 1.5 *
-      (quantile_cont(installed_capacity, 0.75) OVER w - quantile_cont(installed_capacity, 0.25) OVER w), false) AS is_anomaly
-  FROM b_capacity WINDOW w AS (PARTITION BY production_type)"""
+STEPS["type_flags"] = """SELECT * EXCLUDE (a, s, q1, q3), coalesce(abs(installed_capacity - a) > 3 * s, false)
+    OR coalesce(installed_capacity < q1 - 1.5 * (q3 - q1), false)
+    OR coalesce(installed_capacity > q3 + 1.5 * (q3 - q1), false) AS is_anomaly
+  FROM (SELECT *, avg(installed_capacity) OVER w AS a, stddev_samp(installed_capacity) OVER w AS s,
+      quantile_cont(installed_capacity, 0.25) OVER w AS q1, quantile_cont(installed_capacity, 0.75) OVER w AS q3
+    FROM b_capacity WINDOW w AS (PARTITION BY production_type)) AS k"""
 
 
 @query("anomaly_by_type", "SELECT record_id, is_anomaly FROM type_flags")

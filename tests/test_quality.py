@@ -42,6 +42,12 @@ def test_outlier_and_missing(spark):
     assert [r.id for r in got if r.is_anomaly] == [60]
 
 
+def test_outliers_against_a_history(spark):
+    history = _power(spark, [1.0, 2.0, 3.0] * 20)
+    flagged = quality.flag_outliers(_power(spark, [50.0, 51.0, 2.0]), "x", history)
+    assert sorted(r.id for r in flagged.filter("is_anomaly").collect()) == [0, 1]
+
+
 def test_group_outliers_with_null_group(spark):
     df = _power(spark, [1.0, 2.0, 3.0, 2.0, 500.0]).withColumn("production_type", F.lit(None).cast("string"))
     flagged = quality.flag_group_outliers(df, ("production_type",), "x")
