@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from gridlake.functions.measures import present
 from gridlake.workspace import materialise
 
-# First cells: this many per power of two, i.e. relative width below 0.1 %.
-CELLS_PER_OCTAVE = 1024
+# First cells: this many per power of two, i.e. a relative width of 0.3 %.
+CELLS_PER_OCTAVE = 256
 # Later cells: this many equal parts of the range of a first cell.
 CELLS_PER_STEP = 1 << 20
 # A cell with no more rows than this is resolved by its distinct values.

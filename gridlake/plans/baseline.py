@@ -40,7 +40,7 @@ def performance_baseline(
     """
     produced = F.col("avg_electricity_produced")
     midnight = as_of.replace(hour=0, minute=0, second=0, microsecond=0)
-    history = _slots(recent(agg, midnight, "timestamp_30min", days=days))
+    history = _slots(recent(agg, midnight, "timestamp_30min", by_month=True, days=days))
     grouped = history.groupBy(*SLOT_KEYS).agg(
         F.avg(produced).alias("baseline_avg_production"),
         F.percentile(produced, F.lit(0.5)).alias("baseline_median_production"),
@@ -75,7 +75,7 @@ def underperformance(
     hour would meet all of its weekdays.
     """
     plants = dim.filter("active_flag").select("production_type_id", "production_plant_name", "controllability_type")
-    now = lookup_join(_slots(recent(agg, as_of, "timestamp_30min", hours=hours)), plants, ("production_type_id",), "inner")
+    now = lookup_join(_slots(recent(agg, as_of, "timestamp_30min", by_month=True, hours=hours)), plants, ("production_type_id",), "inner")
     expected = baseline.select(
         *SLOT_KEYS,
         "baseline_avg_production",

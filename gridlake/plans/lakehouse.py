@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from gridlake import schemas
 from gridlake.operators import merge
 from gridlake.plans import gold, reports, silver
+from gridlake.session import size_shuffles
 from gridlake.sources import tables
+from gridlake.sources.windows import in_months_from
 from gridlake.workspace import materialise
 
 MONTHLY = ("year", "month")
@@ -60,11 +62,13 @@ def build_gold(
 ) -> dict[str, dict]:
     """Dimension (with history), 15-minute fact and half-hour fact; returns the counts of each write.
 
+    The fact is silver plus two lookups: with small lookup tables its rows are not shuffled at all.
+
     `since` limits the facts to the months from that date on: only those folders are read and
     replaced. A month that has lost all its rows keeps its old fact; leave `since` out then.
     """
-    month = F.make_date("year", "month", F.lit(1))
-    only = None if since is None else month >= F.lit(since.replace(day=1))
+    size_shuffles(spark, tables.folder_bytes(spark, *[f"{root}/{t}" for t in TABLES[:3]]))
+    only = None if since is None else in_months_from(since)
 
     def months(df: DataFrame) -> DataFrame:
         return df if only is None else df.filter(only)
@@ -74,8 +78,10 @@ def build_gold(
     installed = spark.read.parquet(f"{root}/silver_installed_power")
 
     dim_path = f"{root}/gold_dim_production_type"
-    incoming = gold.dim_production_type([power, installed], as_of)
-    if tables.table_exists(spark, dim_path):
+    known = tables.table_exists(spark, dim_path)
+    # History keeps what no longer arrives, so an update only needs the types of the new months.
+    incoming = gold.dim_production_type([months(power) if known else power, installed], as_of)
+    if known:
         stored = spark.read.schema(schemas.DIM_PRODUCTION_TYPE).parquet(dim_path)
         incoming = materialise(merge.scd2_merge(stored, incoming, as_of), "dim")
     counts = {"gold_dim_production_type": tables.checked_write(incoming, dim_path)}
@@ -84,7 +90,9 @@ def build_gold(
     fact_path = f"{root}/gold_fact_power"
     fact = gold.fact_power(months(power), months(price), dim, as_of, price_join, slot_mode)
     without_price = F.count_if(F.col("electricity_price").isNull())
-    counts["gold_fact_power"] = tables.checked_write(fact, fact_path, MONTHLY, only, without_price=without_price)
+    counts["gold_fact_power"] = tables.checked_write(
+        fact, fact_path, MONTHLY, only, rebalance=False, without_price=without_price
+    )
     agg = gold.fact_power_30min(months(spark.read.parquet(fact_path)), as_of)
     counts["gold_fact_power_30min_agg"] = tables.checked_write(agg, f"{root}/gold_fact_power_30min_agg", MONTHLY, only)
     return counts

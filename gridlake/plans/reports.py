@@ -84,7 +84,7 @@ def underperformance_features(
 
 def daily_growth(fact: DataFrame, dim: DataFrame, as_of: datetime, days: int = 30) -> DataFrame:
     """Daily production and price per plant name with the production of the previous day on record."""
-    rows = _with_dim(recent(fact, as_of, "timestamp", days=days), dim, "production_plant_name", "energy_category")
+    rows = _with_dim(recent(fact, as_of, "timestamp", by_month=True, days=days), dim, "production_plant_name", "energy_category")
     daily = rows.groupBy(
         F.to_date("timestamp").alias("production_date"), "production_plant_name", "energy_category"
     ).agg(

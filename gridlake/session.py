@@ -39,3 +39,17 @@ def build_session(app: str = "gridlake", master: str | None = None, **settings:
     for key, value in {**RUNTIME, **STATIC, **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def size_shuffles(spark: SparkSession, stored_bytes: int, expansion: int = 4, target: int = 256 << 20) -> int:
+    """Raise the shuffle partition count so that a shuffle of the given tables spills little.
+
+    AQE can merge partitions that turn out small, but it cannot make more than were planned, and
+    the default of 200 would put hundreds of gigabytes into one. Stored data grows when it is
+    decompressed, hence `expansion`. A larger configured count is kept.
+    """
+    wanted = min(stored_bytes * expansion // target + 1, 100_000)
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if wanted > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return max(wanted, current)

@@ -33,14 +33,19 @@ def ingest(
 ) -> dict:
     """Validate, flatten and append one landing folder; rejects go next to the bronze table.
 
-    Returns the row counts of the write. Both writes read the landing files once each: the
-    payloads are small next to their rows and nothing has to be cached.
+    Returns the counts of the write. The rejects are counted on the way, so a folder without any
+    is read and parsed only once.
     """
-    good, rejects = payloads.validate_payloads(read_landing(spark, landing_dir, kind), kind)
-    rows = payloads.to_bronze(good, kind, batch_id, as_of=as_of)
+    checked = payloads.check_payloads(read_landing(spark, landing_dir, kind), kind)
+    checked, seen = tables.observed(checked, f"check_{kind}", rejects=F.count_if(F.col("reject_reason").isNotNull()))
+    rows = payloads.to_bronze(payloads.usable(checked), kind, batch_id, as_of=as_of)
     measure = F.col(schemas.MEASURE[kind])
-    watched, counts = tables.observed(rows, f"ingest_{kind}", missing=F.count_if(measure.isNull()))
-    tables.append_table(watched, bronze_path)
-    stamped = rejects.withColumns({"ingestion_batch_id": F.lit(batch_id), "rejected_at": F.lit(as_of)})
-    tables.append_table(stamped, f"{bronze_path.rstrip('/')}_rejects")
-    return dict(counts.get)
+    rows, written = tables.observed(rows, f"ingest_{kind}", missing=F.count_if(measure.isNull()))
+    tables.append_table(rows, bronze_path)
+    rejects = seen.get["rejects"]
+    if rejects:
+        stamped = payloads.rejected(payloads.check_payloads(read_landing(spark, landing_dir, kind), kind)).withColumns(
+            {"ingestion_batch_id": F.lit(batch_id), "rejected_at": F.lit(as_of)}
+        )
+        tables.append_table(stamped, f"{bronze_path.rstrip('/')}_rejects")
+    return {**written.get, "rejects": rejects}

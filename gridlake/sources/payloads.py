@@ -55,11 +55,23 @@ def reject_reason(kind: str, columns: list[str]) -> Column:
     return reason
 
 
+def check_payloads(df: DataFrame, kind: str) -> DataFrame:
+    """Add `reject_reason`."""
+    return df.withColumn("reject_reason", reject_reason(kind, df.columns))
+
+
+def usable(checked: DataFrame) -> DataFrame:
+    return checked.filter(F.col("reject_reason").isNull()).drop("reject_reason", schemas.CORRUPT)
+
+
+def rejected(checked: DataFrame) -> DataFrame:
+    return checked.filter(F.col("reject_reason").isNotNull())
+
+
 def validate_payloads(df: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
     """Usable payloads, and the rest with a `reject_reason`."""
-    checked = df.withColumn("reject_reason", reject_reason(kind, df.columns))
-    good = checked.filter(F.col("reject_reason").isNull()).drop("reject_reason", schemas.CORRUPT)
-    return good, checked.filter(F.col("reject_reason").isNotNull())
+    checked = check_payloads(df, kind)
+    return usable(checked), rejected(checked)
 
 
 def zip_shortest(*columns: Column) -> Column:

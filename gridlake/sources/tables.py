@@ -25,10 +25,22 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
-def _writer(df: DataFrame, mode: str, partition_by: tuple[str, ...]):
+def folder_bytes(spark: SparkSession, *paths: str) -> int:
+    """Bytes stored below the paths that exist."""
+    total = 0
+    for path in paths:
+        if table_exists(spark, path):
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+            total += files.getContentSummary(folder).getLength()
+    return total
+
+
+def _writer(df: DataFrame, mode: str, partition_by: tuple[str, ...], rebalance: bool = True):
     """Rows of one partition value are spread over as many tasks as their size needs (rebalance
-    splits hot values), so neither a flood of small files nor one giant task comes out."""
-    if partition_by:
+    splits hot values), so neither a flood of small files nor one giant task comes out. Rows that
+    were read from a table of the same partitions lie right already and need no such shuffle."""
+    if partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).option("compression", "snappy")
     return writer.partitionBy(*partition_by) if partition_by else writer
@@ -39,14 +51,14 @@ def append_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -
     _writer(df, "append", partition_by).parquet(path)
 
 
-def overwrite_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
+def overwrite_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), rebalance: bool = True) -> None:
     """Replace the whole table."""
-    _writer(df, "overwrite", partition_by).option("partitionOverwriteMode", "static").parquet(path)
+    _writer(df, "overwrite", partition_by, rebalance).option("partitionOverwriteMode", "static").parquet(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...]) -> None:
+def overwrite_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...], rebalance: bool = True) -> None:
     """Replace only the partitions that occur in `df`."""
-    _writer(df, "overwrite", partition_by).option("partitionOverwriteMode", "dynamic").parquet(path)
+    _writer(df, "overwrite", partition_by, rebalance).option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def save_as_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> None:
@@ -67,7 +79,12 @@ def observed(df: DataFrame, name: str, **metrics) -> tuple[DataFrame, Observatio
 
 
 def checked_write(
-    df: DataFrame, path: str, partition_by: tuple[str, ...] = (), only: Column | None = None, **metrics
+    df: DataFrame,
+    path: str,
+    partition_by: tuple[str, ...] = (),
+    only: Column | None = None,
+    rebalance: bool = True,
+    **metrics: Column,
 ) -> dict:
     """Overwrite, then compare the rows written with the rows read back (parquet footers only).
 
@@ -77,10 +94,10 @@ def checked_write(
     watched, observation = observed(df, "write", **metrics)
     stored = df.sparkSession.read.schema(df.schema)
     if only is None:
-        overwrite_table(watched, path, partition_by)
+        overwrite_table(watched, path, partition_by, rebalance)
         found = stored.parquet(path).count()
     else:
-        overwrite_partitions(watched, path, partition_by)
+        overwrite_partitions(watched, path, partition_by, rebalance)
         found = stored.parquet(path).filter(only).count()
     counts = dict(observation.get)
     if found != counts["rows"]:

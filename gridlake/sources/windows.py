@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake.functions import timeslots
@@ -64,9 +64,20 @@ def previous_day(df: DataFrame, as_of: datetime, ts: str = "timestamp") -> DataF
     return df.filter((F.col(ts) >= F.lit(midnight - timedelta(days=1))) & (F.col(ts) < F.lit(midnight)))
 
 
-def recent(df: DataFrame, as_of: datetime, ts: str, **span: int) -> DataFrame:
-    """Rows not older than `span` (arguments of timedelta) before `as_of`."""
-    return df.filter(F.col(ts) >= F.lit(as_of - timedelta(**span)))
+def in_months_from(day: date) -> Column:
+    """Condition on the partition columns `year` and `month`: the month of `day` or a later one."""
+    return F.make_date("year", "month", F.lit(1)) >= F.lit(day.replace(day=1))
+
+
+def recent(df: DataFrame, as_of: datetime, ts: str, by_month: bool = False, **span: int) -> DataFrame:
+    """Rows not older than `span` (arguments of timedelta) before `as_of`.
+
+    `by_month` says that the columns `year` and `month`, if there, belong to `ts`; a table
+    partitioned by them then skips all older folders.
+    """
+    start = as_of - timedelta(**span)
+    rows = df.filter(F.col(ts) >= F.lit(start))
+    return rows.filter(in_months_from(start.date())) if by_month and {"year", "month"} <= set(df.columns) else rows
 
 
 def first_rows(df: DataFrame, n: int, *order: str) -> DataFrame:

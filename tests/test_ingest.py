@@ -109,7 +109,7 @@ def test_ingest_appends_and_reports(spark, folder):
     spark.createDataFrame([(line,) for line in lines], "value string").write.text(source)
     for batch in ("b1", "b2"):
         counts = landing.ingest(spark, source, "public_power", target, batch, utc(2024, 1, 2))
-        assert counts == {"rows": 2, "missing": 1}
+        assert counts == {"rows": 2, "missing": 1, "rejects": 2}
     stored = spark.read.parquet(target)
     assert stored.count() == 4 and stored.select("record_id").distinct().count() == 4
     assert stored.filter("ingestion_date is null").isEmpty()

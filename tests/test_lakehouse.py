@@ -108,6 +108,43 @@ def test_partition_and_column_pruning(spark, lake):
     assert "ReadSchema: struct<electricity_produced:double,country:string>" in plan
 
 
+def test_recent_skips_old_folders(spark, lake):
+    from gridlake.sources.windows import recent
+
+    stored = spark.read.parquet(f"{lake[0]}/gold_fact_power")
+    plan = recent(stored, NOW, "timestamp", by_month=True, days=3)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and "make_date(year" in plan
+    assert recent(stored, NOW, "timestamp", by_month=True, days=3).count() == recent(stored, NOW, "timestamp", days=3).count()
+
+
+def test_fact_is_built_without_shuffling_rows(spark, lake):
+    root = lake[0]
+    power, price = spark.read.parquet(f"{root}/silver_public_power"), spark.read.parquet(f"{root}/silver_price")
+    dim = spark.read.parquet(f"{root}/gold_dim_production_type")
+    plan = gold.fact_power(power, price, dim, NOW)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and "Exchange hashpartitioning" not in plan
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = gold.fact_power(power, price, dim, NOW)
+        assert "BroadcastHashJoin" not in shuffled._jdf.queryExecution().executedPlan().toString()
+        assert rows(shuffled) == rows(spark.read.parquet(f"{root}/gold_fact_power").select(*shuffled.columns))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64m")
+
+
+def test_shuffle_size(spark):
+    from gridlake.session import size_shuffles
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(spark, 1000) == int(before)
+        assert size_shuffles(spark, 10 << 40) == 100_000 and size_shuffles(spark, 1 << 40) == 100_000
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        assert size_shuffles(spark, 1 << 40) == 16_385
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def _power(spark, *minutes):
     data = [(f"2024-03-01 10:{m:02d}:00", 1.0) for m in minutes]
     return spark.createDataFrame(data, "t string, electricity_generated double").select(

@@ -108,7 +108,7 @@ def test_statistics_without_broadcast(spark):
     try:
         assert rows(quality.flag_group_outliers(df, ("production_type",), "x"), "id", "is_anomaly") == normal
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64m")
 
 
 def test_keep_latest(spark):
