@@ -53,37 +53,51 @@ def type_pairs(bronze: DataFrame, taxonomy_name: str = "fine") -> DataFrame:
     return _typed(pairs, taxonomy_name).select("production_type", "country")
 
 
-def standardized_power(bronze: DataFrame, taxonomy_name: str = "fine") -> DataFrame:
-    """Production rows under silver names, types standardised, not yet deduplicated."""
-    return _typed(bronze, taxonomy_name).select(
+def _keyed(bronze: DataFrame, *columns: str) -> DataFrame:
+    """The bronze columns silver is made of, with the raw type key. Narrow on purpose: this is what
+    the dedup sorts and shuffles, everything derived is added to the surviving rows."""
+    return bronze.select(
         "timestamp",
         "production_type",
-        "raw_type",
-        "electricity_generated",
-        *timeslots.calendar(F.col("timestamp"), "year", "month", "day", "hour"),
+        taxonomy.raw_type_key(F.col("production_type")).alias("raw_type"),
+        *columns,
         measures.normalised_country(F.col("country")).alias("country"),
-        F.lit(POWER_UNIT).alias("unit"),
         "source_system",
         F.col("record_id").alias("bronze_record_id"),
         F.col("ingestion_date").alias("ingestion_timestamp"),
     )
 
 
+def _standard(rows: DataFrame, taxonomy_name: str) -> DataFrame:
+    standard = taxonomy.standardize_type(F.col("production_type"), taxonomy_name, F.col("raw_type"))
+    return rows.withColumn("production_type", standard)
+
+
+def _latest(rows: DataFrame, taxonomy_name: str, dedup_on: str) -> tuple[DataFrame, tuple[str, ...]]:
+    """Newest row per time, type and country with the standard type, and the key columns."""
+    by = ("timestamp", _type_key(dedup_on), "country")
+    if dedup_on == "raw":
+        return _standard(keep_latest(rows, by, *NEWEST), taxonomy_name), by
+    return keep_latest(_standard(rows, taxonomy_name), by, *NEWEST), by
+
+
+def _power_columns(rows: DataFrame) -> DataFrame:
+    return rows.select("*", *timeslots.calendar(F.col("timestamp"), "year", "month", "day", "hour"), F.lit(POWER_UNIT).alias("unit"))
+
+
+def _capacity_columns(rows: DataFrame) -> DataFrame:
+    return rows.select("*", *timeslots.calendar(F.col("timestamp"), "year", "month"), F.lit(CAPACITY_UNIT).alias("unit"))
+
+
+def standardized_power(bronze: DataFrame, taxonomy_name: str = "fine") -> DataFrame:
+    """Production rows under silver names, types standardised, not deduplicated."""
+    return _power_columns(_standard(_keyed(bronze, "electricity_generated"), taxonomy_name))
+
+
 def standardized_capacity(bronze: DataFrame, taxonomy_name: str = "fine") -> DataFrame:
-    """Capacity rows under silver names, types standardised, not yet deduplicated."""
-    return _typed(bronze, taxonomy_name).select(
-        "timestamp",
-        "production_type",
-        "raw_type",
-        F.col("installed_capacity").alias("installed_power"),
-        *timeslots.calendar(F.col("timestamp"), "year", "month"),
-        "time_period",
-        measures.normalised_country(F.col("country")).alias("country"),
-        F.lit(CAPACITY_UNIT).alias("unit"),
-        "source_system",
-        F.col("record_id").alias("bronze_record_id"),
-        F.col("ingestion_date").alias("ingestion_timestamp"),
-    )
+    """Capacity rows under silver names, types standardised, not deduplicated."""
+    rows = _keyed(bronze, "installed_capacity", "time_period").withColumnRenamed("installed_capacity", "installed_power")
+    return _capacity_columns(_standard(rows, taxonomy_name))
 
 
 def silver_public_power(
@@ -98,11 +112,9 @@ def silver_public_power(
 
     Outliers are measured against `history` (a bronze frame) if given, else against all of `bronze`.
     """
-    by = ("timestamp", _type_key(dedup_on), "country")
-    rows = standardized_power(bronze, taxonomy_name)
-    rows = quality.score_quality(rows, "public_power", "electricity_generated")
-    rows = quality.flag_outliers(rows, "electricity_generated", history)
-    rows = keep_latest(rows, by, *NEWEST)
+    rows, by = _latest(_keyed(bronze, "electricity_generated"), taxonomy_name, dedup_on)
+    rows = quality.score_quality(_power_columns(rows), "public_power", "electricity_generated")
+    rows = quality.flag_outliers(rows, "electricity_generated", bronze if history is None else history)
     return rows.withColumns({"business_key": keys.joined_key(*map(F.col, by)), **_processing(as_of, batch_id)})
 
 
@@ -112,20 +124,28 @@ def silver_price(
     """Score, flag outliers (see `silver_public_power`), keep the latest row per time and country."""
     by = ("timestamp", "country")
     rows = bronze.select(
+        "timestamp",
+        "electricity_price",
+        measures.normalised_country(F.col("country")).alias("country"),
+        "electricity_unit",
+        "source_system",
+        F.col("record_id").alias("bronze_record_id"),
+        F.col("ingestion_date").alias("ingestion_timestamp"),
+    )
+    rows = keep_latest(rows, by, *NEWEST).select(
         "timestamp",
         "electricity_price",
         F.lit(CURRENCY).alias("currency"),
         F.lit(MARKET).alias("market"),
         *timeslots.calendar(F.col("timestamp"), "year", "month", "day"),
-        measures.normalised_country(F.col("country")).alias("country"),
+        "country",
         F.coalesce("electricity_unit", F.lit(PRICE_UNIT)).alias("unit"),
         "source_system",
-        F.col("record_id").alias("bronze_record_id"),
-        F.col("ingestion_date").alias("ingestion_timestamp"),
+        "bronze_record_id",
+        "ingestion_timestamp",
     )
     rows = quality.score_quality(rows, "price", "electricity_price")
-    rows = quality.flag_outliers(rows, "electricity_price", history)
-    rows = keep_latest(rows, by, *NEWEST)
+    rows = quality.flag_outliers(rows, "electricity_price", bronze if history is None else history)
     return rows.withColumns({"business_key": keys.joined_key(*map(F.col, by)), **_processing(as_of, batch_id)})
 
 
@@ -138,10 +158,9 @@ def silver_installed_power(
     dedup_on: str = "raw",
 ) -> DataFrame:
     """Standardise, score, keep the latest per month, type and country. No outlier flag, so no use of `history`."""
-    by = ("timestamp", _type_key(dedup_on), "country")
-    rows = standardized_capacity(bronze, taxonomy_name)
-    rows = quality.score_quality(rows, "installed_power", "installed_power")
-    rows = keep_latest(rows, by, *NEWEST)
+    rows = _keyed(bronze, "installed_capacity", "time_period").withColumnRenamed("installed_capacity", "installed_power")
+    rows, by = _latest(rows, taxonomy_name, dedup_on)
+    rows = quality.score_quality(_capacity_columns(rows), "installed_power", "installed_power")
     return rows.withColumns({"business_key": keys.joined_key(*map(F.col, by)), **_processing(as_of, batch_id)})
 
 
