@@ -62,8 +62,8 @@ def _within(rows: DataFrame, cells: DataFrame, by: tuple[str, ...]) -> DataFrame
         "_total",
     )
     inside = F.col("_x").between(F.col("_from"), F.col("_to"))
-    matches = [rows[k].eqNullSafe(bounds[f"_k_{k}"]) for k in by]
-    return rows.join(bounds, reduce(Column.__and__, matches, inside)).drop(*[f"_k_{k}" for k in by])
+    matches = reduce(Column.__and__, [rows[k].eqNullSafe(bounds[f"_k_{k}"]) for k in by])
+    return rows.join(bounds, matches & inside).drop(*[f"_k_{k}" for k in by])
 
 
 def _narrowed(rows: DataFrame, cells: DataFrame, by: tuple[str, ...]) -> DataFrame:
@@ -100,8 +100,10 @@ def group_statistics(
     """Per group: `observations`, `mean`, `deviation` (sample) and one `q<percent>` per probability.
 
     Quantiles interpolate linearly between neighbours. Missing values (NULL, NaN) are left out; a
-    group without any value has no row.
+    group without any value has no row. For the whole frame use a plain aggregate.
     """
+    if not by:
+        raise ValueError("group_statistics needs at least one group column")
     rows = df.select(*by, present(F.col(value)).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
     first = materialise(
         rows.groupBy(*by, _log_cell(F.col("_x")).alias("_cell")).agg(
@@ -162,8 +164,6 @@ def group_statistics(
         for prob, p, low, high in zip(probabilities, positions, at(F.floor), at(F.ceil))
     ]
     values = reduce(DataFrame.unionByName, found).groupBy(*by).agg(*quantiles)
-    if not by:
-        return moments.withColumn("_one", F.lit(1)).join(values.withColumn("_one", F.lit(1)), "_one").drop("_one")
     other = values.withColumnsRenamed({k: f"_k_{k}" for k in by})
     matches = reduce(Column.__and__, [moments[k].eqNullSafe(other[f"_k_{k}"]) for k in by])
     return moments.join(other, matches).drop(*[f"_k_{k}" for k in by])
