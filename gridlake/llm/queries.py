@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridlake.llm import exact_dedup
+from gridlake.llm import exact_dedup, ngram_join, packing
 from gridlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,3 +35,14 @@ def query(name: str, sql: str | None = None):
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return exact_dedup.exact_dedup(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query("op4_ngram_join")
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_join.mark(docs).select("doc_id", "group_id", "n_links", "kept")
+
+
+@query("op6_packing")
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
