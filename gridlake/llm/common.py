@@ -50,9 +50,14 @@ def components(edges: DataFrame, name: str = "components", rounds_kept: int = 2)
     functions over a node would gather all its neighbours in one task; minima and joins, which combine before the
     shuffle and split hot keys, do the same work here.
     """
-    current = materialise(
-        edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct(), name
-    )
+    edges = materialise(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct(), name)
+    # First each node is tied to the smallest of its neighbourhood, and what is left of an edge is a tie between two of
+    # those. Many edges among the same nodes become few.
+    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    tied = materialise(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("v")), name)
+    moved = edges.join(tied.select("u", F.col("v").alias("a")), "u").join(tied.select(F.col("u").alias("v"), F.col("v").alias("b")), "v")
+    moved = moved.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    current = materialise(tied.unionByName(moved).filter("u <> v").distinct(), name)
     before = None
     while True:
         # Large star: the larger neighbours of a node, and the node, to the smallest of its neighbourhood.
