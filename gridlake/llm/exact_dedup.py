@@ -35,7 +35,9 @@ def _blocks(text: Column, size: int) -> Column:
 def _named(values: DataFrame, *columns: str) -> DataFrame:
     """Integer names, in sorted order, for the combinations of `columns` that occur more than once."""
     repeated = values.groupBy(*columns).agg(F.count("*").alias("times")).filter("times > 1").drop("times")
-    ordered = repeated.repartitionByRange(*columns).sortWithinPartitions(*columns)
+    # Ranges are cut on the first characters, so that the sample for the cuts stays small; a hash splits a common beginning.
+    heads = [F.substring(c, 1, 32) if dict(repeated.dtypes)[c] == "string" else F.col(c) for c in columns]
+    ordered = repeated.repartitionByRange(*heads, F.xxhash64(*columns)).sortWithinPartitions(*columns)
     return materialise(ordered.select(*columns, F.monotonically_increasing_id().alias("name")), "names")
 
 
