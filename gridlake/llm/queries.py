@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlake.llm import exact_dedup, ngram_join, packing, toxicity
+from gridlake.llm import exact_dedup, ngram_join, packing, pii, toxicity
 from gridlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,3 +60,16 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("toxicity.score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
         F.size("toxicity.spans").alias("n_spans"),
     )
+
+
+@query("op3_pii")
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.annotate(docs, pii.fit(docs))
+    counts = [F.size(F.filter("pii", _of_kind(kind))).cast("long").alias(f"n_{kind}") for kind in pii.BASE]
+    base, every = pii.listed(F.col("pii"), *pii.BASE), pii.listed(F.col("pii"))
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), every.alias("spans"))
+
+
+def _of_kind(kind: str):
+    return lambda span: span.kind == kind

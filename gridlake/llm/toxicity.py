@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from gridlake.llm.common import small_batches, with_type
 
 # What the model is fitted on: so many documents of each label, none longer than that.
-SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARS = 1_500, 3_000, 20_000
+SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARS = 1_200, 1_500, 8_000
 THRESHOLD = 0.3
 SPAN_PROBABILITY = 0.5
 LEAST_NEIGHBOURS = 5

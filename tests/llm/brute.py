@@ -43,3 +43,28 @@ def jaccard_pairs(texts, threshold=0.8):
         if jaccard(sets[i], sets[j]) >= threshold:
             pairs.add((i, j))
     return pairs
+
+
+def base_spans(text):
+    """Personal data of the four fixed kinds, with Python's own regular expressions in their plain form."""
+    import re
+
+    text, out = text or "", []
+    for kind, pattern in (
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+        ("card", r"[0-9]([\x20-]?[0-9])+"),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"),
+    ):
+        for m in re.finditer(pattern, text):
+            digits = [int(c) for c in m.group() if c in "0123456789"]
+            if kind == "ip" and any(int(p) > 255 for p in m.group().split(".")):
+                continue
+            if kind == "card":
+                total = sum(d if i % 2 == 0 else (2 * d - 9 if d > 4 else 2 * d) for i, d in enumerate(reversed(digits)))
+                if not 16 <= len(digits) <= 19 or total % 10:
+                    continue
+            if kind == "phone" and not 8 <= len(digits) <= 15:
+                continue
+            out.append(f"{kind}:{m.start()}:{m.end()}")
+    return out
