@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlake.llm import exact_dedup, ngram_join, packing, pii, toxicity
+from gridlake.llm import embedding_dedup, exact_dedup, ngram_join, packing, pii, toxicity, url_filters
 from gridlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,3 +73,24 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _of_kind(kind: str):
     return lambda span: span.kind == kind
+
+
+URL_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+
+
+@query("op7_url_filters")
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filters.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "template", "purity")
+
+
+@query("op8_embedding_dedup")
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return embedding_dedup.near_links(vectors).select("vec_id", "n_links", "component_id", "kept")
