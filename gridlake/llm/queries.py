@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlake.llm import embedding_dedup, exact_dedup, ngram_join, packing, pii, toxicity, url_filters
+from gridlake.llm import embedding_dedup, exact_dedup, language_id, ngram_join, packing, pii, toxicity, url_filters
 from gridlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,3 +94,16 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return embedding_dedup.near_links(vectors).select("vec_id", "n_links", "component_id", "kept")
+
+
+@query("op5_language_id")
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.trained(docs)
+    return language_id.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        language_id.held_out(docs).alias("held_out"),
+        F.col("language.lang").alias("lang_pred"),
+        F.col("language.score").alias("score"),
+        F.size("language.spans").alias("n_spans"),
+    )
