@@ -5,6 +5,7 @@ share a token with a probability equal to their similarity. In each of `runs` in
 tokens whose hash under the current path is below 1 / (threshold * SIGNATURE); two sets of at least the threshold share one
 chosen token on average. Sets that followed the same path meet in a bucket:
 
+- all paths have `LEVELS` tokens at first, which keeps passages that many documents share from filling buckets;
 - a bucket of one is finished;
 - a small bucket is compared by brute force on the signatures;
 - in a large one each member is first compared with one pivot. Members that surely resemble it join its family and leave:
@@ -35,7 +36,7 @@ from gridlake.workspace import materialise
 
 THRESHOLD = 0.8
 RECALL = 0.999
-LEVELS = 3  # that `runs` is computed for
+LEVELS = 3  # of every path, chosen in one pass over a set; `runs` is computed for them
 SIGNATURE = 64
 SMALL_BUCKET = 100
 DEPTH = 8
@@ -111,8 +112,8 @@ def _as_sig(column: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(column), dtype=np.uint32).reshape(len(column), -1)
 
 
-def _first_level(runs: int, threshold: float):
-    """Map (node, sig) to the members (bucket, node) of the first level of all runs."""
+def _first_level(runs: int, threshold: float, levels: int):
+    """Map (node, sig) to the members (bucket, node) of all runs, after the first `levels` tokens of a path."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seeds = mix(np.arange(1, runs + 1, dtype=np.uint64))
@@ -122,6 +123,9 @@ def _first_level(runs: int, threshold: float):
             sig, node = _as_sig(batch["sig"]), batch["node"].to_numpy()
             for seed in seeds:
                 rows, path = _chosen(sig, np.full(len(node), seed, np.uint64), threshold)
+                for _ in range(levels - 1):
+                    deeper, path = _chosen(sig[rows], path, threshold)
+                    rows = rows[deeper]
                 yield pd.DataFrame({"bucket": path.view(np.int64), "node": node[rows]})
 
     return run
@@ -283,8 +287,8 @@ def _candidates(reps: DataFrame, runs: int, threshold: float) -> DataFrame:
     """Edges (u, v) whose components hold every pair of at least the threshold."""
     sigs = reps.select("node", "sig")
     related, apart = least_likely(threshold), least_likely(2 * threshold - 1)
-    members = materialise(sigs.mapInPandas(_first_level(runs, threshold), "bucket long, node long"), "members")
-    small, edges, level = [], [], 1
+    members = materialise(sigs.mapInPandas(_first_level(runs, threshold, LEVELS), "bucket long, node long"), "members")
+    small, edges, level = [], [], LEVELS
     while True:
         sizes = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
         live = materialise(members.join(sizes, "bucket").select("bucket", "node", "n"), "live")
@@ -304,7 +308,8 @@ def _candidates(reps: DataFrame, runs: int, threshold: float) -> DataFrame:
         pivots = large.groupBy("bucket").agg(F.min("node").alias("pivot"))
         pivots = pivots.join(sigs.select(F.col("node").alias("pivot"), F.col("sig").alias("pivot_sig")), "pivot")
         faced = large.filter("node is not null").join(sigs, "node").join(pivots, "bucket")
-        faced = faced.select("bucket", "node", "sig", "pivot", "pivot_sig")
+        # Members of a hot bucket are dealt out evenly before they are compared.
+        faced = faced.select("bucket", "node", "sig", "pivot", "pivot_sig").repartition("node", "bucket")
         split = materialise(faced.mapInPandas(_split(threshold, threshold + 0.05, apart), "kind int, a long, b long"), "split")
         edges.append(split.filter("kind = 0").select("a", "b"))
         members = split.filter("kind = 1").select(F.col("a").alias("bucket"), F.col("b").alias("node"))
