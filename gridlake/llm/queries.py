@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlake.llm import embedding_dedup, exact_dedup, language_id, ngram_join, packing, pii, toxicity, url_filters
+from gridlake.llm import embedding_dedup, exact_dedup, language_id, ngram_join, packing, pii, piece_codec, toxicity, url_filters
 from gridlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,3 +108,15 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("language.score").alias("score"),
         F.size("language.spans").alias("n_spans"),
     )
+
+
+def tokenizer(name: str) -> str:
+    """Place of a vocabulary file; the folder is named by GRIDLAKE_TOKENIZERS."""
+    return os.path.join(os.environ.get("GRIDLAKE_TOKENIZERS", "/opt/tokenizers"), name)
+
+
+@query("op2_piece_codec")
+def op2_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = piece_codec.encode(docs, tokenizer("piece_bpe_32k.model"), seed=7)
+    return coded.select("doc_id", "pieces.ids", F.size("pieces.ids").alias("n_pieces"), "pieces.lossless")
