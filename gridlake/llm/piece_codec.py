@@ -52,7 +52,10 @@ class Vocabulary:
         self.bytes_of = [bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.replace(_BLANK, " ").encode() if plain[i] else b"" for i, p in enumerate(pieces)]
         self.byte_id = {b[0]: i for i, b in enumerate(self.bytes_of) if model.is_byte(i)}
         ids = {p: i for i, p in enumerate(pieces) if plain[i]}
+        self.of_point = np.full(0x110000, -1, np.int32)
         self.first = {p.replace(_BLANK, " "): i for p, i in ids.items() if len(p) == 1}
+        for c, i in self.first.items():
+            self.of_point[ord(c)] = i
         scores = np.array([model.get_score(i) for i in range(size)])
         order = np.unique(-scores, return_inverse=True)[1]
         found = [(ids[p[:k]] * size + ids[p[k:]], i) for p, i in ids.items() for k in range(1, len(p)) if p[:k] in ids and p[k:] in ids]
@@ -86,14 +89,16 @@ def _skips(key: np.ndarray, place: np.ndarray, piece: np.ndarray, dropout: float
     return drawn < np.uint64(min(dropout, 1.0) * (2**64 - 1025))
 
 
-def encode_together(vocabulary: Vocabulary, stretches: list[str], keys: np.ndarray, dropout: float) -> list[np.ndarray]:
-    """Pieces of many short stretches; `keys` is the hash key of each."""
-    n, width = len(stretches), max(map(len, stretches)) + 2
+def encode_together(vocabulary: Vocabulary, stretches: list[str], keys: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces of many short stretches, one after the other, and how many each has; `keys` is the hash key of each.
+
+    While merging, a character without a piece is a negative number made from its code point.
+    """
+    length = np.fromiter(map(len, stretches), np.int64, len(stretches))
+    n, width = len(stretches), int(length.max()) + 2
     symbol = np.full((n, width), -1, np.int32)  # the last two columns stay empty
-    for row, stretch in enumerate(stretches):
-        own = vocabulary.symbols(stretch)
-        symbol[row, : len(own)] = own
-    length = np.fromiter(map(len, stretches), np.int64, n)
+    points = np.frombuffer("".join(stretches).encode("utf-32-le", "surrogatepass"), np.uint32)
+    symbol[np.arange(width)[None, :] < length[:, None]] = np.where(vocabulary.of_point[points] >= 0, vocabulary.of_point[points], -2 - points.astype(np.int32))
     following = np.tile(np.arange(1, width + 1, dtype=np.int32), (n, 1))
     before = np.tile(np.arange(-1, width - 1, dtype=np.int32), (n, 1))
     alive = np.arange(width)[None, :] < length[:, None]
@@ -126,11 +131,20 @@ def encode_together(vocabulary: Vocabulary, stretches: list[str], keys: np.ndarr
         rows, left = rows[has], left[has]
         back = before[rows, left]
         rank[rows, back], piece[rows, back] = vocabulary.candidates(symbol[rows, back], symbol[rows, left])
-    ends = np.cumsum(alive.sum(axis=1))
-    flat = np.split(symbol[alive], ends[:-1])
-    for row in np.flatnonzero((alive & (symbol < 0)).any(axis=1)):
-        flat[row] = _with_bytes(vocabulary, flat[row].tolist(), np.flatnonzero(alive[row]).tolist(), stretches[row])
-    return flat
+    flat, count = symbol[alive], alive.sum(axis=1)
+    lacking = flat < 0
+    if lacking.any():
+        values, which = np.unique(flat[lacking], return_inverse=True)
+        in_bytes = [vocabulary.in_bytes(chr(-2 - int(v))) for v in values]
+        wide = np.ones(len(flat), np.int64)
+        wide[lacking] = np.array([len(b) for b in in_bytes])[which]
+        count = np.bincount(np.repeat(np.arange(n), count), wide, n).astype(np.int64)
+        begin = (np.cumsum(wide) - wide)[lacking]
+        flat = np.repeat(flat, wide)
+        for k in range(max(map(len, in_bytes))):
+            has = np.array([len(b) > k for b in in_bytes])[which]
+            flat[begin[has] + k] = np.array([b[k] if len(b) > k else 0 for b in in_bytes])[which[has]]
+    return flat, count
 
 
 def _with_bytes(vocabulary: Vocabulary, symbols: list[int], places: list[int], stretch: str) -> np.ndarray:
@@ -216,19 +230,23 @@ class Codec:
 
     def _learn(self, new: list[tuple[str, int]]) -> None:
         keys = np.array([xxhash.xxh3_64_intdigest(stretch, seed=self.seed * 1_000_003 + variant) for stretch, variant in new], np.uint64)
-        made: list[np.ndarray | None] = [None] * len(new)
         sizes = np.array([len(stretch) for stretch, _ in new])
+        begin, length, parts, used = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64), [self.flat], len(self.flat)
         for low, high in ((0, 6), (6, 9), (9, 13), (13, 20), (20, LONGEST)):
             rows = np.flatnonzero((sizes > low) & (sizes <= high))
-            for some in np.array_split(rows, -(-len(rows) // 20_000)) if len(rows) else []:
-                for row, ids in zip(some.tolist(), encode_together(self.vocabulary, [new[i][0] for i in some], keys[some], self.dropout)):
-                    made[row] = ids
+            for first in range(0, len(rows), 20_000):
+                some = rows[first : first + 20_000]
+                ids, n = encode_together(self.vocabulary, [new[i][0] for i in some.tolist()], keys[some], self.dropout)
+                begin[some], length[some] = used + np.cumsum(n) - n, n
+                parts.append(ids)
+                used += len(ids)
         for row in np.flatnonzero(sizes > LONGEST).tolist():
-            made[row] = encode_alone(self.vocabulary, new[row][0], int(keys[row]), self.dropout)
-        n = np.array([len(m) for m in made], np.int64)
-        self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(n) - n])
-        self.length = np.concatenate([self.length, n])
-        self.flat = np.concatenate([self.flat, *made])
+            ids = encode_alone(self.vocabulary, new[row][0], int(keys[row]), self.dropout)
+            begin[row], length[row] = used, len(ids)
+            parts.append(ids)
+            used += len(ids)
+        self.begin, self.length = np.concatenate([self.begin, begin]), np.concatenate([self.length, length])
+        self.flat = np.concatenate(parts)
 
     def decode(self, ids) -> str:
         """The text of piece ids; the blank that encoding put in front is taken away."""
