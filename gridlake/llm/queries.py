@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlake.llm import embedding_dedup, exact_dedup, language_id, ngram_join, packing, pii, piece_codec, toxicity, url_filters
+from gridlake.llm import embedding_dedup, exact_dedup, language_id, license_scan, ngram_join, packing, pii, piece_codec, toxicity, url_filters
 from gridlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,3 +120,10 @@ def op2_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = piece_codec.encode(docs, tokenizer("piece_bpe_32k.model"), seed=7)
     return coded.select("doc_id", "pieces.ids", F.size("pieces.ids").alias("n_pieces"), "pieces.lossless")
+
+
+@query("op9_license_scan")
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    listed = F.transform("licenses", lambda s: F.concat_ws(":", s.license, s.begin.cast("string"), s.end.cast("string")))
+    return found.select("doc_id", F.size("licenses").alias("n_licenses"), F.concat_ws(",", listed).alias("licenses"))
