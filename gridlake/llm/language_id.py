@@ -140,7 +140,7 @@ def fit(rows: list[tuple[str, str]]) -> Model:
     scale = len(names) + 1.0
     # Grams that were seen less than three times tell little and count as unseen.
     kept = sorted(g for g in names if sum(counts[lang][g] for lang in model.languages) >= 3)
-    n = np.array([[counts[lang][g] for lang in model.languages] for g in kept], float).reshape(len(kept), -1)
+    n = np.array([[counts[lang][g] for lang in model.languages] for g in kept], float).reshape(len(kept), len(totals))
     seen = np.log((n + 0.5) / (totals + 0.5 * scale))
     unseen = np.full((1, len(totals)), np.log(0.5 / (totals + 0.5 * scale)).mean())
     model.scores, model.table = {g: i for i, g in enumerate(kept)}, np.concatenate([seen, unseen])

@@ -73,10 +73,10 @@ class Model:
     """Feature weights, transition weights (start to toxic, into, out of, within) and the document curve."""
 
     weights: dict[str, float] = field(default_factory=dict)
-    start: float = -3.0
-    into: float = -3.0
+    start: float = -9.0
+    into: float = -9.0
     out: float = 0.0
-    stay: float = 0.0
+    stay: float = -9.0
     curve: tuple[float, ...] = (-4.0, 0.0, 0.0, 0.0, 0.0)
 
     def emission(self, word: str) -> float:

@@ -122,7 +122,8 @@ def judge(pages: DataFrame, rules: list[Rule], purity: float = PURITY) -> DataFr
     )
     tree = templates(shapes)
     labelled = tree.agg(F.sum("blocked"), F.sum(F.col("blocked") + F.col("allowed"))).first()
-    prior = labelled[0] / labelled[1] if labelled[1] else 0.0
+    # At most even, so that it takes labelled URLs of the template itself to reject it.
+    prior = min(0.5, labelled[0] / labelled[1]) if labelled[1] else 0.0
     sums = tree.groupBy("host", "template").agg(F.sum("blocked").alias("blocked"), F.sum(F.col("blocked") + F.col("allowed")).alias("labelled"))
     pure = (F.col("blocked") + PRIOR_WEIGHT * prior) / (F.col("labelled") + PRIOR_WEIGHT)
     judged = tree.select("host", "shape", "template").join(sums.select("host", "template", pure.alias("purity")), ["host", "template"])
