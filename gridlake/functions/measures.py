@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 
 def present(value: Column) -> Column:
-    """The value with NaN turned into NULL, so that NaN counts as missing everywhere."""
+    """The value with NaN and infinities turned into NULL: what is no finite number counts as missing everywhere."""
     number = value.cast("double")
-    return F.when(~F.isnan(number), value)
+    return F.when(~F.isnan(number) & (F.abs(number) < float("inf")), value)
 
 
 def cleansed(value: Column, digits: int = 2) -> Column:

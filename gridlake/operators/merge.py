@@ -29,9 +29,22 @@ def insert_absent(target: DataFrame, source: DataFrame, keys: tuple[str, ...], *
 
 
 def _one_of(folders: list, columns: tuple[str, ...]) -> Column:
-    """Whether the partition columns equal one of the given rows."""
-    matches = [reduce(Column.__and__, [F.col(c).eqNullSafe(F.lit(row[c])) for c in columns]) for row in folders]
-    return reduce(Column.__or__, matches, F.lit(False))
+    """Whether the partition columns equal one of the given rows.
+
+    Folders that share all values but the last become one list, so a backfill over thousands of folders
+    makes a flat condition and not one as deep as their number.
+    """
+    lists: dict[tuple, list] = {}
+    for row in folders:
+        lists.setdefault(tuple(row[c] for c in columns[:-1]), []).append(row[columns[-1]])
+    last, matches = F.col(columns[-1]), []
+    for head, values in lists.items():
+        present = [v for v in values if v is not None]
+        fits = last.isin(*present) if present else F.lit(False)
+        if len(present) < len(values):
+            fits = fits | last.isNull()
+        matches.append(reduce(Column.__and__, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(columns, head)], fits))
+    return F.exists(F.array(*matches), lambda m: m) if len(matches) > 100 else reduce(Column.__or__, matches, F.lit(False))
 
 
 def upsert_table(
@@ -42,24 +55,38 @@ def upsert_table(
     partition_by: tuple[str, ...],
     newest_first: tuple[str, ...],
     incremental: bool = True,
-) -> None:
-    """Upsert into a partitioned table, rewriting only the partitions the source touches.
+    unique: bool = False,
+) -> DataFrame:
+    """Upsert into a partitioned table, rewriting only the partitions the source touches; returns the rows that arrived.
 
     The partition columns must follow from the keys (year and month of a key timestamp). With
-    `incremental` a stored row newer than the source row survives, so late batches do no harm.
+    `incremental` a stored row newer than the source row survives, so late batches do no harm. Of rows
+    that are equally new the arriving one wins: bronze that is processed again replaces what it gave before.
+
+    No column is lost. One that the source lacks keeps its stored value, also in rows that are updated; one
+    that the table lacks becomes NULL in stored rows. `unique` says that the source holds one row per key already.
     """
-    newest = keep_latest(source, keys, *newest_first)
+    newest = source if unique else keep_latest(source, keys, *newest_first)
     if not tables.table_exists(spark, path):
         tables.overwrite_table(newest, path, partition_by)
-        return
-    newest = materialise(newest, "upsert")
+        return spark.read.schema(newest.schema).parquet(path)
+    newest = arrived = materialise(newest, "upsert")
     # One short row per touched folder, far fewer than the driver lists anyway. As literals they
     # prune the scan to just those folders.
     touched = newest.select(*partition_by).distinct().collect()
-    stored = spark.read.schema(newest.schema).parquet(path).filter(_one_of(touched, partition_by))
-    stored = stored.select(*newest.columns)
-    merged = keep_latest(stored.unionByName(newest), keys, *newest_first) if incremental else upsert(stored, newest, keys, *newest_first)
+    stored = tables.stored_rows(spark, path, newest.schema).filter(_one_of(touched, partition_by))
+    lacking = [c for c in stored.columns if c not in newest.columns]
+    if lacking:
+        # Looked up by key; one row a key on both sides.
+        known = stored.select(*keys, *lacking)
+        newest = newest.join(known, same_keys(newest, known, keys), "left").select(*[newest[c] for c in newest.columns], *[known[c] for c in lacking])
+    if incremental:
+        arriving = tables.unite(stored.withColumn("_arriving", F.lit(False)), newest.withColumn("_arriving", F.lit(True)))
+        merged = keep_latest(arriving, keys, *newest_first, "_arriving").drop("_arriving")
+    else:
+        merged = tables.unite(anti_join(stored, newest, keys), newest)
     tables.overwrite_partitions(merged, path, partition_by)
+    return arrived
 
 
 def table_diff(old: DataFrame, new: DataFrame, keys: tuple[str, ...]) -> DataFrame:

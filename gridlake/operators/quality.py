@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.functions.measures import present
@@ -191,6 +191,26 @@ def power_rules() -> dict[str, Column]:
     }
 
 
+def price_rules() -> dict[str, Column]:
+    """The expectations on price rows: key and value present, one known currency unit."""
+    return {
+        "valid_timestamp": F.col("timestamp").isNotNull(),
+        "valid_country": ~_blank("country"),
+        "price_present": present(F.col("electricity_price")).isNotNull(),
+        "unit_present": ~_blank("electricity_unit"),
+    }
+
+
+def capacity_rules() -> dict[str, Column]:
+    """The expectations on capacity rows: keys present, a well-formed period, a value that is not negative."""
+    return {
+        "valid_period": F.coalesce(period_well_formed(F.col("time_period")), F.lit(False)),
+        "type_present": ~_blank("production_type"),
+        "valid_country": ~_blank("country"),
+        "capacity_not_negative": present(F.col("installed_capacity")) >= 0,
+    }
+
+
 # Summaries -----------------------------------------------------------------------------------
 
 
@@ -216,29 +236,27 @@ def quality_summary(df: DataFrame, measure: str = "installed_capacity") -> DataF
         F.count_if("is_anomaly").alias("_anomalies"),
         F.sum("dq_score").alias("_score"),
         F.count("dq_score").alias("_scored"),
-        F.count(value).alias("_n"),
-        F.avg(value).alias("_mean"),
-        F.var_pop(value).alias("_var"),
         F.min("ingestion_date").alias("_first"),
         F.max("ingestion_date").alias("_last"),
     )
-    everything = Window.partitionBy(F.lit(0))
-    center = F.sum(F.col("_n") * F.col("_mean")).over(everything) / F.sum("_n").over(everything)
-    spread = F.sum(F.col("_n") * (F.col("_var") + F.pow(F.col("_mean") - F.col("_center"), 2)))
-    return groups.withColumn("_center", center).agg(
+    # Mean and deviation of all rows come from partial moments that Spark merges, as a scalar.
+    moments = df.agg(F.struct(F.avg(value).alias("mean"), F.stddev(value).alias("deviation")).alias("m")).scalar()
+    return groups.agg(
         F.sum("_rows").alias("total_records"),
         F.sum("_VALID").alias("valid_records"),
         F.sum("_WARNING").alias("warning_records"),
         F.sum("_ERROR").alias("error_records"),
         F.sum("_anomalies").alias("anomaly_records"),
         F.try_divide(F.sum("_score"), F.sum("_scored")).alias("avg_dq_score"),
-        F.first("_center").alias("avg_installed_capacity"),
-        F.sqrt(F.try_divide(spread, F.sum("_n") - 1)).alias("stddev_installed_capacity"),
         F.count_distinct("production_type").alias("unique_production_types"),
         F.count_distinct("time_period").alias("unique_time_periods"),
         F.count_distinct("country").alias("unique_countries"),
         F.min("_first").alias("earliest_bronze_record"),
         F.max("_last").alias("latest_bronze_record"),
+    ).select(
+        "*",
+        moments["mean"].alias("avg_installed_capacity"),
+        moments["deviation"].alias("stddev_installed_capacity"),
     )
 
 
@@ -253,8 +271,8 @@ def silver_statistics(df: DataFrame, measure: str = "installed_capacity") -> Dat
         F.min("production_type").alias("production_type"),
         F.min("timestamp").alias("_first"),
         F.max("timestamp").alias("_last"),
-        F.sum(measure).alias("_sum"),
-        F.count(measure).alias("_n"),
+        F.sum(present(F.col(measure))).alias("_sum"),
+        F.count(present(F.col(measure))).alias("_n"),
     )
     return by_key.groupBy("production_type").agg(
         F.sum("_rows").alias("_rows"),

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake import schemas
-from gridlake.operators import merge
-from gridlake.plans import gold, reports, silver
-from gridlake.session import size_shuffles
+from gridlake.operators import merge, quality
+from gridlake.plans import baseline, gold, reports, silver
+from gridlake.session import planned_bytes, sized_shuffles
 from gridlake.sources import tables
 from gridlake.sources.windows import in_months_from
 from gridlake.workspace import materialise
@@ -24,6 +24,7 @@ TABLES = (
     "gold_dim_production_type",
     "gold_fact_power",
     "gold_fact_power_30min_agg",
+    "gold_performance_baseline",
 )
 
 
@@ -34,12 +35,16 @@ def build_silver(
     as_of: datetime,
     batch_id: str,
     history: dict[str, DataFrame] | None = None,
-) -> None:
+) -> dict[str, dict]:
     """Upsert the three silver tables; only the months found in the bronze frames are rewritten.
 
     For an incremental run pass just the new rows as `bronze` and all of them as `history`: the
-    outlier limits then come from the history. Running it again changes nothing.
+    outlier limits then come from the history. Running it again changes nothing. Returns total, valid
+    and invalid rows that arrived in each table.
     """
+    if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC", "GMT", "Z"):
+        raise ValueError("business keys hold times as text: set the session time zone to UTC, see session.prepare")
+    counts = {}
     build = {
         "public_power": silver.silver_public_power,
         "price": silver.silver_price,
@@ -49,7 +54,13 @@ def build_silver(
         if rows.isEmpty():
             continue
         frame = build[schemas.known_kind(kind)](rows, as_of, batch_id, (history or {}).get(kind))
-        merge.upsert_table(spark, f"{root}/silver_{kind}", frame, ("business_key",), MONTHLY, silver.NEWEST)
+        # The frame holds one row per key, so nothing is left to deduplicate before it is stored.
+        with sized_shuffles(spark, planned_bytes(rows)):
+            arrived = merge.upsert_table(
+                spark, f"{root}/silver_{kind}", frame, ("business_key",), MONTHLY, silver.NEWEST, unique=True
+            )
+        counts[f"silver_{kind}"] = quality.validity_counts(arrived).first().asDict()
+    return counts
 
 
 def build_gold(
@@ -67,7 +78,11 @@ def build_gold(
     `since` limits the facts to the months from that date on: only those folders are read and
     replaced. A month that has lost all its rows keeps its old fact; leave `since` out then.
     """
-    size_shuffles(spark, tables.folder_bytes(spark, *[f"{root}/{t}" for t in TABLES[:3]]))
+    with sized_shuffles(spark, tables.folder_bytes(spark, *[f"{root}/{t}" for t in TABLES[:3]])):
+        return _build_gold(spark, root, as_of, price_join, slot_mode, since)
+
+
+def _build_gold(spark, root, as_of, price_join, slot_mode, since) -> dict[str, dict]:
     only = None if since is None else in_months_from(since)
 
     def months(df: DataFrame) -> DataFrame:
@@ -94,7 +109,10 @@ def build_gold(
         fact, fact_path, MONTHLY, only, rebalance=False, without_price=without_price
     )
     agg = gold.fact_power_30min(months(spark.read.parquet(fact_path)), as_of)
-    counts["gold_fact_power_30min_agg"] = tables.checked_write(agg, f"{root}/gold_fact_power_30min_agg", MONTHLY, only)
+    agg_path = f"{root}/gold_fact_power_30min_agg"
+    counts["gold_fact_power_30min_agg"] = tables.checked_write(agg, agg_path, MONTHLY, only)
+    typical = baseline.performance_baseline(spark.read.parquet(agg_path), dim, as_of)
+    counts["gold_performance_baseline"] = tables.checked_write(typical, f"{root}/gold_performance_baseline")
     return counts
 
 
@@ -108,19 +126,47 @@ def publish_views(spark: SparkSession, root: str, prefix: str = "") -> list[str]
     return names
 
 
-def report_frames(spark: SparkSession, root: str, country: str = "de") -> dict[str, DataFrame]:
-    """The three standard reports over the gold tables of `root`."""
+def report_frames(spark: SparkSession, root: str, country: str = "de", as_of: datetime | None = None) -> dict[str, DataFrame]:
+    """The standard reports over the tables of `root`; with `as_of` also those that look back from a time."""
     fact = spark.read.parquet(f"{root}/gold_fact_power")
     agg = spark.read.parquet(f"{root}/gold_fact_power_30min_agg")
     dim = spark.read.schema(schemas.DIM_PRODUCTION_TYPE).parquet(f"{root}/gold_dim_production_type")
-    return {
+    frames = {
         "daily_production_trend": reports.daily_trend(fact, dim, country),
         "underperformance_prediction": reports.underperformance_features(agg, dim, country),
         "wind_price_analysis": reports.wind_price(fact, dim, country),
+        "capacity_utilisation": reports.capacity_utilisation(agg, dim, spark.read.parquet(f"{root}/silver_installed_power")),
     }
+    if as_of is not None:
+        typical = spark.read.parquet(f"{root}/gold_performance_baseline")
+        frames["daily_growth"] = reports.daily_growth(fact, dim, as_of, by_country=True)
+        frames["underperformance"] = baseline.underperformance(agg, typical, dim, as_of)
+    return frames
 
 
-def run(spark: SparkSession, bronze: dict[str, DataFrame], root: str, as_of: datetime, batch_id: str) -> dict[str, dict]:
-    """Bronze to silver to gold in one go."""
-    build_silver(spark, bronze, root, as_of, batch_id)
-    return build_gold(spark, root, as_of)
+def run(
+    spark: SparkSession,
+    bronze: dict[str, DataFrame],
+    root: str,
+    as_of: datetime,
+    batch_id: str,
+    since: date | None = None,
+) -> dict[str, dict]:
+    """Bronze to silver to gold in one go; returns the counts of each write.
+
+    `since` makes it incremental: of `bronze` only the months from that date on are processed, outlier
+    limits still come from all of it, and gold reads and replaces those months only. Where bronze lies in
+    folders of year and month the older ones aren't read but for the limits.
+    """
+    new, history = bronze, None
+    if since is not None:
+        start = since.replace(day=1)
+        new = {kind: _from_day(rows, start) for kind, rows in bronze.items()}
+        history = bronze
+    counts = build_silver(spark, new, root, as_of, batch_id, history)
+    return counts | build_gold(spark, root, as_of, since=since)
+
+
+def _from_day(rows: DataFrame, start: date) -> DataFrame:
+    later = rows.filter(F.col("timestamp") >= F.lit(start).cast("timestamp"))
+    return later.filter(in_months_from(start)) if {"year", "month"} <= set(rows.columns) else later

@@ -82,16 +82,20 @@ def underperformance_features(
     )
 
 
-def daily_growth(fact: DataFrame, dim: DataFrame, as_of: datetime, days: int = 30) -> DataFrame:
-    """Daily production and price per plant name with the production of the previous day on record."""
+def daily_growth(fact: DataFrame, dim: DataFrame, as_of: datetime, days: int = 30, by_country: bool = False) -> DataFrame:
+    """Daily production and price per plant name with the production of the previous day on record.
+
+    With `by_country` each country is a series of its own; the original form adds them up.
+    """
+    country = ("country",) if by_country else ()
     rows = _with_dim(recent(fact, as_of, "timestamp", by_month=True, days=days), dim, "production_plant_name", "energy_category")
     daily = rows.groupBy(
-        F.to_date("timestamp").alias("production_date"), "production_plant_name", "energy_category"
+        F.to_date("timestamp").alias("production_date"), *country, "production_plant_name", "energy_category"
     ).agg(
         F.sum("electricity_produced").alias("daily_production"),
         F.avg("electricity_price").alias("avg_daily_price"),
     )
-    earlier = Window.partitionBy("production_plant_name").orderBy("production_date")
+    earlier = Window.partitionBy(*country, "production_plant_name").orderBy("production_date")
     return daily.withColumn("previous_day_production", F.lag("daily_production").over(earlier)).orderBy(
         F.desc("production_date"), F.desc("daily_production")
     )
@@ -112,11 +116,12 @@ def renewable_share(fact: DataFrame, dim: DataFrame) -> DataFrame:
 def capacity_utilisation(agg: DataFrame, dim: DataFrame, installed: DataFrame, mw_per_unit: float = 1000.0) -> DataFrame:
     """Half-hour output against the capacity installed in that month.
 
-    Raw capacity types that share a standard name are added up first, so the join keeps one row
-    per half hour. `mw_per_unit` converts the unit of the capacity column to MW.
+    Raw capacity types that share a standard name are added up first, invalid (missing, negative) rows left
+    out, so the join keeps one row per half hour. `mw_per_unit` converts the unit of the capacity column to MW.
     """
     by = ("production_type", "country", "_month")
-    capacity = installed.groupBy(
+    valid = installed.filter("is_valid") if "is_valid" in installed.columns else installed
+    capacity = valid.groupBy(
         "production_type", "country", timeslots.month_start(F.col("timestamp")).alias("_month")
     ).agg((F.sum("installed_power") * mw_per_unit).alias("installed_mw"))
     rows = _with_dim(agg, dim, "production_plant_name").withColumns(

@@ -81,6 +81,11 @@ def _latest(rows: DataFrame, taxonomy_name: str, dedup_on: str) -> tuple[DataFra
     return keep_latest(_standard(rows, taxonomy_name), by, *NEWEST), by
 
 
+def _finite(rows: DataFrame, measure: str) -> DataFrame:
+    """NaN and infinities end here: sums and means of the later tables meet NULL only."""
+    return rows.withColumn(measure, measures.present(F.col(measure)))
+
+
 def _power_columns(rows: DataFrame) -> DataFrame:
     return rows.select("*", *timeslots.calendar(F.col("timestamp"), "year", "month", "day", "hour"), F.lit(POWER_UNIT).alias("unit"))
 
@@ -113,6 +118,7 @@ def silver_public_power(
     Outliers are measured against `history` (a bronze frame) if given, else against all of `bronze`.
     """
     rows, by = _latest(_keyed(bronze, "electricity_generated"), taxonomy_name, dedup_on)
+    rows = _finite(rows, "electricity_generated")
     rows = quality.score_quality(_power_columns(rows), "public_power", "electricity_generated")
     rows = quality.flag_outliers(rows, "electricity_generated", bronze if history is None else history)
     return rows.withColumns({"business_key": keys.joined_key(*map(F.col, by)), **_processing(as_of, batch_id)})
@@ -160,6 +166,7 @@ def silver_installed_power(
     """Standardise, score, keep the latest per month, type and country. No outlier flag, so no use of `history`."""
     rows = _keyed(bronze, "installed_capacity", "time_period").withColumnRenamed("installed_capacity", "installed_power")
     rows, by = _latest(rows, taxonomy_name, dedup_on)
+    rows = _finite(rows, "installed_power")
     rows = quality.score_quality(_capacity_columns(rows), "installed_power", "installed_power")
     return rows.withColumns({"business_key": keys.joined_key(*map(F.col, by)), **_processing(as_of, batch_id)})
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 # Runtime settings. All can be changed on a live session, so `prepare` also works on one that
@@ -41,6 +44,23 @@ def build_session(app: str = "gridlake", master: str | None = None, **settings:
     return builder.getOrCreate()
 
 
+def planned_bytes(*frames) -> int:
+    """Bytes that the planner expects to read for the frames: for scans of files, their size."""
+    sizes = [int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in frames]
+    # A frame of unknown size is estimated as the largest possible one.
+    return sum(size for size in sizes if size < 1 << 60)
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, stored_bytes: int) -> Iterator[int]:
+    """`size_shuffles` for the time of a block; the session's own setting comes back after it."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        yield size_shuffles(spark, stored_bytes)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def size_shuffles(spark: SparkSession, stored_bytes: int, expansion: int = 4, target: int = 256 << 20) -> int:
     """Raise the shuffle partition count so that a shuffle of the given tables spills little.
 
@@ -48,7 +68,7 @@ def size_shuffles(spark: SparkSession, stored_bytes: int, expansion: int = 4, ta
     the default of 200 would put hundreds of gigabytes into one. Stored data grows when it is
     decompressed, hence `expansion`. A larger configured count is kept.
     """
-    wanted = min(stored_bytes * expansion // target + 1, 100_000)
+    wanted = stored_bytes * expansion // target + 1
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if wanted > current:
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))

@@ -10,6 +10,7 @@ from pyspark.sql.types import StringType, StructType
 
 from gridlake import schemas
 from gridlake.sources import payloads, tables
+from gridlake.workspace import scratch_path
 
 
 def landing_schema(kind: str) -> StructType:
@@ -33,19 +34,21 @@ def ingest(
 ) -> dict:
     """Validate, flatten and append one landing folder; rejects go next to the bronze table.
 
-    Returns the counts of the write. The rejects are counted on the way, so a folder without any
-    is read and parsed only once.
+    Returns the counts of the write. The landed text is read and parsed once, into a staged table with
+    the rejects in a folder of their own; both results come from there.
     """
     checked = payloads.check_payloads(read_landing(spark, landing_dir, kind), kind)
-    checked, seen = tables.observed(checked, f"check_{kind}", rejects=F.count_if(F.col("reject_reason").isNotNull()))
-    rows = payloads.to_bronze(payloads.usable(checked), kind, batch_id, as_of=as_of)
+    checked = checked.withColumn("rejected", F.col("reject_reason").isNotNull())
+    staged = scratch_path(spark, "checked")
+    checked.write.partitionBy("rejected").parquet(staged)
+    checked = spark.read.schema(checked.schema).parquet(staged)
+    rows = payloads.to_bronze(payloads.usable(checked.filter("not rejected").drop("rejected")), kind, batch_id, as_of=as_of)
     measure = F.col(schemas.MEASURE[kind])
     rows, written = tables.observed(rows, f"ingest_{kind}", missing=F.count_if(measure.isNull()))
     tables.append_table(rows, bronze_path)
-    rejects = seen.get["rejects"]
+    failed = checked.filter("rejected").drop("rejected")
+    rejects = failed.count()
     if rejects:
-        stamped = payloads.rejected(payloads.check_payloads(read_landing(spark, landing_dir, kind), kind)).withColumns(
-            {"ingestion_batch_id": F.lit(batch_id), "rejected_at": F.lit(as_of)}
-        )
+        stamped = failed.withColumns({"ingestion_batch_id": F.lit(batch_id), "rejected_at": F.lit(as_of)})
         tables.append_table(stamped, f"{bronze_path.rstrip('/')}_rejects")
     return {**written.get, "rejects": rejects}

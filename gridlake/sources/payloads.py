@@ -80,12 +80,22 @@ def zip_shortest(*columns: Column) -> Column:
     return F.slice(F.arrays_zip(*columns), F.lit(1), F.greatest(length, F.lit(0)))
 
 
+def _content(*arrays: str) -> Column:
+    """Stands for the payload a row came from."""
+    return F.xxhash64(*arrays).alias("_payload")
+
+
+def _numbered(rows: Column) -> Column:
+    """The elements of a zipped array with their position."""
+    return F.transform(rows, lambda row, i: row.withField("_position", i))
+
+
 def _series(payloads: DataFrame, times: str) -> DataFrame:
     """One row per well-formed production type; those without name or data are skipped."""
     return (
-        payloads.select("country", "ingestion_date", times, F.explode("production_types").alias("_s"))
+        payloads.select("country", "ingestion_date", times, _content(times, "production_types"), F.posexplode("production_types").alias("_at", "_s"))
         .filter(F.col("_s.name").isNotNull() & F.col("_s.data").isNotNull())
-        .select("country", "ingestion_date", times, F.col("_s.name").alias("production_type"), F.col("_s.data").alias("data"))
+        .select("country", "ingestion_date", times, "_payload", "_at", F.col("_s.name").alias("production_type"), F.col("_s.data").alias("data"))
     )
 
 
@@ -93,7 +103,7 @@ def explode_public_power(payloads: DataFrame) -> DataFrame:
     """One row per type and time; a type with fewer or more values than times is cut."""
     return (
         _series(payloads, "unix_seconds")
-        .select("country", "ingestion_date", "production_type", F.inline(zip_shortest(F.col("unix_seconds"), F.col("data"))))
+        .select("country", "ingestion_date", "_payload", "_at", "production_type", F.inline(_numbered(zip_shortest(F.col("unix_seconds"), F.col("data")))))
         .withColumnRenamed("data", "electricity_generated")
         .withColumn("timestamp", F.timestamp_seconds("unix_seconds"))
     )
@@ -112,7 +122,8 @@ def explode_price(payloads: DataFrame) -> DataFrame:
         .select(
             "country",
             "ingestion_date",
-            F.inline(zip_shortest(*[F.col(c) for c in ("unix_seconds", "electricity_price", "electricity_unit")])),
+            _content("unix_seconds", "electricity_price"),
+            F.inline(_numbered(zip_shortest(*[F.col(c) for c in ("unix_seconds", "electricity_price", "electricity_unit")]))),
         )
         .withColumn("electricity_unit", unit)
         .withColumn("timestamp", F.timestamp_seconds("unix_seconds"))
@@ -125,7 +136,7 @@ def explode_installed_power(payloads: DataFrame) -> DataFrame:
     return (
         _series(payloads.filter(readable), "time")
         .filter(F.size("data") == F.size("time"))
-        .select("country", "ingestion_date", "production_type", F.inline(zip_shortest(F.col("time"), F.col("data"))))
+        .select("country", "ingestion_date", "_payload", "_at", "production_type", F.inline(_numbered(zip_shortest(F.col("time"), F.col("data")))))
         .withColumnsRenamed({"time": "time_period", "data": "installed_capacity"})
         .withColumn("timestamp", timeslots.period_start(F.col("time_period")))
     )
@@ -146,14 +157,19 @@ def to_bronze(
     source_system: str = "market_api",
     as_of: datetime | None = None,
 ) -> DataFrame:
-    """Bronze rows of usable payloads, with lineage columns and a repeatable record id."""
+    """Bronze rows of usable payloads, with lineage columns and a repeatable record id.
+
+    The id covers the content of the payload and the place in both arrays, so a payload that names a time or a
+    type twice still gives different ids. Only the same payload landed twice in one batch repeats them.
+    """
     rows = EXPLODE[schemas.known_kind(kind)](payloads)
     if as_of is not None:
         rows = rows.withColumn("ingestion_date", F.coalesce("ingestion_date", F.lit(as_of)))
     position = "time_period" if kind == "installed_power" else "unix_seconds"
-    identity = [F.lit(kind), F.lit(batch_id), F.col("country"), F.col(position), F.col("ingestion_date")]
+    loaded = F.unix_micros("ingestion_date")
+    identity = [F.lit(kind), F.lit(batch_id), F.col("country"), F.col(position), loaded, F.col("_payload"), F.col("_position")]
     if "production_type" in rows.columns:
-        identity.append(F.col("production_type"))
+        identity += [F.col("production_type"), F.col("_at")]
     rows = rows.withColumns(
         {
             "record_id": keys.hashed_key(*identity),

@@ -66,6 +66,16 @@ def save_as_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ())
     _writer(df, "overwrite", partition_by).saveAsTable(name)
 
 
+def stored_rows(spark: SparkSession, path: str, newer: StructType) -> DataFrame:
+    """All rows and columns of a table to which `newer` rows are to be added; shared columns have the types of `newer`.
+
+    The files may have been written with different columns: their footers are united, in parallel.
+    """
+    own = spark.read.option("mergeSchema", "true").parquet(path).schema
+    types = {f.name: f for f in newer.fields}
+    return spark.read.schema(StructType([types.get(f.name, f) for f in own.fields])).parquet(path)
+
+
 def unite(old: DataFrame, new: DataFrame) -> DataFrame:
     """Rows of both frames by column name; columns missing on one side become NULL."""
     return old.unionByName(new, allowMissingColumns=True)
@@ -91,6 +101,9 @@ def checked_write(
     With `only`, a condition on the partition columns that all rows of `df` meet, just the
     partitions in `df` are replaced and just those matching the condition are counted.
     """
+    # Counted in the stage that writes: a map task that is repeated before a shuffle would count its rows twice.
+    if partition_by and rebalance:
+        df, rebalance = df.hint("rebalance", *partition_by), False
     watched, observation = observed(df, "write", **metrics)
     stored = df.sparkSession.read.schema(df.schema)
     if only is None:
@@ -105,18 +118,25 @@ def checked_write(
     return counts
 
 
-def compact_table(spark: SparkSession, source: str, target: str, cluster_by: tuple[str, ...], spread: str) -> None:
-    """Rewrite a table into fewer files, ordered by `cluster_by` so that min/max statistics prune.
+def compact_table(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    cluster_by: tuple[str, ...],
+    spread: str,
+    partition_by: tuple[str, ...] = (),
+    file_bytes: int = 256 << 20,
+) -> int:
+    """Rewrite a table into files of about `file_bytes`, ordered by `cluster_by` so that min/max statistics prune.
 
     The range also covers a hash of `spread`: a single hot value of the cluster columns can then
-    still be cut into several files. Without a partition count AQE sizes the files.
+    still be cut into several files. With `partition_by` the folders of the table are kept: they lead the
+    range, so a file belongs to one folder or, at the edge of a range, to two. Returns the number of ranges.
     """
-    table = spark.read.parquet(source)
-    columns = [F.col(c) for c in cluster_by]
-    (
-        table.repartitionByRange(*columns, F.xxhash64(spread))
-        .sortWithinPartitions(*columns)
-        .write.mode("overwrite")
-        .option("compression", "snappy")
-        .parquet(target)
-    )
+    files = max(1, -(-folder_bytes(spark, source) // file_bytes))
+    table = spark.read.option("mergeSchema", "true").parquet(source)
+    columns = [F.col(c) for c in (*partition_by, *cluster_by)]
+    ordered = table.repartitionByRange(files, *columns, F.xxhash64(spread)).sortWithinPartitions(*columns)
+    writer = ordered.write.mode("overwrite").option("compression", "snappy").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(target)
+    return files

@@ -70,13 +70,15 @@ def in_months_from(day: date) -> Column:
 
 
 def recent(df: DataFrame, as_of: datetime, ts: str, by_month: bool = False, **span: int) -> DataFrame:
-    """Rows not older than `span` (arguments of timedelta) before `as_of`.
+    """Rows not older than `span` (arguments of timedelta) before `as_of`, and none after it.
+
+    A run that is repeated later, or dated back, sees what was there at its time.
 
     `by_month` says that the columns `year` and `month`, if there, belong to `ts`; a table
     partitioned by them then skips all older folders.
     """
     start = as_of - timedelta(**span)
-    rows = df.filter(F.col(ts) >= F.lit(start))
+    rows = df.filter((F.col(ts) >= F.lit(start)) & (F.col(ts) <= F.lit(as_of)))
     return rows.filter(in_months_from(start.date())) if by_month and {"year", "month"} <= set(df.columns) else rows
 
 

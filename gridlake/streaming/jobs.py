@@ -20,10 +20,11 @@ from gridlake.sources.landing import landing_schema
 LATENESS = "1 hour"
 
 
-def landing_stream(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """Landed JSON files as they arrive."""
+def landing_stream(spark: SparkSession, path: str, kind: str, files_each: int | None = None) -> DataFrame:
+    """Landed JSON files as they arrive; at most `files_each` in a micro-batch."""
+    reader = spark.readStream if files_each is None else spark.readStream.option("maxFilesPerTrigger", files_each)
     return (
-        spark.readStream.schema(landing_schema(kind))
+        reader.schema(landing_schema(kind))
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", schemas.CORRUPT)
         .json(path)
@@ -43,10 +44,23 @@ def bronze_stream(landed: DataFrame, kind: str, batch_id: str) -> DataFrame:
 
 
 def expected_only(rows: DataFrame, policy: str = "drop") -> DataFrame:
-    """`drop` removes rows that break an expectation, `warn` names the broken ones."""
+    """`drop` removes rows that break an expectation, `warn` names the broken ones. `quarantined` has the removed ones."""
+    if policy not in ("drop", "warn"):
+        raise ValueError(f"unknown policy {policy!r}: a stream has one output, run `quarantined` next to `drop`")
     return quality.apply_policy(rows, quality.power_rules(), {"warn": "flag"}.get(policy, policy))[0]
 
 
+def rejected_stream(landed: DataFrame, kind: str) -> DataFrame:
+    """The landed payloads that `bronze_stream` leaves out, each with its reason; a second sink for them."""
+    return payloads.rejected(payloads.check_payloads(landed, kind))
+
+
+def quarantined(rows: DataFrame) -> DataFrame:
+    """The rows that `expected_only` removes, with the names of the broken expectations; a second sink for them."""
+    good, bad = quality.apply_policy(rows, quality.power_rules(), "quarantine")
+    return bad
+
+
 def first_arrivals(rows: DataFrame, keys: tuple[str, ...], ts: str = "timestamp", lateness: str = LATENESS) -> DataFrame:
     """The first row of each key within the watermark."""
     return rows.withWatermark(ts, lateness).dropDuplicatesWithinWatermark(list(keys))
@@ -68,7 +82,7 @@ def half_hour_totals(rows: DataFrame, by: tuple[str, ...], lateness: str = LATEN
         )
         .withColumn("timestamp_30min", F.col("_slot.start"))
         .drop("_slot")
-        .withColumns({"year": F.year("timestamp_30min"), "month": F.month("timestamp_30min")})
+        .withColumns({"year": F.year("timestamp_30min"), "month": F.month("timestamp_30min"), "day": F.dayofmonth("timestamp_30min")})
     )
 
 

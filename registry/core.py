@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridlake.functions import taxonomy
 from gridlake.plans import gold, silver
 from gridlake.session import prepare
 from gridlake.sources import staging
@@ -137,20 +136,45 @@ def twin(body: str, columns: str = "", digits: dict[str, int] | None = None) ->
 # SQL text of the shared expressions -----------------------------------------------------------
 
 
-def _case(branches: list[tuple[str, str]], default: str) -> str:
-    return f"CASE {' '.join(f'WHEN {condition} THEN {result}' for condition, result in branches)} ELSE {default} END"
-
-
-def _holds(text: str, *words: str) -> str:
-    return " AND ".join(f"contains({text}, '{word}')" for word in words)
-
-
 def fine_sql(name: str) -> str:
-    return _case([(_holds(f"lower(trim({name}))", *words), f"'{label}'") for words, label in taxonomy.FINE_TYPES], f"trim({name})")
+    """The fine types, written out: the engine's table of rules is not used here."""
+    return f"""CASE
+      WHEN lower(trim({name})) LIKE '%solar%' AND lower(trim({name})) LIKE '%gross%' THEN 'Solar gross'
+      WHEN lower(trim({name})) LIKE '%solar%' THEN 'Solar'
+      WHEN lower(trim({name})) LIKE '%wind%' AND lower(trim({name})) LIKE '%onshore%' THEN 'Wind onshore'
+      WHEN lower(trim({name})) LIKE '%wind%' AND lower(trim({name})) LIKE '%offshore%' THEN 'Wind offshore'
+      WHEN lower(trim({name})) LIKE '%wind%' THEN 'Wind'
+      WHEN lower(trim({name})) LIKE '%nuclear%' THEN 'Nuclear'
+      WHEN lower(trim({name})) LIKE '%coal%' AND lower(trim({name})) LIKE '%brown%' THEN 'Brown coal'
+      WHEN lower(trim({name})) LIKE '%coal%' AND lower(trim({name})) LIKE '%hard%' THEN 'Hard coal'
+      WHEN lower(trim({name})) LIKE '%coal%' THEN 'Coal'
+      WHEN lower(trim({name})) LIKE '%gas%' AND lower(trim({name})) LIKE '%fossil%' THEN 'Fossil gas'
+      WHEN lower(trim({name})) LIKE '%gas%' THEN 'Gas'
+      WHEN lower(trim({name})) LIKE '%hydro%' AND lower(trim({name})) LIKE '%run%' THEN 'Hydro Run-of-River'
+      WHEN lower(trim({name})) LIKE '%hydro%' AND lower(trim({name})) LIKE '%reservoir%' THEN 'Hydro Reservoir'
+      WHEN lower(trim({name})) LIKE '%hydro%' THEN 'Hydro'
+      WHEN lower(trim({name})) LIKE '%battery%' THEN 'Battery Storage (Capacity)'
+      WHEN lower(trim({name})) LIKE '%biomass%' THEN 'Biomass'
+      WHEN lower(trim({name})) LIKE '%waste%' THEN 'Waste'
+      WHEN lower(trim({name})) LIKE '%oil%' THEN 'Oil'
+      WHEN lower(trim({name})) LIKE '%other%' THEN 'Other'
+      ELSE trim({name}) END"""
 
 
 def coarse_sql(name: str) -> str:
-    return _case([(_holds(f"upper(trim({name}))", word), f"'{label}'") for word, label in taxonomy.COARSE_TYPES], name)
+    """The coarse types, written out. Of the twelve rules the last five can only be met by names without the first seven words."""
+    return f"""CASE
+      WHEN contains(upper(trim({name})), 'WIND') THEN 'Wind'
+      WHEN contains(upper(trim({name})), 'SOLAR') THEN 'Solar'
+      WHEN contains(upper(trim({name})), 'NUCLEAR') THEN 'Nuclear'
+      WHEN contains(upper(trim({name})), 'FOSSIL') THEN 'Fossil'
+      WHEN contains(upper(trim({name})), 'HYDRO') THEN 'Hydro'
+      WHEN contains(upper(trim({name})), 'BIOMASS') THEN 'Biomass'
+      WHEN contains(upper(trim({name})), 'GEOTHERMAL') THEN 'Geothermal'
+      WHEN contains(upper(trim({name})), 'PV') THEN 'Solar PV'
+      WHEN contains(upper(trim({name})), 'RUN_OF_RIVER') THEN 'Run of River'
+      WHEN contains(upper(trim({name})), 'PUMPED_STORAGE') THEN 'Pumped Storage'
+      ELSE {name} END"""
 
 
 def title_sql(name: str) -> str:
@@ -159,9 +183,28 @@ def title_sql(name: str) -> str:
 
 
 def plant_sql(name: str, field: str) -> str:
-    at = ("name", "category", "controllability", "description").index(field)
-    other = [title_sql(name), *[f"'{value}'" for value in taxonomy.OTHER_PLANT]][at]
-    return _case([(_holds(f"lower({name})", word), f"'{values[at]}'") for word, *values in taxonomy.PLANT_ATTRIBUTES], other)
+    """Plant attributes, written out: name, category, controllability and description by the first word that the name holds."""
+    found = f"""CASE
+      WHEN lower({name}) LIKE '%solar%' THEN {{'name': 'Solar', 'category': 'Renewable', 'controllability': 'Weather_Dependent',
+        'description': 'Photovoltaic and solar thermal power'}}
+      WHEN lower({name}) LIKE '%wind%' THEN {{'name': 'Wind', 'category': 'Renewable', 'controllability': 'Weather_Dependent',
+        'description': 'Onshore and offshore wind power'}}
+      WHEN lower({name}) LIKE '%hydro%' THEN {{'name': 'Hydro', 'category': 'Renewable', 'controllability': 'Controllable',
+        'description': 'Hydroelectric power'}}
+      WHEN lower({name}) LIKE '%nuclear%' THEN {{'name': 'Nuclear', 'category': 'Non-Renewable', 'controllability': 'Controllable',
+        'description': 'Nuclear power plants'}}
+      WHEN lower({name}) LIKE '%coal%' THEN {{'name': 'Coal', 'category': 'Non-Renewable', 'controllability': 'Controllable',
+        'description': 'Coal-fired power plants'}}
+      WHEN lower({name}) LIKE '%gas%' THEN {{'name': 'Fossil Gas', 'category': 'Non-Renewable', 'controllability': 'Controllable',
+        'description': 'Gas-fired power plants'}}
+      WHEN lower({name}) LIKE '%biomass%' THEN {{'name': 'Biomass', 'category': 'Renewable', 'controllability': 'Controllable',
+        'description': 'Biomass and biogas plants'}}
+      WHEN lower({name}) LIKE '%oil%' THEN {{'name': 'Oil', 'category': 'Non-Renewable', 'controllability': 'Controllable',
+        'description': 'Oil-fired power plants'}}
+      WHEN lower({name}) LIKE '%battery%' THEN {{'name': 'Battery Storage', 'category': 'Renewable', 'controllability': 'Mixed',
+        'description': 'Battery energy storage systems'}}
+      ELSE {{'name': {title_sql(name)}, 'category': 'Mixed', 'controllability': 'Mixed', 'description': 'Other or unknown type'}} END"""
+    return f"({found})['{field}']"
 
 
 def slot_sql(ts: str, minutes: int = 30) -> str:

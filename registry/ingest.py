@@ -73,10 +73,10 @@ def capacity_payloads(lake) -> DataFrame:
     ordered = F.col("o_orderdate").cast("timestamp")
     p, t = F.date_format(ordered, "MM.yyyy"), F.col("o_totalprice")
     texts = [
-        _text('{"time":["', p, '","02.2002"],"production_types":[{"name":"Solar gross","data":[', t,
-              ',0.1]},{"name":"Wind onshore","data":[8500.5]}]}'),
-        _text('{"time":["', p, '","13.2002"],"production_types":[{"name":"Solar gross","data":[', t, ",0.1]}]}"),
-        _text('{"time":["1.2002"],"production_types":[{"name":"Wind onshore","data":[', t, "]}]}"),
+        _text('{"time":["', p, '","05.2011"],"production_types":[{"name":"Solar gross","data":[', t,
+              ',0.1]},{"name":"Wind onshore","data":[7310.25]}]}'),
+        _text('{"time":["', p, '","13.2011"],"production_types":[{"name":"Solar gross","data":[', t, ",0.1]}]}"),
+        _text('{"time":["1.2011"],"production_types":[{"name":"Wind onshore","data":[', t, "]}]}"),
         _text('{"time":["', p, '"]}'),
         _text("{}"),
     ]
@@ -132,8 +132,8 @@ def _(lake):
     """SELECT o_orderdate AS ingestion_date, strftime(o_orderdate, '%m.%Y') AS time_period,
         CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS timestamp, 'Solar gross' AS production_type,
         o_totalprice AS installed_capacity FROM orders WHERE o_orderkey % 5 = 0
-      UNION ALL SELECT o_orderdate, '02.2002', TIMESTAMP '2002-02-01', 'Solar gross', 0.1 FROM orders WHERE o_orderkey % 5 = 0
-      UNION ALL SELECT o_orderdate, '1.2002', TIMESTAMP '2002-01-01', 'Wind onshore', o_totalprice
+      UNION ALL SELECT o_orderdate, '05.2011', TIMESTAMP '2011-05-01', 'Solar gross', 0.1 FROM orders WHERE o_orderkey % 5 = 0
+      UNION ALL SELECT o_orderdate, '1.2011', TIMESTAMP '2011-01-01', 'Wind onshore', o_totalprice
         FROM orders WHERE o_orderkey % 5 = 2""",
     "ingestion_date time_period timestamp production_type installed_capacity",
 )

@@ -246,7 +246,7 @@ def _(lake):
         avg_electricity_produced / nullif(installed_mw, 0) AS utilisation
       FROM half_hours h JOIN dim USING (production_type_id)
       LEFT JOIN (SELECT production_type, country, timestamp + INTERVAL 270 MONTH AS mon, sum(installed_power) * 1000 AS installed_mw
-        FROM s_capacity GROUP BY 1, 2, 3) AS c
+        FROM s_capacity WHERE is_valid GROUP BY 1, 2, 3) AS c
       ON c.production_type = production_plant_name AND c.country = h.country AND c.mon = date_trunc('month', timestamp_30min)""",
     digits={"avg_electricity_produced": 4, "installed_mw": 0, "utilisation": 9},
 )

@@ -138,7 +138,7 @@ def test_shuffle_size(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         assert size_shuffles(spark, 1000) == int(before)
-        assert size_shuffles(spark, 10 << 40) == 100_000 and size_shuffles(spark, 1 << 40) == 100_000
+        assert size_shuffles(spark, 100 << 40) == 1_638_401 and size_shuffles(spark, 1 << 40) == 1_638_401
         spark.conf.set("spark.sql.shuffle.partitions", before)
         assert size_shuffles(spark, 1 << 40) == 16_385
     finally:
