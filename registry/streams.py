@@ -56,7 +56,7 @@ def _(lake):
     keys = ("production_type", "country", "timestamp_30min")
     path = scratch_path(lake.spark, "stream")
     totals = jobs.half_hour_totals(typed, keys[:2])
-    jobs.run_to_upsert(totals, path, scratch_path(lake.spark, "progress"), keys, ("year", "month"), ("data_points_count",), "update")
+    jobs.run_to_upsert(totals, path, scratch_path(lake.spark, "progress"), keys, ("year", "month", "day"), ("data_points_count",), "update")
     return lake.spark.read.parquet(path)
 
 
@@ -68,5 +68,5 @@ def _(lake):
 def _(lake):
     rows = silver.standardized_power(_power(lake))
     path = scratch_path(lake.spark, "stream")
-    jobs.run_to_upsert(rows, path, scratch_path(lake.spark, "progress"), KEYS, ("year", "month"), silver.NEWEST)
+    jobs.run_to_upsert(rows, path, scratch_path(lake.spark, "progress"), KEYS, ("year", "month", "day"), silver.NEWEST)
     return lake.spark.read.parquet(path)

@@ -59,6 +59,31 @@ def test_updated_windows_replace_stored_ones(spark, folder):
     assert got == [(0, 4.0, 2), (1800, 7.0, 1)]
 
 
+def test_a_small_batch_rewrites_one_day(spark, folder):
+    source, sink, progress = folder("in"), folder("out"), folder("progress")
+    day = 86400
+
+    def stamps():
+        return {f.split("day=")[1].split("/")[0]: f for f in spark.read.parquet(sink).inputFiles()}
+
+    for batch in ([(0, "a", 1, 1), (day, "a", 1, 1), (2 * day, "a", 1, 1)], [(day + 60, "a", 5, 2)]):
+        before = stamps() if batch[0][1] == "a" and len(batch) == 1 else None
+        _files(spark, source, batch)
+        dated = _stream(spark, source).withColumn("day", F.dayofmonth("timestamp"))
+        jobs.run_to_upsert(dated, sink, progress, ("timestamp", "k"), ("month", "day"), ("t",))
+    after = stamps()
+    assert {d for d in after if after[d] != before[d]} == {"2"} and spark.read.parquet(sink).count() == 4
+
+
+def test_second_sinks_hold_the_rest(spark, folder):
+    source = folder("in")
+    _files(spark, source, [(0, "a", 1, 1), (0, "b", -1, 1)])
+    rows_in = _stream(spark, source).withColumn("electricity_generated", F.col("v").cast("double"))
+    sink = folder("held")
+    jobs.run_to_files(jobs.quarantined(rows_in), sink, folder("progress"))
+    assert rows(spark.read.parquet(sink), "k", F.array_join("failed_rules", ",")) == [("b", "positive_value")]
+
+
 def test_expectations_warn_or_drop(spark, folder):
     source = folder("in")
     _files(spark, source, [(0, "a", 1, 1), (0, "b", -1, 1)])

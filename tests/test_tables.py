@@ -123,3 +123,41 @@ def test_dimension_history(spark, pairs):
 def test_family_names_are_unique(spark, pairs):
     dim = gold.dim_production_type([pairs("Wind offshore", "Wind onshore", "Wind")], utc(2024, 1, 1), "family")
     assert dim.count() == 1 and dim.first().production_plant_name == "Wind"
+
+
+def test_upsert_loses_no_column_and_prefers_what_arrives(spark, folder):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for shuffles in ("1", "7"):
+            spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+            path = folder("upserted")
+            first = spark.range(300).selectExpr("id AS k", "1 AS t", "id AS v", "concat('x', id) AS extra", "id % 3 AS p")
+            merge.upsert_table(spark, path, first, ("k",), ("p",), ("t",))
+            # The same rows again by another rule, without one column and with a new one, in another order.
+            again = spark.range(300).repartition(5).filter("id % 3 < 2").selectExpr("id AS k", "1 AS t", "id + 1000 AS v", "true AS fresh", "id % 3 AS p")
+            merge.upsert_table(spark, path, again, ("k",), ("p",), ("t",))
+            stored = spark.read.option("mergeSchema", "true").parquet(path)
+            assert stored.count() == 300
+            assert stored.filter("extra <> concat('x', k) or extra is null").isEmpty()
+            assert stored.filter("p < 2 and (v <> k + 1000 or not fresh)").isEmpty()
+            assert stored.filter("p = 2 and (v <> k or fresh)").isEmpty()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_compaction_keeps_folders_and_sizes_files(spark, folder):
+    source, target = folder("scattered"), folder("compacted")
+    rows_in = spark.range(40_000).selectExpr("id % 4 AS p", "id AS k", "md5(cast(id AS string)) AS v")
+    rows_in.repartition(32).write.partitionBy("p").parquet(source)
+    files = tables.compact_table(spark, source, target, ("k",), "v", partition_by=("p",), file_bytes=300_000)
+    written = spark.read.parquet(target).inputFiles()
+    assert files == -(-tables.folder_bytes(spark, source) // 300_000) and files <= len(written) <= files + 4 < 32
+    assert all("/p=" in f for f in written) and spark.read.parquet(target).count() == 40_000
+
+
+def test_many_folders_make_a_flat_condition(spark):
+    from gridlake.operators.merge import _one_of
+
+    folders = [{"y": y, "d": d} for y in range(150) for d in (*range(20), None)]
+    df = spark.createDataFrame([(3, 5), (3, 77), (3, None), (200, 1)], "y int, d int")
+    assert df.filter(_one_of(folders, ("y", "d"))).count() == 2
