@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridlake.workspace import materialise
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 # Rows that a Python worker receives at a time: texts can be long, and two workers share an executor.
@@ -20,9 +23,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound what a Python worker holds at a time."""
+    """Bound what a Python worker holds at a time, and let workers of this machine import this package.
+
+    On a cluster the package is installed or passed along like any other; the added path is then of no effect.
+    """
     for key, value in BATCH_ROWS.items():
         spark.conf.set(key, value)
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if ROOT not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, known]))
 
 
 def ascii_lower(text: Column) -> Column:
