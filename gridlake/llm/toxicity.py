@@ -33,6 +33,7 @@ SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARS = 1_200, 1_500, 8_000
 THRESHOLD = 0.3
 SPAN_PROBABILITY = 0.5
 LEAST_NEIGHBOURS = 5
+FAINT = 0.1  # lower probabilities don't add up to a toxic word, however long the text
 ROUNDS = 40
 
 _WORD = re.compile(r"\w+")
@@ -196,7 +197,7 @@ def fit(frame: pd.DataFrame, share: float, rounds: int = ROUNDS) -> Model:
     model.weights = {f: round(float(weights[i]), 4) for f, i in names.items() if abs(weights[i]) >= 0.05}
     e = np.bincount(word_of, weights[feature_of], len(own))[words]
     p = model.marginals(np.clip(e, -20, 20), begins)
-    expected = np.bincount(doc_of, p, len(docs))
+    expected = np.bincount(doc_of, np.where(p >= FAINT, p, 0), len(docs))
     ends = np.cumsum([len(doc) for doc in docs])
     surest = np.array([_surest(p[end - len(doc) : end], words[end - len(doc) : end]) for doc, end in zip(docs, ends)])
     model.curve = _curve(_inputs(expected, surest), labels, share)
@@ -274,7 +275,7 @@ class Tagger:
         for i, (text, n, end) in enumerate(zip(texts, counts.tolist(), ends.tolist())):
             own = p[end - n : end]
             if n:
-                expected[i], surest[i] = own.sum(), _surest(own, places[i])
+                expected[i], surest[i] = own[own >= FAINT].sum(), _surest(own, places[i])
             spans.append(_spans(text, own) if n and surest[i, 0] >= SPAN_PROBABILITY else [])
         return pd.DataFrame({"score": self.model.score(expected, surest), "expected": expected, "spans": spans})
 
