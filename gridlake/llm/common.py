@@ -6,7 +6,6 @@ import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gridlake.workspace import materialise
 
@@ -46,12 +45,7 @@ def with_type(df: DataFrame, name: str, kind: str) -> Column:
     return (F.col(f"`{name}`") if name in df.columns else F.lit(None)).cast(kind)
 
 
-def sized(df: DataFrame, rows_each: int, least: int = 1) -> int:
-    """How many partitions of about `rows_each` rows a written table needs."""
-    return max(least, -(-df.count() // rows_each))
-
-
-def components(edges: DataFrame, name: str = "components", rounds_kept: int = 2) -> DataFrame:
+def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components: `(node, root)` for each node of `edges (u, v)`, root being the smallest node reached.
 
     Alternates the two star operations (link each larger neighbour to the smallest neighbour; then link the smaller
@@ -86,6 +80,3 @@ def components(edges: DataFrame, name: str = "components", rounds_kept: int = 2)
     roots = current.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
 
-
-def schema_of(*fields: tuple[str, str]) -> T.StructType:
-    return T.StructType([T.StructField(name, T._parse_datatype_string(kind)) for name, kind in fields])

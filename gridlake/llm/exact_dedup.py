@@ -13,7 +13,7 @@ Only DataFrame functions; grouping combines before each shuffle, and each group
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridlake.llm.common import ascii_lower, with_type
@@ -115,13 +115,8 @@ def exact_dedup(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
 
 
 def survivors(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The documents that stay, one row for each text, with the columns of `docs`.
-
-    Rows to drop are named by their key: the documents with copies are looked up, the others pass.
-    """
-    from pyspark.sql import Window
-
+    """The documents that stay, one row for each text, with the columns of `docs`."""
     marked = exact_dedup(docs, block_chars)
-    # Only rows that are kept in spite of copies can be listed repeatedly; unique ones get a key of their own kind.
+    # A document that is listed repeatedly is kept in each of its rows.
     order = Window.partitionBy("row_key").orderBy("row_key")
     return marked.filter("kept").withColumn("nth", F.row_number().over(order)).filter("nth = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
