@@ -1,7 +1,5 @@
 """Reports, features, baselines."""
 
-from datetime import datetime, timezone
-
 from pyspark.sql import functions as F
 
 from gridlake.operators import series
