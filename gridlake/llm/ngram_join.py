@@ -290,8 +290,8 @@ def _candidates(reps: DataFrame, runs: int, threshold: float) -> DataFrame:
     members = materialise(sigs.mapInPandas(_first_level(runs, threshold, LEVELS), "bucket long, node long"), "members")
     small, edges, level = [], [], LEVELS
     while True:
-        sizes = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-        live = materialise(members.join(sizes, "bucket").select("bucket", "node", "n"), "live")
+        sizes = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("pivot")).filter("n > 1")
+        live = materialise(members.join(sizes, "bucket").select("bucket", "node", "n", "pivot"), "live")
         brute = live if level > DEPTH else live.filter(F.col("n") <= SMALL_BUCKET)
         # Past the last level a large bucket is dealt into blocks, each pair of which meets once.
         blocks = F.ceil(F.col("n") / (SMALL_BUCKET / 2)).cast("int")
@@ -305,9 +305,7 @@ def _candidates(reps: DataFrame, runs: int, threshold: float) -> DataFrame:
         large = live.filter(F.col("n") > SMALL_BUCKET)
         if large.isEmpty():
             break
-        pivots = large.groupBy("bucket").agg(F.min("node").alias("pivot"))
-        pivots = pivots.join(sigs.select(F.col("node").alias("pivot"), F.col("sig").alias("pivot_sig")), "pivot")
-        faced = large.filter("node is not null").join(sigs, "node").join(pivots, "bucket")
+        faced = large.join(sigs, "node").join(sigs.select(F.col("node").alias("pivot"), F.col("sig").alias("pivot_sig")), "pivot")
         # Members of a hot bucket are dealt out evenly before they are compared.
         faced = faced.select("bucket", "node", "sig", "pivot", "pivot_sig").repartition("node", "bucket")
         split = materialise(faced.mapInPandas(_split(threshold, threshold + 0.05, apart), "kind int, a long, b long"), "split")
