@@ -85,9 +85,16 @@ class Model:
 
     def marginals(self, emissions: np.ndarray, begins: np.ndarray) -> np.ndarray:
         """Probability of the toxic tag at each word; `begins` marks the first word of each document."""
-        x, y = self._odds(np.exp(emissions), begins)
+        x, y = self.odds(np.exp(emissions), begins)
         return 1 - 1 / (1 + x * y)
 
+    def odds(self, e: np.ndarray, begins: np.ndarray, most: int = 200_000) -> tuple[np.ndarray, np.ndarray]:
+        """Odds of the toxic tag from the words up to each one and from those after it, some documents at a time."""
+        starts = np.flatnonzero(begins)
+        cuts = sorted({0, len(e), *starts[np.searchsorted(starts, np.arange(most, int(starts[-1]) + 1, most))].tolist()})
+        parts = [self._odds(e[a:b], begins[a:b]) for a, b in zip(cuts, cuts[1:])]
+        return np.concatenate([x for x, _ in parts]), np.concatenate([y for _, y in parts])
+
     def _odds(self, e: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         into, out, stay, start = math.exp(self.into), math.exp(self.out), math.exp(self.stay), math.exp(self.start)
         one = np.ones(len(e))
@@ -150,15 +157,16 @@ def fit(frame: pd.DataFrame, share: float, rounds: int = ROUNDS) -> Model:
     if not len(labels) or labels.min() == labels.max():
         return Model()
     vocabulary: dict[str, int] = {}
-    docs = [[vocabulary.setdefault(w, len(vocabulary)) for w in _WORD.findall(text.lower())] for text in frame["text"]]
-    names: dict[str, int] = {}
-    own = [[names.setdefault(f, len(names)) for f in features(w)] for w in vocabulary]
-    word_of = np.repeat(np.arange(len(own)), [len(f) for f in own])
-    feature_of = np.array([f for fs in own for f in fs])
-    words = np.array([w for doc in docs for w in doc])
-    doc_of = np.repeat(np.arange(len(docs)), [len(doc) for doc in docs])
+    docs = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in _WORD.findall(text.lower())], np.int32) for text in frame["text"]]
+    n_words = len(vocabulary)
+    word_of, feature_of, names = _index(list(vocabulary))
+    del vocabulary
+    words = np.concatenate(docs)
+    doc_of = np.repeat(np.arange(len(docs), dtype=np.int32), [len(doc) for doc in docs])
+    if not len(words):
+        return Model()
     begins = np.append(True, doc_of[1:] != doc_of[:-1])
-    toxic_words, seen_with = _toxic_words(words, doc_of, begins, labels, word_of, feature_of, len(names))
+    toxic_words, seen_with = _toxic_words(words, doc_of, begins, labels, word_of, feature_of, n_words, len(names))
     # A feature with few different neighbours would only learn its document by heart.
     common = seen_with >= LEAST_NEIGHBOURS
     word_of, feature_of = word_of[common[feature_of]], feature_of[common[feature_of]]
@@ -171,10 +179,10 @@ def fit(frame: pd.DataFrame, share: float, rounds: int = ROUNDS) -> Model:
     was, now = target[:-1][inner], target[1:][inner]
     for _ in range(rounds):
         model.start, model.into, model.out, model.stay = trans
-        e = np.exp(np.clip(np.bincount(word_of, weights[feature_of], len(own)), -20, 20))[words]
-        x, y = model._odds(e, begins)
+        e = np.exp(np.clip(np.bincount(word_of, weights[feature_of], n_words), -20, 20))[words]
+        x, y = model.odds(e, begins)
         p = 1 - 1 / (1 + x * y)
-        gap = np.bincount(words, target - p, len(own))
+        gap = np.bincount(words, target - p, n_words)
         step = np.bincount(feature_of, gap[word_of], len(names)) - 0.02 * weights
         # Expected transitions, unnormalised: from the odds before and after.
         before, after = x[:-1][inner], (e * y)[1:][inner]
@@ -193,8 +201,8 @@ def fit(frame: pd.DataFrame, share: float, rounds: int = ROUNDS) -> Model:
         weights += 0.8 * step / np.sqrt(seen)
         trans += 0.3 * step_trans / np.sqrt(seen_trans)
     model.start, model.into, model.out, model.stay = map(float, trans)
-    model.weights = {f: round(float(weights[i]), 4) for f, i in names.items() if abs(weights[i]) >= 0.05}
-    e = np.bincount(word_of, weights[feature_of], len(own))[words]
+    model.weights = {names[i]: round(float(weights[i]), 4) for i in np.flatnonzero(np.abs(weights) >= 0.05)}
+    e = np.bincount(word_of, weights[feature_of], n_words)[words]
     p = model.marginals(np.clip(e, -20, 20), begins)
     expected = np.bincount(doc_of, np.where(p >= FAINT, p, 0), len(docs))
     ends = np.cumsum([len(doc) for doc in docs])
@@ -203,14 +211,47 @@ def fit(frame: pd.DataFrame, share: float, rounds: int = ROUNDS) -> Model:
     return model
 
 
-def _toxic_words(words, doc_of, begins, labels, word_of, feature_of, n_features) -> tuple[np.ndarray, np.ndarray]:
+class Names:
+    """The names of features by their number, kept in parts."""
+
+    def __init__(self, parts: list[np.ndarray]):
+        self.parts, self.starts = parts, np.cumsum([0, *map(len, parts)])
+
+    def __len__(self) -> int:
+        return int(self.starts[-1])
+
+    def __getitem__(self, i: int) -> str:
+        part = int(np.searchsorted(self.starts, i, side="right")) - 1
+        return str(self.parts[part][i - self.starts[part]])
+
+
+def _index(words: list[str]) -> tuple[np.ndarray, np.ndarray, Names]:
+    """The features of all words as pairs of numbers (word, feature), and the names of the features.
+
+    Built from arrays of equal-sized texts: a table of text objects would take several times the memory.
+    """
+    heads, length = np.array(words, dtype="U8"), np.array([len(w) for w in words])
+    word_of, feature_of = [np.arange(len(words), dtype=np.int32)], [np.arange(len(words), dtype=np.int32)]
+    names, used = [np.array(["=" + w for w in words], dtype=object)], len(words)
+    for n in range(3, 9):
+        rows = np.flatnonzero(length >= n).astype(np.int32)
+        found, which = np.unique(heads[rows].astype(f"U{n}"), return_inverse=True)
+        word_of.append(rows)
+        feature_of.append((used + which).astype(np.int32))
+        names.append(np.char.add("<", found) if len(found) else np.array([], dtype="U9"))
+        used += len(found)
+
+    return np.concatenate(word_of), np.concatenate(feature_of), Names(names)
+
+
+def _toxic_words(words, doc_of, begins, labels, word_of, feature_of, n_words, n_features) -> tuple[np.ndarray, np.ndarray]:
     """Which words of the vocabulary have a feature that marks toxic documents; how many neighbours each feature has."""
-    before = np.append(-1, words[:-1])
-    before[begins] = -1
-    toxic = labels[doc_of]
-    pairs = np.unique(np.stack([toxic, words, before]), axis=1)
+    before = np.append(0, words[:-1] + 1).astype(np.int64)
+    before[begins] = 0
+    # Different (label, word, word before it), each as one number.
+    pairs = np.unique((labels[doc_of].astype(np.int64) * n_words + words) * (n_words + 1) + before) // (n_words + 1)
     n = len(np.unique(words))
-    seen = [np.bincount(pairs[1][pairs[0] == y], minlength=int(word_of.max()) + 1) for y in (0, 1)]
+    seen = [np.bincount(pairs[pairs // n_words == y] % n_words, minlength=n_words) for y in (0, 1)]
     clean, bad = (np.bincount(feature_of, s[word_of], n_features) for s in seen)
     rate = seen[1].sum() / max(1, seen[0].sum() + seen[1].sum())
     total = clean + bad
@@ -221,7 +262,7 @@ def _toxic_words(words, doc_of, begins, labels, word_of, feature_of, n_features)
 
     evidence = 2 * (part(bad, share, rate) + part(clean, 1 - share, 1 - rate))
     marks = (share >= 0.9) & (evidence >= 2 * math.log(max(n, 2) / 0.05))
-    found = np.zeros(int(word_of.max()) + 1, bool)
+    found = np.zeros(n_words, bool)
     found[word_of[marks[feature_of]]] = True
     # A toxic document in which nothing is marked: its most telling word is, if it is telling at all.
     best = np.zeros(len(found))
