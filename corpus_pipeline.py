@@ -11,15 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake.llm import exact_dedup, ngram_join, packing, pii, toxicity
-from gridlake.llm.common import table
+from gridlake.llm.common import carried, table
 from gridlake.workspace import materialise
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model, fitted on the labelled ones among them, doesn't call toxic."""
     model = toxicity.trained(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score(docs, model).filter(F.col("toxicity.score") < toxicity.THRESHOLD)
-    return scored.select(*[F.col(f"`{c}`") for c in docs.columns])
+    scored = toxicity.score(carried(docs, ("text", "string")), model)
+    return scored.filter(F.col("toxicity.score") < toxicity.THRESHOLD).select("carried_row.*")
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,6 +45,15 @@ def with_type(df: DataFrame, name: str, kind: str) -> Column:
     return (F.col(f"`{name}`") if name in df.columns else F.lit(None)).cast(kind)
 
 
+def carried(docs: DataFrame, *needed: tuple[str, str]) -> DataFrame:
+    """`docs` with each row as one struct, `carried_row`, next to typed copies of the columns an operator needs.
+
+    Whatever else a table holds, no column of it can clash with one that the operator adds.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(row.alias("carried_row"), *[with_type(docs, name, kind).alias(name) for name, kind in needed])
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components: `(node, root)` for each node of `edges (u, v)`, root being the smallest node reached.
 

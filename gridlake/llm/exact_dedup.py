@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridlake.llm.common import ascii_lower, with_type
+from gridlake.llm.common import ascii_lower, carried, with_type
 from gridlake.workspace import materialise
 
 BLOCK_CHARS = 4096
@@ -116,7 +116,7 @@ def exact_dedup(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
 
 def survivors(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The documents that stay, one row for each text, with the columns of `docs`."""
-    marked = exact_dedup(docs, block_chars)
+    marked = exact_dedup(carried(docs, ("doc_id", "long"), ("text", "string")), block_chars)
     # A document that is listed repeatedly is kept in each of its rows.
     order = Window.partitionBy("row_key").orderBy("row_key")
-    return marked.filter("kept").withColumn("nth", F.row_number().over(order)).filter("nth = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return marked.filter("kept").withColumn("nth", F.row_number().over(order)).filter("nth = 1").select("carried_row.*")

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridlake.llm.common import components, small_batches, with_type
+from gridlake.llm.common import carried, components, small_batches, with_type
 from gridlake.llm.shingles import SHINGLE_WORDS, Words, mix, shingles
 from gridlake.workspace import materialise
 
@@ -395,7 +395,7 @@ def _marked(docs: DataFrame, **settings) -> DataFrame:
 
 def survivors(docs: DataFrame, **settings) -> DataFrame:
     """The rows that stay, one for each doc_id and group, with the columns of `docs`. Empty texts all stay."""
-    marked = _marked(docs, **settings)
+    marked = _marked(carried(docs, ("doc_id", "long"), ("text", "string")), **settings)
     order = Window.partitionBy("class", "doc_id").orderBy("class")
     stays = marked.filter("kept").withColumn("nth", F.row_number().over(order)).filter("nth = 1")
-    return stays.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return stays.select("carried_row.*")

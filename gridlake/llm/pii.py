@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.llm.common import with_type
+from gridlake.llm.common import carried, with_type
 
 BASE = ("email", "ip", "card", "phone")
 ADDED = ("number", "key")
@@ -327,7 +327,7 @@ def redact(docs: DataFrame, model: Model, least: float = LEAST) -> DataFrame:
 
     `n_chars`, if there is such a column, is set to the new length. Null texts stay null; other columns stay as they are.
     """
-    marked = annotate(docs, model, least)
+    marked = annotate(carried(docs, ("text", "string")), model, least)
 
     def whole(spans: Column) -> Column:
         """Spans by start, without those that begin inside an earlier one, as the first of them stands for all."""
@@ -353,7 +353,6 @@ def redact(docs: DataFrame, model: Model, least: float = LEAST) -> DataFrame:
         return F.concat(F.array_join(F.transform(spans, piece), ""), F.substring(text, last + 1, F.char_length(text) - last))
 
     text = F.when(F.size("pii") == 0, F.col("text")).otherwise(let(whole(F.col("pii")), written))
-    out = marked.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast("long"))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    changed = {"text": F.col("text"), "n_chars": F.char_length("text").cast("long")}
+    columns = [changed.get(c, F.col(f"carried_row.`{c}`")).alias(c) for c in docs.columns]
+    return marked.withColumn("text", text).select(*columns)

@@ -91,6 +91,17 @@ def test_exact_dedup_survivors(spark, docs):
     assert sorted(r.text.lower() for r in exact_dedup.survivors(twice).collect()) == ["aa", "b"]
 
 
+def test_clashing_columns_are_kept(spark):
+    """Stages give back columns that are called like their own results as they were."""
+    rows = [(1, "a text of six words here", "k1", "c1", "p1", "t1", 7), (2, "another text, write to a@b.cd", "k2", "c2", "p2", "t2", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept string, class string, pii string, toxicity string, n_chars long")
+    for stage in (exact_dedup.survivors, ngram_join.survivors, lambda d: pii.redact(d, pii.fit(d))):
+        out = stage(docs)
+        assert out.columns == docs.columns
+        assert sorted(r[2:6] for r in out.collect()) == [r[2:6] for r in rows]
+    assert {r.text: r.n_chars for r in pii.redact(docs, pii.fit(docs)).collect()} == {rows[0][1]: 24, "another text, write to <EMAIL>": 30}
+
+
 def test_ngram_join_answers(docs):
     out = by_id(ngram_join.mark(docs), "group_id", "n_links", "kept")
     assert out[1] == (1, 2, True) and out[2] == (1, 2, False)
