@@ -90,9 +90,7 @@ class Model:
 
     def odds(self, e: np.ndarray, begins: np.ndarray, most: int = 200_000) -> tuple[np.ndarray, np.ndarray]:
         """Odds of the toxic tag from the words up to each one and from those after it, some documents at a time."""
-        starts = np.flatnonzero(begins)
-        cuts = sorted({0, len(e), *starts[np.searchsorted(starts, np.arange(most, int(starts[-1]) + 1, most))].tolist()})
-        parts = [self._odds(e[a:b], begins[a:b]) for a, b in zip(cuts, cuts[1:])]
+        parts = [self._odds(e[a:b], begins[a:b]) for a, b in _lots(begins, most)]
         return np.concatenate([x for x, _ in parts]), np.concatenate([y for _, y in parts])
 
     def _odds(self, e: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -109,6 +107,13 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(_inputs(expected, surest) @ np.array(self.curve), -30, 30)))
 
 
+def _lots(begins: np.ndarray, most: int = 100_000) -> list[tuple[int, int]]:
+    """Ranges of whole documents of about so many words."""
+    starts = np.flatnonzero(begins)
+    cuts = sorted({0, len(begins), *starts[np.searchsorted(starts, np.arange(most, int(starts[-1]) + 1, most))].tolist()})
+    return list(zip(cuts, cuts[1:]))
+
+
 def _inputs(expected: np.ndarray, surest: np.ndarray) -> np.ndarray:
     return np.column_stack([np.ones(len(expected)), np.log1p(expected), surest])
 
@@ -170,32 +175,22 @@ def fit(frame: pd.DataFrame, share: float, rounds: int = ROUNDS) -> Model:
     # A feature with few different neighbours would only learn its document by heart.
     common = seen_with >= LEAST_NEIGHBOURS
     word_of, feature_of = word_of[common[feature_of]], feature_of[common[feature_of]]
-    target = (toxic_words[words] & (labels[doc_of] == 1)).astype(float)
+    target = (toxic_words[words] & (labels[doc_of] == 1)).astype(np.float32)
 
     # Gradient ascent with a step of its own for each weight.
     model, weights, trans = Model(), np.zeros(len(names)), np.array([-3.0, -3.0, 0.0, 0.0])
     seen, seen_trans = np.full(len(names), 1e-6), np.full(4, 1e-6)
-    inner = ~begins[1:]
-    was, now = target[:-1][inner], target[1:][inner]
+    lots = _lots(begins)
     for _ in range(rounds):
         model.start, model.into, model.out, model.stay = trans
-        e = np.exp(np.clip(np.bincount(word_of, weights[feature_of], n_words), -20, 20))[words]
-        x, y = model.odds(e, begins)
-        p = 1 - 1 / (1 + x * y)
-        gap = np.bincount(words, target - p, n_words)
+        odds = np.exp(np.clip(np.bincount(word_of, weights[feature_of], n_words), -20, 20))
+        gap, step_trans = np.zeros(n_words), -0.02 * trans
+        for first, end in lots:
+            own, at = words[first:end], begins[first:end]
+            more, moved = _slope(model, odds[own], target[first:end], at)
+            gap += np.bincount(own, more, n_words)
+            step_trans += moved
         step = np.bincount(feature_of, gap[word_of], len(names)) - 0.02 * weights
-        # Expected transitions, unnormalised: from the odds before and after.
-        before, after = x[:-1][inner], (e * y)[1:][inner]
-        into, out, stay = np.exp(model.into) * after, np.exp(model.out) * before, np.exp(model.stay) * before * after
-        total = 1 + into + out + stay
-        step_trans = np.array(
-            [
-                (target - p)[begins].sum(),
-                ((1 - was) * now - into / total).sum(),
-                (was * (1 - now) - out / total).sum(),
-                (was * now - stay / total).sum(),
-            ]
-        ) - 0.02 * trans
         seen += step**2
         seen_trans += step_trans**2
         weights += 0.8 * step / np.sqrt(seen)
@@ -211,6 +206,20 @@ def fit(frame: pd.DataFrame, share: float, rounds: int = ROUNDS) -> Model:
     return model
 
 
+def _slope(model: Model, e: np.ndarray, target: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Labels less marginals of each word, and the same for the transitions (start, into, out, within)."""
+    x, y = model.odds(e, begins)
+    gap = target - 1 + 1 / (1 + x * y)
+    inner = ~begins[1:]
+    was, now = target[:-1][inner], target[1:][inner]
+    # Expected transitions, unnormalised: from the odds before and after.
+    before, after = x[:-1][inner], (e * y)[1:][inner]
+    into, out, stay = np.exp(model.into) * after, np.exp(model.out) * before, np.exp(model.stay) * before * after
+    total = 1 + into + out + stay
+    moved = [gap[begins].sum(), ((1 - was) * now - into / total).sum(), (was * (1 - now) - out / total).sum(), (was * now - stay / total).sum()]
+    return gap, np.array(moved)
+
+
 class Names:
     """The names of features by their number, kept in parts."""
 
