@@ -1,11 +1,14 @@
 """License notices in texts: MinHash bands over overlapping windows retrieve templates, exact containment verifies them.
 
-A template is a set of shingles of five words. Templates are classed by size, and each class has windows that are long
+A template is a set of shingles of five words; a notice of fewer words is one shingle of its own length, and is looked for
+word by word. Other templates are classed by size, and each class has windows that are long
 enough, and overlap far enough, to hold a whole template of it somewhere. Windows and templates get one MinHash value a
 band; a window is compared with the templates that it shares a band with. A window that holds the asked share of a template
 of its class resembles it at least by `least_similarity`, and the number of bands follows from that and the asked
 probability: bands = ln(1 - probability) / ln(1 - least similarity).
 
+Finds of short notices neither displace longer ones nor give way to them.
+
 A text without a word of `anchors` can't hold enough of any template and is passed over, which loses nothing.
 
 Only DataFrame functions, all within the row: no shuffle, no join. Templates are a parameter of a few dozen entries and
@@ -48,6 +51,8 @@ TEMPLATES = (
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
 )
+SHORT_TEMPLATES = (("All-Rights-Reserved", "All rights reserved."),)
+NOTICES = TEMPLATES + SHORT_TEMPLATES
 
 
 def words_of(text: str) -> list[str]:
@@ -55,8 +60,9 @@ def words_of(text: str) -> list[str]:
 
 
 def shingles_of(text: str) -> list[str]:
+    """Runs of five words; fewer words are one shingle."""
     words = words_of(text)
-    return sorted({" ".join(words[i : i + WORDS]) for i in range(len(words) - WORDS + 1)})
+    return sorted({" ".join(words[i : i + WORDS]) for i in range(max(0, len(words) - WORDS) + 1)}) if words else []
 
 
 def least_similarity(size: int, width: int, containment: float) -> float:
@@ -132,28 +138,32 @@ def _banded(band: int):
 
 
 def scan(
-    docs: DataFrame, templates=TEMPLATES, containment: float = CONTAINMENT, probability: float = PROBABILITY
+    docs: DataFrame, templates=NOTICES, containment: float = CONTAINMENT, probability: float = PROBABILITY
 ) -> DataFrame:
     """The rows of `docs` with `licenses`: array of (license, begin, end, share) by begin; places are numbers of words.
 
     A notice is found where at least `containment` of a template's shingles stand within a window of its class; begin is
     the first word of its first shingle there, end follows the last word of its last. Overlapping finds of one license
-    are one; a find that overlaps one of a higher share goes. Words are runs of letters and digits in lower case. Null and empty texts have none; neither have texts of
-    less than five words. Repeated rows get the same answer; a column of `docs` called licenses is replaced; an empty
-    table gives an empty result. Templates of less than five words can't be found and are refused.
+    are one; a find that overlaps one of a higher share goes. A template of less than five words is found where all its
+    words stand in a row, unless a longer find of the same license covers part of them. Words are runs of letters and
+    digits in lower case. Null and empty texts have none. Repeated rows get the same answer; a column of `docs` called
+    licenses is replaced; an empty table gives an empty result. Templates without a word are refused.
     """
     templates = list(templates)
     if len(templates) > MOST_TEMPLATES:
         raise ValueError(f"more than {MOST_TEMPLATES} templates: they become literals of the plan")
-    sizes = [len(shingles_of(text)) for _, text in templates]
-    if not all(sizes):
-        raise ValueError("a template needs five words at least")
+    if not all(words_of(text) for _, text in templates):
+        raise ValueError("a template needs a word at least")
     text = F.lower(F.coalesce(with_type(docs, "text", "string"), F.lit("")))
     none = F.array().cast("array<struct<license:string,begin:int,end:int,share:double>>")
     if not templates:
         return docs.withColumn("licenses", none)
+    wanted = anchors(templates, containment)
+    short = sorted({(name, *words_of(text)) for name, text in templates if len(words_of(text)) < WORDS})
+    templates = [(name, text) for name, text in templates if len(words_of(text)) >= WORDS]
+    sizes = [len(shingles_of(text)) for _, text in templates]
     classes = kinds(sizes)
-    bands = max(kind.bands(containment, probability) for kind in classes)
+    bands = max((kind.bands(containment, probability) for kind in classes), default=0)
     signatures = _signatures(docs.sparkSession, templates, bands)
 
     def finds(hashes: Column) -> Column:
@@ -202,11 +212,30 @@ def scan(
         places = F.sequence(F.lit(1), F.size(words) - WORDS + 1)
         return F.transform(places, lambda i: F.xxhash64(F.array_join(F.slice(words, i, WORDS), " ")))
 
+    def in_a_row(words: Column, name: str, notice: tuple[str, ...]) -> Column:
+        """All places where a short notice stands."""
+
+        def stands(i: Column) -> Column:
+            fits = F.get(words, i) == F.lit(notice[0])
+            for k, word in enumerate(notice[1:], 1):
+                fits = fits & (F.get(words, i + k) == F.lit(word))
+            return fits
+
+        def row(i: Column) -> Column:
+            return F.struct(F.lit(name).alias("license"), i.cast("int").alias("begin"), (i + len(notice)).cast("int").alias("end"), F.lit(1.0).alias("share"))
+
+        return F.transform(F.filter(F.sequence(F.lit(0), F.size(words)), stands), row)
+
     def of_words(words: Column) -> Column:
-        return F.when(F.size(words) >= WORDS, let(hashed(words), finds))
+        long = F.when(F.size(words) >= WORDS, let(hashed(words), finds)) if templates else none
+        long = let(F.array_sort(F.array_distinct(F.coalesce(long, none)), _earlier), _joined)
+        if not short:
+            return long
+        brief = F.concat(*[in_a_row(words, name, tuple(notice)) for name, *notice in short])
+        return let(long, lambda a: let(let(F.array_sort(F.array_distinct(brief), _earlier), _joined), lambda b: _with_short(a, b)))
 
-    found = F.when(F.rlike(text, F.lit("|".join(map(re.escape, anchors(templates, containment))))), let(F.regexp_extract_all(text, F.lit(r"[\p{L}\p{N}]+"), F.lit(0)), of_words))
-    return docs.withColumn("licenses", F.coalesce(let(F.array_sort(F.array_distinct(found), _earlier), _joined), none))
+    found = F.when(F.rlike(text, F.lit("|".join(map(re.escape, wanted)))), let(F.regexp_extract_all(text, F.lit(r"[\p{L}\p{N}]+"), F.lit(0)), of_words))
+    return docs.withColumn("licenses", F.coalesce(found, none))
 
 
 def _earlier(a: Column, b: Column) -> Column:
@@ -232,4 +261,17 @@ def _joined(finds: Column) -> Column:
         """Without those that overlap a find of a higher share: versions of a license differ in a few shingles."""
         return F.filter(all_, lambda a: ~F.exists(all_, lambda b: (b.begin < a.end) & (b.end > a.begin) & (b.share > a.share)))
 
-    return F.array_sort(let(merged, best), lambda a, b: F.when(a.begin < b.begin, -1).when(a.begin > b.begin, 1).when(a.license < b.license, -1).when(a.license > b.license, 1).otherwise(0))
+    return F.array_sort(let(merged, best), _by_place)
+
+
+def _by_place(a: Column, b: Column) -> Column:
+    return F.when(a.begin < b.begin, -1).when(a.begin > b.begin, 1).when(a.license < b.license, -1).when(a.license > b.license, 1).otherwise(0)
+
+
+def _with_short(finds: Column, short: Column) -> Column:
+    """Both by begin; a short notice that overlaps a find of its own license is part of that."""
+
+    def covered(a: Column) -> Column:
+        return F.exists(finds, lambda b: (b.license == a.license) & (b.begin < a.end) & (b.end > a.begin))
+
+    return F.array_sort(F.concat(finds, F.filter(short, lambda a: ~covered(a))), _by_place)

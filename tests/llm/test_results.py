@@ -291,6 +291,23 @@ def test_licenses_against_sets(spark, corpus):
             assert 0 <= x.begin < x.end <= len(words)
 
 
+def test_short_licenses_are_found(spark, corpus):
+    """Every planted line of three words is found where it stands, also alone and twice, and next to longer notices."""
+    rows = [*corpus[1].items(), (10_000, "All rights reserved."), (10_001, "all rights\nRESERVED, all rights reserved"), (10_002, "rights reserved all"), (10_003, "Released under the MIT License. All rights reserved.")]
+    found = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "licenses").collect()
+    got = {r.doc_id: [(x.begin, x.end) for x in r.licenses if x.license == "All-Rights-Reserved"] for r in found}
+    want = {}
+    for i, text in rows:
+        words = license_scan.words_of(text)
+        want[i] = [(k, k + 3) for k in range(len(words)) if words[k : k + 3] == ["all", "rights", "reserved"]]
+    assert got == want and sum(map(bool, want.values())) > 5
+    assert [x.license for r in found if r.doc_id == 10_003 for x in r.licenses] == ["MIT", "All-Rights-Reserved"]
+    short = [("A", "public domain"), ("B", "this text is in the public domain for all")]
+    one = spark.createDataFrame([(1, "so this text is in the public domain for any")], "doc_id long, text string")
+    assert [x.license for x in license_scan.scan(one, short, containment=0.7).first().licenses] == ["B", "A"]
+    assert [x.license for x in license_scan.scan(one, short[:1]).first().licenses] == ["A"]
+
+
 def test_license_bands_guarantee():
     for kind in license_scan.kinds([1, 2, 4, 8, 16, 32]):
         for size in range(kind.low, kind.high + 1):
