@@ -5,8 +5,9 @@ counts learnt from labelled documents. The script of a word, found by ranges of
 seen in that script. A Viterbi path over the words, with a penalty for each change of language, labels spans; the language
 that covers most letters is the document's.
 
-Most texts are in one language throughout. A constant path is the best one if no run of words gains more than the penalty
-by going over to any one other language, which sums over all runs at once show; only other texts need the path itself.
+Most texts are in one language throughout. A constant path is the best one if no run of words gains more than half of the
+penalty by going over to any one other language, which sums over all runs at once show: m changes leave at most m + 1 runs
+in other languages, so they gain at most (m + 1) / 2 penalties and cost m. Only other texts need the path itself.
 """
 
 from __future__ import annotations
@@ -159,7 +160,7 @@ def best_path(scores: np.ndarray, penalty: float = PENALTY) -> np.ndarray:
     # The most that a run of words gains by each other language: rise of the running sum over its lowest point before.
     sums = np.cumsum(np.delete(scores, home, axis=1) - scores[:, [home]], axis=0)
     low = np.minimum.accumulate(np.vstack([np.zeros((1, k - 1)), sums]), axis=0)[:-1]
-    if (sums - low).max() <= penalty:
+    if (sums - low).max() <= penalty / 2:
         return np.full(n, home)
     back, best, any_best = np.empty((n, k), np.int32), scores[0].copy(), np.arange(k)
     back[0] = any_best

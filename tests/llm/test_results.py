@@ -179,6 +179,12 @@ def test_language_paths_are_the_best(spark):
         assert np.isclose(value(path), best)
 
 
+def test_language_paths_without_the_best_constant():
+    """Two halves in languages 0 and 2, with language 1 the best one throughout: the best path never uses it."""
+    scores = np.array([(0.0, -2.0, -8.0)] * 5 + [(-8.0, -2.0, 0.0)] * 5)
+    assert language_id.best_path(scores, 12.0).tolist() == [0] * 5 + [2] * 5
+
+
 def test_mixed_text_is_split(spark, corpus):
     docs, texts = corpus
     langs = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
