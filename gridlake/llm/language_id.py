@@ -1,6 +1,7 @@
 """Languages of texts and of their parts.
 
-Each word has a score for each language: the log probability of its letters in threes and of the word as a whole, under
+A word is a run of letters of one script, of at most 64 letters: longer runs, as in scripts without blanks, and runs that
+change their script are cut into several, which all count. Each word has a score for each language: the log probability of its letters in threes and of the word as a whole, under
 counts learnt from labelled documents. The script of a word, found by ranges of code points, narrows the languages to those that were
 seen in that script. A Viterbi path over the words, with a penalty for each change of language, labels spans; the language
 that covers most letters is the document's.
@@ -48,16 +49,45 @@ SCRIPTS = (
     ("han", 0x3400, 0x9FFF),
     ("hangul", 0xAC00, 0xD7AF),
 )
-_WORD = re.compile(r"[^\W\d_]+")
+LONGEST = 64  # letters that are scored at once
+_RUN = re.compile(r"[^\W\d_]+")
+# Letters of one script, at most LONGEST at a time: each script, then those outside of all ranges.
+_IN_SCRIPT = {name: "".join(f"{chr(low)}-{chr(high)}" for own, low, high in SCRIPTS if own == name) for name, _, _ in SCRIPTS}
+_LETTER = r"[^\W\d_]"
+_WORD = re.compile(
+    "|".join(rf"(?:(?=[{own}]){_LETTER}){{1,{LONGEST}}}" for own in _IN_SCRIPT.values())
+    + rf"|(?:(?![{''.join(_IN_SCRIPT.values())}]){_LETTER}){{1,{LONGEST}}}"
+)
 RESULT = "lang string, score double, spans array<struct<begin: int, end: int, lang: string>>"
 
 
 def script_of(word: str) -> str:
-    """Script of the first letter."""
+    """Script of the first letter; words are in one script throughout."""
     at = ord(word[0])
     return next((name for name, low, high in SCRIPTS if low <= at <= high), "other")
 
 
+_ONE_SCRIPT = {name: re.compile(f"[{own}]+") for name, own in _IN_SCRIPT.items()}
+
+
+def split_run(run: str) -> list[str]:
+    """A run of letters, cut where the script changes and after every `LONGEST` letters."""
+    if len(run) <= LONGEST and (run.isascii() or (one := _ONE_SCRIPT.get(script_of(run))) and one.fullmatch(run)):
+        return [run]
+    return _WORD.findall(run)
+
+
+def words_of(text: str) -> list[str]:
+    """All letters of a text in pieces of one script."""
+    runs = _RUN.findall(text)
+    if text.isascii() and max(map(len, runs), default=0) <= LONGEST:
+        return runs
+    cut = {run: split_run(run) for run in set(runs)}
+    if all(len(pieces) == 1 for pieces in cut.values()):
+        return runs
+    return [piece for run in runs for piece in cut[run]]
+
+
 def grams(word: str) -> list[str]:
     padded = f"^{word.lower()}$"
     return [padded, *[padded[i : i + 3] for i in range(len(padded) - 2)]]
@@ -77,7 +107,7 @@ class Model:
         at, missing = self.scores, len(self.table) - 1
         places, counts = [], []
         for word in words:
-            own = [at.get(g, missing) for g in grams(word[:64])]
+            own = [at.get(g, missing) for g in grams(word)]
             places += own
             counts.append(len(own))
         n = np.array(counts)
@@ -128,11 +158,11 @@ def fit(rows: list[tuple[str, str]]) -> Model:
     counts: dict[str, Counter] = {}
     scripts: dict[str, Counter] = {}
     for lang, text in rows:
-        words = Counter(_WORD.findall(text.lower()))
+        words = Counter(words_of(text.lower()))
         own, by_script = counts.setdefault(lang, Counter()), scripts.setdefault(lang, Counter())
         for word in words:
             by_script[script_of(word)] += 1
-            own.update(grams(word[:64]))
+            own.update(grams(word))
     model = Model(languages=sorted(counts))
     if not model.languages:
         return model
@@ -187,7 +217,7 @@ class Labeler:
             self.at, self.known = {}, np.zeros((0, 1))
         at, places, sizes, new = self.at, [], [], []
         for text in texts:
-            words = _WORD.findall(text)
+            words = words_of(text)
             for word in set(words).difference(at):
                 at[word] = len(at)
                 new.append(word)
@@ -220,7 +250,7 @@ class Labeler:
         first = np.concatenate([[0], change])
         last = np.concatenate([change, [len(path)]]) - 1
         if len(first) == 1:
-            found = _WORD.search(text)
+            found = _RUN.search(text)
             stop = len(text)
             while stop and not text[stop - 1].isalpha():
                 stop -= 1

@@ -199,6 +199,20 @@ def test_scripts_narrow_languages():
     assert language_id.Labeler(model).label(["незнакомый", "unknownish", "άγνωστος"])["lang"].tolist() == ["ru", "en", "el"]
 
 
+def test_long_runs_and_script_changes_are_read():
+    """Letters after the 64th of a run, and a change of script inside of it, are labelled like others."""
+    model = language_id.fit([("ru", "привет мир друг"), ("en", "hello world friend"), ("el", "καλημέρα κόσμε"), ("xx", "abcde" * 12 + "qqzzv" * 20)])
+    labeler = language_id.Labeler(model)
+    row = labeler.label(["hello" + "мир" * 30]).iloc[0]
+    assert [(s["begin"], s["end"], s["lang"]) for s in row.spans] == [(0, 5, "en"), (5, 95, "ru")] and row.lang == "ru"
+    assert "qqz" in model.scores
+    text = "é日本語かなkana" + "я" * 130 + "ツ x1y_z" + "𐎀" * 70
+    pieces = language_id.words_of(text)
+    assert "".join(pieces) == "".join(c for c in text if c.isalpha()) and max(map(len, pieces)) == 64
+    assert all(len({language_id.script_of(c) for c in piece}) == 1 for piece in pieces)
+    assert pieces == language_id._WORD.findall(text)
+
+
 @pytest.fixture(scope="module")
 def vocabulary():
     return piece_codec.vocabulary(PIECES)
