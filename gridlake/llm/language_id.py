@@ -25,9 +25,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.llm.common import small_batches, with_type
+from gridlake.workspace import materialise
 
-SAMPLE_DOCS, SAMPLE_CHARS = 1_000, 5_000  # the model is fitted on so many documents of each language, none longer
-MOST_LANGUAGES = 64
+SAMPLE_DOCS, SAMPLE_CHARS = 1_000, 5_000  # the model is fitted on so many documents of each language, and on so much of each
 PENALTY = 12.0
 UNKNOWN = "und"
 
@@ -125,25 +125,19 @@ class Model:
 def sample(docs: DataFrame, most: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> list[tuple[str, str]]:
     """(lang, text) that a model is fitted on: per language, a bounded number of documents in the order of a hash.
 
-    Rows whose crc32(doc_id) mod 5 is 0 are held out. The share of each language that is looked at follows from its
-    count, so no language, however frequent, is gathered in one place.
+    All languages take part. Of a longer document a window of `chars` characters, drawn by the hash, enters. Rows whose
+    crc32(doc_id) mod 5 is 0 are held out. The share of each language that is looked at follows from its count, so no
+    language, however frequent, is gathered in one place.
     """
     text, lang = with_type(docs, "text", "string"), with_type(docs, "lang", "string")
     doc_id = with_type(docs, "doc_id", "long")
-    known = docs.filter(lang.isNotNull() & text.isNotNull() & doc_id.isNotNull() & (F.char_length(text) <= chars) & ~held_out(docs)).select(lang.alias("lang"), F.xxhash64(text, doc_id).alias("h"), text.alias("text"))
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
-    picked = []
-    for row in counts:
-        # A fifth more than wanted, so that chance doesn't leave too few.
-        share = min(1.0, 1.2 * most / row["count"])
-        own = known.filter((F.col("lang") == row["lang"]) & (F.pmod("h", F.lit(1_000_000)) < share * 1_000_000))
-        picked.append(own.select("lang", "h", "text"))
-    if not picked:
-        return []
-    frame = picked[0]
-    for more in picked[1:]:
-        frame = frame.unionByName(more)
-    rows = sorted((r.lang, r.h, r.text) for r in frame.collect())
+    known = docs.filter(lang.isNotNull() & text.isNotNull() & doc_id.isNotNull() & ~held_out(docs)).select(lang.alias("lang"), F.xxhash64(text, doc_id).alias("h"), text.alias("text"))
+    # A fifth more than wanted, so that chance doesn't leave too few.
+    counts = materialise(known.groupBy("lang").agg((1.2 * most / F.count("*")).alias("share")), "languages")
+    picked = known.join(counts, "lang").filter(F.pmod("h", F.lit(1_000_000)) < F.col("share") * 1_000_000)
+    spare = F.greatest(F.char_length("text") - chars, F.lit(0))
+    window = F.substring("text", F.pmod(F.xxhash64("h"), spare + 1).cast("int") + 1, F.lit(chars))
+    rows = sorted((r.lang, r.h, r.text) for r in picked.select("lang", "h", window.alias("text")).collect())
     seen: Counter = Counter()
     out = []
     for lang_, _, text_ in rows:

@@ -165,6 +165,18 @@ def test_languages_held_out(spark, corpus):
     assert sum(r.lang == r.p for r in out) / len(out) > 0.98
 
 
+def test_every_language_is_learnt(spark):
+    """More languages than 64, one of which has long documents only; these enter by a window."""
+    rows = [(10 * k + i, f"w{chr(97 + k % 26)}{chr(97 + k // 26)}q x{chr(97 + k // 26)}{chr(97 + k % 26)}z ", f"l{k:02}") for k in range(70) for i in range(10)]
+    rows += [(1000 + i, "lang abc " * 2000, "long") for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sampled = language_id.sample(docs)
+    assert {lang for lang, _ in sampled} == {r[2] for r in rows} and max(len(text) for _, text in sampled) == language_id.SAMPLE_CHARS
+    assert Counter(lang for lang, _ in language_id.sample(docs, most=2))["l05"] <= 2
+    out = language_id.identify(docs, language_id.fit(sampled)).select("lang", "language.lang").collect()
+    assert all(a == b for a, b in out)
+
+
 def test_language_paths_are_the_best(spark):
     """The Viterbi path against all label sequences, where one constant path is best and where it is not."""
     rng = np.random.default_rng(1)
