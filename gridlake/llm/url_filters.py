@@ -1,7 +1,8 @@
 """URL filter by path-template trees.
 
 Fixed rules decide the URLs they fit, and these decisions are the labels. For the others a tree of path segments is grown
-for each host, one level at a time. At every level
+for each host, one fork at a time, to the end of the deepest path: segments that all URLs below a branch share are taken
+at once, so the number of steps is that of forks on a path, not that of its segments. At every fork
 
 - variable segments become wildcards: numbers and the like by their shape, words where a branch has many different ones
   that hardly repeat;
@@ -27,7 +28,6 @@ from gridlake.workspace import materialise
 
 Rule = tuple[str, str]
 
-LEVELS = 8  # of the tree; what lies deeper is one last segment
 MANY, RARE = 20, 0.5  # from so many different words, and so large a share of words per URL, a segment is variable
 ALPHA = 0.05  # of the Hoeffding bound
 PRIOR_WEIGHT = 5.0  # labelled URLs that the prior counts for
@@ -59,19 +59,41 @@ def shape(path: Column) -> Column:
     return F.regexp_replace(marked, r"^/+|/+$", "")
 
 
-def templates(shapes: DataFrame, levels: int = LEVELS) -> DataFrame:
+def _past_chains(state: DataFrame) -> DataFrame:
+    """`state` with each row moved on to the next fork of its branch, or to its own end if that comes first.
+
+    The rows of a branch fork where the first of them leaves the path of the last in order.
+    """
+    keys = ["host", "prefix"]
+    last = materialise(state.groupBy(*keys).agg(F.max("rest").alias("last")), "last")
+    leaves = F.filter(F.sequence(F.lit(0), F.size("rest") - 1), lambda i: ~F.get("rest", i).eqNullSafe(F.get("last", i)))
+    forks = materialise(state.join(last, keys).groupBy(*keys).agg(F.min(F.array_min(leaves)).alias("fork")), "forks")
+    step = F.least("fork", F.size("rest"))
+    chain = F.array_join(F.transform(F.slice("rest", F.lit(1), step), lambda part: F.concat(F.lit("/"), part, F.lit("~"))), "")
+    moved = state.join(forks, keys).withColumns({"prefix": F.concat("prefix", chain), "rest": F.slice("rest", step + 1, F.size("rest"))})
+    return materialise(moved.drop("fork"), "shapes")
+
+
+def templates(shapes: DataFrame) -> DataFrame:
     """(host, shape, template) for each row of `shapes`: host, shape, n, blocked, allowed."""
-    parts = F.split("shape", "/")
-    cut = F.when(F.size(parts) <= levels, parts).otherwise(F.concat(F.slice(parts, 1, levels - 1), F.array(F.lit("**"))))
-    state = shapes.select("host", "shape", "n", "blocked", "allowed", cut.alias("parts"), F.lit("").alias("prefix"))
+    state = shapes.select("host", "shape", "n", "blocked", "allowed", F.split("shape", "/").alias("rest"), F.lit("").alias("prefix"))
     state = materialise(state, "shapes")
-    depth = state.agg(F.max(F.size("parts"))).first()[0] or 0
     keys = ["host", "prefix"]
-    for level in range(depth):
-        deep = F.size("parts") > level
-        rows = state.filter(deep).withColumn("part", F.get("parts", F.lit(level)))
+    done = []
+    while True:
+        ended = F.size("rest") == 0
+        done.append(state.filter(ended))
+        state = state.filter(~ended)
+        if state.isEmpty():
+            break
+        state = _past_chains(state)
+        done.append(state.filter(ended))
+        state = state.filter(~ended)
+        if state.isEmpty():
+            break
+        rows = state.withColumn("part", F.get("rest", F.lit(0)))
         counts = [F.sum(c).alias(c) for c in ("n", "blocked", "allowed")]
-        ends = F.sum(F.when(F.size("parts") == level + 1, F.col("n")).otherwise(0)).alias("ends")
+        ends = F.sum(F.when(F.size("rest") == 1, F.col("n")).otherwise(0)).alias("ends")
         branches = materialise(rows.groupBy(*keys, "part").agg(*counts, ends), "branches")
         # Words that hardly repeat under one parent.
         word = ~F.rlike("part", F.lit("[#%*]"))
@@ -96,9 +118,11 @@ def templates(shapes: DataFrame, levels: int = LEVELS) -> DataFrame:
             *keys, "name", F.when(alike, F.concat(F.col("top.name"), F.lit("~"))).otherwise(F.col("name")).alias("token")
         )
         tokens = materialise(general.select(*keys, "part", "name").join(merged, [*keys, "name"]).select(*keys, "part", "token"), "tokens")
-        moved = state.withColumn("part", F.coalesce(F.get("parts", F.lit(level)), F.lit(""))).join(tokens, [*keys, "part"], "left")
-        grown = F.when(deep, F.concat_ws("/", "prefix", F.coalesce("token", F.col("part")))).otherwise(F.col("prefix"))
-        state = materialise(moved.withColumn("prefix", grown).drop("part", "token"), "shapes")
+        moved = rows.join(tokens, [*keys, "part"]).withColumns({"prefix": F.concat_ws("/", "prefix", "token"), "rest": F.slice("rest", F.lit(2), F.size("rest"))})
+        state = materialise(moved.drop("part", "token"), "shapes")
+    state = done[0]
+    for more in done[1:]:
+        state = state.unionByName(more)
     return state.select("host", "shape", F.col("prefix").alias("template"), "n", "blocked", "allowed")
 
 

@@ -395,6 +395,18 @@ def test_url_templates_learn_from_rules(spark):
     assert {r.template for r in out if r.path.startswith("/ads")} != {r.template for r in out if r.path.startswith("/news")}
 
 
+def test_deep_urls_keep_their_branches(spark):
+    """Branches far below the root are told apart, and long repeated paths take no step for each segment."""
+    deep = "a.net/" + "/".join("abcdefg") * 3
+    rows = [f"http://{deep}/ads/{i}" for i in range(200)] + [f"http://{deep}/news/{i}" for i in range(200)]
+    rows += ["http://b.net/" + "deep/" * k for k in range(1, 300, 7)]
+    pages = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    rules = [("block", f"{deep}/ads/{k}") for k in range(1, 10)] + [("allow", f"{deep}/news/1")]
+    out = url_filters.judge(pages, rules).collect()
+    assert {(r.path.split("/")[-2], r.verdict) for r in out if r.rule is None and r.host == "a.net"} == {("ads", "block"), ("news", "allow")}
+    assert {r.template for r in out if r.host == "b.net"} == {"/deep~" * k for k in range(1, 300, 7)}
+
+
 def test_variable_words_become_wildcards(spark):
     rng = random.Random(7)
     rows = [f"http://a.org/user/{''.join(rng.choice('abcdefghij') for _ in range(8))}/posts" for _ in range(100)]
