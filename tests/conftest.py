@@ -1,6 +1,5 @@
 import os
 import sys
-from datetime import datetime, timezone
 
 import pytest
 
@@ -33,13 +32,3 @@ def folder(spark):
     from gridlake.workspace import scratch_path
 
     return lambda name="test": scratch_path(spark, name)
-
-
-def utc(*parts):
-    return datetime(*parts, tzinfo=timezone.utc)
-
-
-def rows(df, *columns):
-    """Rows as sorted tuples."""
-    found = df.select(*columns).collect() if columns else df.collect()
-    return sorted([tuple(r) for r in found], key=lambda t: tuple((v is not None, str(v)) for v in t))

@@ -1,4 +1,4 @@
-from conftest import rows, utc
+from helpers import rows, utc
 from pyspark.sql import functions as F
 
 from gridlake.functions import keys, measures, taxonomy, timeslots

@@ -2,7 +2,7 @@ import json
 from datetime import date
 
 import pytest
-from conftest import rows, utc
+from helpers import rows, utc
 from pyspark.sql import functions as F
 
 from gridlake import schemas

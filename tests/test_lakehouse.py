@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows, utc
+from helpers import rows, utc
 from pyspark.sql import functions as F
 
 from gridlake.operators import series
