@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlake.llm import embedding_dedup, exact_dedup, language_id, license_scan, ngram_join, packing, pii, piece_codec, toxicity, url_filters
+from gridlake.llm import collocations, embedding_dedup, exact_dedup, language_id, license_scan, ngram_join, packing, pii, piece_codec, toxicity, url_filters
 from gridlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -127,3 +127,32 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     listed = F.transform("licenses", lambda s: F.concat_ws(":", s.license, s.begin.cast("string"), s.end.cast("string")))
     return found.select("doc_id", F.size("licenses").alias("n_licenses"), F.concat_ws(",", listed).alias("licenses"))
+
+
+@query(
+    "op11_collocations",
+    r"""WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+      FROM documents),
+    w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+    g AS (SELECT lang, 1 AS size, unnest(ws) AS phrase FROM w
+      UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) FROM w
+      UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) FROM w),
+    f AS (SELECT lang, size, phrase, count(*) AS a FROM g GROUP BY ALL),
+    n AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang),
+    c AS (SELECT *, string_split(phrase, ' ') AS x FROM f WHERE size > 1 AND a >= 10),
+    parts AS (SELECT lang, phrase, a, 1 AS k, x[1] AS p, array_to_string(x[2:], ' ') AS q FROM c
+      UNION ALL SELECT lang, phrase, a, 2, array_to_string(x[1:2], ' '), x[3] FROM c WHERE size = 3),
+    s AS (SELECT parts.lang, parts.phrase, parts.a, k, lf.a AS l, rf.a AS r,
+        (1000000::HUGEINT * parts.a * parts.a // (lf.a::HUGEINT * rf.a))::BIGINT AS score
+      FROM parts JOIN f lf ON lf.lang = parts.lang AND lf.phrase = p JOIN f rf ON rf.lang = parts.lang AND rf.phrase = q),
+    b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    held AS (SELECT lang, h, max(a) AS a FROM (
+        SELECT lang, a, unnest([x[1] || ' ' || x[2], x[2] || ' ' || x[3]]) AS h FROM c WHERE size = 3) GROUP BY ALL),
+    kept AS (SELECT b.* FROM b LEFT JOIN held ON held.lang = b.lang AND held.h = b.phrase WHERE held.a IS NULL OR 100 * held.a < 50 * b.a)
+    SELECT kept.lang, row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+    FROM kept JOIN n ON n.lang = kept.lang QUALIFY rank <= 2000""",
+)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("lang", "text")
+    return collocations.collocations(docs).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
