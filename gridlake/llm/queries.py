@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlake.llm import collocations, embedding_dedup, exact_dedup, language_id, license_scan, ngram_join, packing, pii, piece_codec, toxicity, url_filters
+from gridlake.llm import collocations, embedding_dedup, exact_dedup, language_id, lexical_search, license_scan, ngram_join, packing, pii, piece_codec, toxicity, url_filters
 from gridlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -156,3 +156,25 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("lang", "text")
     return collocations.collocations(docs).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+@query(
+    "op13_lexical_search",
+    r"""WITH d AS (SELECT doc_id, row_number() OVER () AS one, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+    q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+    s AS (SELECT count(*) AS docs, sum(len(ts))::BIGINT AS words FROM d WHERE len(ts) > 0),
+    f AS (SELECT one, t, count(*) AS tf FROM (SELECT one, unnest(ts) AS t FROM d) GROUP BY ALL),
+    w AS (SELECT t, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM f, s GROUP BY t),
+    m AS (SELECT one, doc_id, 100 - 50 + (50 * len(ts) * docs) // words AS m FROM d, s WHERE len(ts) > 0),
+    r AS (SELECT item_id, doc_id, one, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+      FROM q JOIN f USING (t) JOIN w USING (t) JOIN m USING (one) GROUP BY ALL)
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+    FROM r WHERE score > 0 QUALIFY rank <= 50""",
+)
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical_search.search(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
