@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlake.llm import collocations, embedding_dedup, exact_dedup, language_id, lexical_search, license_scan, ngram_join, packing, pii, piece_codec, toxicity, url_filters
+from gridlake.llm import collocations, embedding_dedup, exact_dedup, language_id, lexical_search, license_scan, ngram_join, packing, pii, piece_codec, quality, toxicity, url_filters
 from gridlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -178,3 +178,15 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return lexical_search.search(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+@query("op12_quality")
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.trained(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select(
+        "doc_id",
+        quality.held_out(docs).alias("held_out"),
+        F.col("quality_score").alias("score"),
+        (F.col("quality_score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
