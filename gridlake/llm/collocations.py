@@ -230,13 +230,16 @@ def enumerate_phrases(index: Index, hashes: np.ndarray, depth: int, bitmaps: lis
         for k in range(min(size, len(bitmaps))):
             for first in range(size - k):
                 phrases = phrases.where(bitmaps[k].has(_hash(hashes, phrases.ids[:, first : first + k + 1])))
+        if not len(phrases.count):
+            return
         if size > 1:
             yield phrases
 
 
 def _words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for lang, index in _opened(batches):
-        yield pd.DataFrame({"lang": lang, "phrase": index.words[1:], "a": np.diff(index.starts)[1:], "h": _hashes(lang, index)[1:].view(np.int64)})
+        if len(index.words) > 1:
+            yield pd.DataFrame({"lang": lang, "phrase": index.words[1:], "a": np.diff(index.starts)[1:], "h": _hashes(lang, index)[1:].view(np.int64)})
 
 
 def _survey(depth: int, bitmaps: list[Bitmap]):
