@@ -20,12 +20,13 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import count
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridlake.llm.common import small_batches, with_type
@@ -36,8 +37,9 @@ MAX_WORDS = 3
 LEAST = 10  # occurrences of a candidate
 TOP = 2_000
 HELD = 50  # percent of its occurrences that lie in one longer phrase: then a phrase is dropped
-SHARD_WORDS = 1_000_000
+SHARD_WORDS = 400_000
 BITS = 24  # a bitmap has 2^24 bits
+ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 INDEX = "lang string, size long, words binary, starts binary, before binary, after binary"
 _SPLIT = bytes.maketrans(b"\t.,;:!?\n\x0b\x0c\r", b" " + b"\n" * 10)
@@ -268,6 +270,17 @@ def _counted(depth: int, bitmaps: list[Bitmap]):
     return run
 
 
+@contextmanager
+def _few_rows(spark: SparkSession, n: int) -> Iterator[None]:
+    """Rows that are large go to Python a few at a time; the session's own setting comes back."""
+    before = spark.conf.get(ROWS)
+    spark.conf.set(ROWS, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(ROWS, before)
+
+
 def indexes(docs: DataFrame, max_words: int = MAX_WORDS, shard_words: int = SHARD_WORDS) -> DataFrame:
     """One row for each shard: the transforms of its documents, written to the shared workspace."""
     small_batches(docs.sparkSession)
@@ -284,15 +297,16 @@ def phrases(index: DataFrame, max_words: int = MAX_WORDS, least: int = LEAST) ->
     """
     narrow = index.select("lang", "words", "starts", "before", "after")
     none = F.lit(b"")
-    listed = narrow.withColumn("before", none).withColumn("after", none).mapInPandas(_words, "lang string, phrase string, a long, h long")
-    words = materialise(listed.groupBy("lang", "phrase", "h").agg(F.sum("a").alias("a")), "words")
-    maps = [bitmap(words.filter(F.col("a") >= least))]
-    for depth in range(2, max_words):
-        seen = narrow.mapInPandas(_survey(depth, maps), "h long, a long").groupBy("h").agg(F.sum("a").alias("a"))
-        maps.append(bitmap(seen.filter(F.col("a") >= least)))
-    found = narrow.mapInPandas(_counted(max_words, maps), "lang string, phrase string, words int, a long, before long, after long")
-    found = found.groupBy("lang", "phrase", "words").agg(*[F.sum(c).alias(c) for c in ("a", "before", "after")])
-    return words.drop("h"), materialise(found.filter(F.col("a") >= least), "phrases")
+    with _few_rows(index.sparkSession, 2):
+        listed = narrow.withColumn("before", none).withColumn("after", none).mapInPandas(_words, "lang string, phrase string, a long, h long")
+        words = materialise(listed.groupBy("lang", "phrase", "h").agg(F.sum("a").alias("a")), "words")
+        maps = [bitmap(words.filter(F.col("a") >= least))]
+        for depth in range(2, max_words):
+            seen = narrow.mapInPandas(_survey(depth, maps), "h long, a long").groupBy("h").agg(F.sum("a").alias("a"))
+            maps.append(bitmap(seen.filter(F.col("a") >= least)))
+        found = narrow.mapInPandas(_counted(max_words, maps), "lang string, phrase string, words int, a long, before long, after long")
+        found = found.groupBy("lang", "phrase", "words").agg(*[F.sum(c).alias(c) for c in ("a", "before", "after")])
+        return words.drop("h"), materialise(found.filter(F.col("a") >= least), "phrases")
 
 
 def first_rows(df: DataFrame, group: str, order: list[Column], key: Column, n: int, rows: int) -> DataFrame:
