@@ -6,11 +6,11 @@ words only; deeper order never matters for phrases that short. A phrase is an in
 to the right with the reverse transform, and to the left with the forward one, while the other interval is narrowed by the
 number of smaller neighbours. All intervals of a depth grow at once, in numpy.
 
-Indexes are built once and written to the shared workspace; counts of shards are summed by Spark. Three reads of them give
-everything: the words; a survey of how often phrases occur, by hash, which leaves a bitmap of fixed size; and the phrases
-themselves, enumerated only where the shorter phrases they hold can be frequent in the whole corpus. A bitmap has false
-positives but misses nothing: counts are summed exactly afterwards. With a corpus so large that a bitmap fills up, more
-phrases are counted, and the result stays the same.
+Indexes are built once and written to the shared workspace; counts of shards are summed by Spark. First come the words, then
+for each length a survey: the phrases of a shard are counted by places of a hash, as many as four times the words of the
+corpus, and the sums of all shards that reach the least count leave a bitmap of fixed size. Last, phrases are counted
+themselves, where the bitmaps say that they and all their parts can be frequent. A bitmap has false positives but misses
+nothing. With a corpus so large that a bitmap fills up, more phrases are counted, and the result stays the same.
 
 A phrase is dropped if a longer one that holds it occurs at least half as often. Its score compares its count with the
 counts of the two parts of its weakest cut.
@@ -39,7 +39,8 @@ TOP = 2_000
 HELD = 50  # percent of its occurrences that lie in one longer phrase: then a phrase is dropped
 SHARD_WORDS = 400_000
 BITS = 24  # a bitmap has 2^24 bits
-ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+PLACE_BITS = 22  # a survey counts in ranges of 2^22 places
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 INDEX = "lang string, size long, words binary, starts binary, before binary, after binary"
 _SPLIT = bytes.maketrans(b"\t.,;:!?\n\x0b\x0c\r", b" " + b"\n" * 10)
@@ -244,41 +245,81 @@ def _words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"lang": lang, "phrase": index.words[1:], "a": np.diff(index.starts)[1:], "h": _hashes(lang, index)[1:].view(np.int64)})
 
 
-def _survey(depth: int, bitmaps: list[Bitmap]):
-    """Map indexes to (h, a) of the phrases of `depth` words that the bitmaps let through."""
+def _survey(depth: int, bitmaps: list[Bitmap], ranges: int, least: int):
+    """Map indexes to (range, seen): places of hashes of the phrases of `depth` words, and counts up to `least`, as bytes."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for lang, index in _opened(batches):
             hashes = _hashes(lang, index)
             for phrases in enumerate_phrases(index, hashes, depth, bitmaps):
                 if phrases.ids.shape[1] == depth:
-                    yield pd.DataFrame({"h": _hash(hashes, phrases.ids).view(np.int64), "a": phrases.count})
+                    at = (_hash(hashes, phrases.ids) & np.uint64((ranges << PLACE_BITS) - 1)).astype(np.int64)
+                    order = np.argsort(at)
+                    at, first = np.unique(at[order], return_index=True)
+                    n = np.minimum(np.add.reduceat(phrases.count[order], first), least)
+                    part = at >> PLACE_BITS
+                    cuts = np.flatnonzero(np.append(True, part[1:] != part[:-1])).tolist()
+                    seen = [_packed(at[i:j] & ((1 << PLACE_BITS) - 1), n[i:j]) for i, j in zip(cuts, [*cuts[1:], len(at)])]
+                    yield pd.DataFrame({"range": part[cuts], "seen": seen})
+
+    return run
+
+
+def _packed(at: np.ndarray, n: np.ndarray) -> bytes:
+    """Steps between rising places, and counts, lowest bytes first: most of the other bytes are zero and compress well."""
+    return np.stack([np.diff(at, prepend=0), n]).astype("<u4").view(np.uint8).reshape(2, -1, 4).transpose(0, 2, 1).tobytes()
+
+
+def _unpacked(seen: bytes) -> tuple[np.ndarray, np.ndarray]:
+    steps, n = np.frombuffer(seen, np.uint8).reshape(2, 4, -1).transpose(0, 2, 1).copy().view("<u4")[..., 0].astype(np.int64)
+    return np.cumsum(steps), n
+
+
+def _frequent(least: int):
+    """Map surveys sorted by range to the places (as the low bits of a hash) whose counts sum up to `least` or more."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own, sums = None, np.zeros(1 << PLACE_BITS, np.int64)
+
+        def found() -> pd.DataFrame:
+            return pd.DataFrame({"h": (own << PLACE_BITS) + np.flatnonzero(sums >= least)})
+
+        for batch in batches:
+            for part, seen in zip(batch["range"].tolist(), batch["seen"]):
+                if part != own:
+                    if own is not None:
+                        yield found()
+                    own, sums[:] = part, 0
+                at, n = _unpacked(seen)
+                sums[at] += n
+        if own is not None:
+            yield found()
 
     return run
 
 
 def _counted(depth: int, bitmaps: list[Bitmap]):
-    """Map indexes to (lang, phrase, words, a, before, after)."""
+    """Map indexes to (lang, phrase, a, before, after)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for lang, index in _opened(batches):
             for phrases in enumerate_phrases(index, _hashes(lang, index), depth, bitmaps):
                 texts = [" ".join([index.words[i] for i in ids]) for ids in phrases.ids.tolist()]
                 sides = {name: index.neighbours(phrases, side) for name, side in (("before", "left"), ("after", "right"))}
-                yield pd.DataFrame({"lang": lang, "phrase": texts, "words": phrases.ids.shape[1], "a": phrases.count, **sides})
+                yield pd.DataFrame({"lang": lang, "phrase": texts, "a": phrases.count, **sides})
 
     return run
 
 
 @contextmanager
-def _few_rows(spark: SparkSession, n: int) -> Iterator[None]:
-    """Rows that are large go to Python a few at a time; the session's own setting comes back."""
-    before = spark.conf.get(ROWS)
-    spark.conf.set(ROWS, str(n))
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Rows of an index are large: few go to Python at a time. The session's own setting comes back."""
+    before = spark.conf.get(BATCH_BYTES)
+    spark.conf.set(BATCH_BYTES, "8m")
     try:
         yield
     finally:
-        spark.conf.set(ROWS, before)
+        spark.conf.set(BATCH_BYTES, before)
 
 
 def indexes(docs: DataFrame, max_words: int = MAX_WORDS, shard_words: int = SHARD_WORDS) -> DataFrame:
@@ -292,30 +333,35 @@ def indexes(docs: DataFrame, max_words: int = MAX_WORDS, shard_words: int = SHAR
 def phrases(index: DataFrame, max_words: int = MAX_WORDS, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """All words, and all phrases of 2 to `max_words` words with at least `least` occurrences.
 
-    Words: (lang, phrase, a). Phrases: (lang, phrase, words, a, before, after); before and after are the occurrences that
+    Words: (lang, phrase, a). Phrases: (lang, phrase, a, before, after, words); before and after are the occurrences that
     have a word on the left and on the right within their piece.
     """
     narrow = index.select("lang", "words", "starts", "before", "after")
     none = F.lit(b"")
-    with _few_rows(index.sparkSession, 2):
+    with _small_batches(index.sparkSession):
         listed = narrow.withColumn("before", none).withColumn("after", none).mapInPandas(_words, "lang string, phrase string, a long, h long")
         words = materialise(listed.groupBy("lang", "phrase", "h").agg(F.sum("a").alias("a")), "words")
         maps = [bitmap(words.filter(F.col("a") >= least))]
-        for depth in range(2, max_words):
-            seen = narrow.mapInPandas(_survey(depth, maps), "h long, a long").groupBy("h").agg(F.sum("a").alias("a"))
-            maps.append(bitmap(seen.filter(F.col("a") >= least)))
-        found = narrow.mapInPandas(_counted(max_words, maps), "lang string, phrase string, words int, a long, before long, after long")
-        found = found.groupBy("lang", "phrase", "words").agg(*[F.sum(c).alias(c) for c in ("a", "before", "after")])
+        # A bitmap is made of the low BITS bits, so there are at least as many places.
+        places = 4 * (index.agg(F.sum("size")).first()[0] or 0)
+        ranges = 1 << max(BITS - PLACE_BITS, (places >> PLACE_BITS).bit_length())
+        for depth in range(2, max_words + 1):
+            seen = narrow.mapInPandas(_survey(depth, maps, ranges, least), "range long, seen binary")
+            dealt = seen.repartition("range").sortWithinPartitions("range")
+            maps.append(bitmap(dealt.mapInPandas(_frequent(least), "h long")))
+        found = narrow.mapInPandas(_counted(max_words, maps), "lang string, phrase string, a long, before long, after long")
+        found = found.groupBy("lang", "phrase").agg(*[F.sum(c).alias(c) for c in ("a", "before", "after")])
+        found = found.withColumn("words", F.size(F.split("phrase", " ", -1)))
         return words.drop("h"), materialise(found.filter(F.col("a") >= least), "phrases")
 
 
 def first_rows(df: DataFrame, group: str, order: list[Column], key: Column, n: int, rows: int) -> DataFrame:
-    """The first `n` rows of each group with `rank`, by rounds: no task ever holds more than about 64 n rows of a group."""
-    buckets = -(-rows // (64 * n))
+    """The first `n` rows of each group with `rank`, by rounds: no task ever holds more than about 16 n rows of a group."""
+    buckets = -(-rows // (16 * n))
     while buckets > 1:
         window = Window.partitionBy(group, F.pmod(F.xxhash64(key), F.lit(buckets))).orderBy(*order)
         df = df.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= n).drop("rank")
-        buckets = -(-buckets // 32) if buckets > 32 else 1
+        buckets = -(-buckets // 8) if buckets > 8 else 1
     return df.withColumn("rank", F.row_number().over(Window.partitionBy(group).orderBy(*order))).filter(F.col("rank") <= n)
 
 

@@ -97,6 +97,14 @@ def test_bitmap_misses_nothing(spark):
     assert not c.bitmap(spark.createDataFrame([], "h long")).words.any()
 
 
+def test_surveys_keep_places_and_counts():
+    rng = np.random.default_rng(5)
+    at = np.unique(rng.integers(0, 1 << c.PLACE_BITS, 5000))
+    n = rng.integers(1, 70_000, len(at))
+    places, counts = c._unpacked(c._packed(at, n))
+    assert (places == at).all() and (counts == n).all()
+
+
 def test_rounds_find_the_first_rows(spark):
     df = spark.range(20_000).select((F.col("id") % 2).alias("g"), F.xxhash64("id").alias("v"), F.col("id").cast("string").alias("k"))
     got = c.first_rows(df, "g", [F.asc("v"), F.asc("k")], F.col("k"), 5, 20_000)
