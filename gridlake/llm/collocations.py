@@ -9,7 +9,8 @@ number of smaller neighbours. All intervals of a depth grow at once, in numpy.
 Indexes are built once and written to the shared workspace; counts of shards are summed by Spark. First come the words, then
 for each length a survey: the phrases of a shard are counted by places of a hash, as many as four times the words of the
 corpus, and the sums of all shards that reach the least count leave a bitmap of fixed size. Last, phrases are counted
-themselves, where the bitmaps say that they and all their parts can be frequent. A bitmap has false positives but misses
+themselves, where the bitmaps say that they and all their parts can be frequent; shards send them as compressed lists, one
+for each range of places, and a task sums the lists of a range. A bitmap has false positives but misses
 nothing. With a corpus so large that a bitmap fills up, more phrases are counted, and the result stays the same.
 
 A phrase is dropped if a longer one that holds it occurs at least half as often. Its score compares its count with the
@@ -18,6 +19,7 @@ counts of the two parts of its weakest cut.
 
 from __future__ import annotations
 
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -146,7 +148,7 @@ def _shards(depth: int, most: int):
         ids = ids[ids != 1]
         known = list(names)[2:]
         index = Index.build([b"\n", *known], np.where(ids > 0, ids - 1, 0), depth)
-        arrays = [a.astype(np.int32).tobytes() for a in (index.starts, index.before, index.after)]
+        arrays = [index.starts.astype(np.int32).tobytes(), *(a.astype(_width(len(known) + 1)).tobytes() for a in (index.before, index.after))]
         return pd.DataFrame([(lang, int((ids > 0).sum()), b"\n".join(known), *arrays)], columns=["lang", "size", "words", "starts", "before", "after"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -178,11 +180,16 @@ def _shards(depth: int, most: int):
     return run
 
 
+def _width(words: int) -> type:
+    """Small vocabularies take two bytes a word."""
+    return np.uint16 if words <= 1 << 16 else np.int32
+
+
 def _opened(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[str, Index]]:
     for batch in batches:
-        for lang, words, *arrays in zip(*(batch[c] for c in ("lang", "words", "starts", "before", "after"))):
+        for lang, words, starts, *columns in zip(*(batch[c] for c in ("lang", "words", "starts", "before", "after"))):
             names = ["\n", *bytes(words).decode().split("\n")] if len(words) else ["\n"]
-            yield lang, Index(names, *(np.frombuffer(a, np.int32) for a in arrays))
+            yield lang, Index(names, np.frombuffer(starts, np.int32), *(np.frombuffer(c, _width(len(names))) for c in columns))
 
 
 def _hashes(lang: str, index: Index) -> np.ndarray:
@@ -191,6 +198,12 @@ def _hashes(lang: str, index: Index) -> np.ndarray:
     return np.array([xxhash.xxh3_64_intdigest(w, seed) for w in index.words], np.uint64)
 
 
+def _word_hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        h = [xxhash.xxh3_64_intdigest(w, xxhash.xxh3_64_intdigest(lang)) for lang, w in zip(batch["lang"], batch["phrase"])]
+        yield pd.DataFrame({"h": np.array(h, np.uint64).view(np.int64)})
+
+
 def _hash(hashes: np.ndarray, ids: np.ndarray) -> np.ndarray:
     out = hashes[ids[:, 0]]
     for k in range(1, ids.shape[1]):
@@ -198,6 +211,10 @@ def _hash(hashes: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return out
 
 
+def _places(hashes: np.ndarray, ids: np.ndarray, ranges: int) -> np.ndarray:
+    return (_hash(hashes, ids) & np.uint64((ranges << PLACE_BITS) - 1)).astype(np.int64)
+
+
 class Bitmap:
     """Which hashes may belong to frequent phrases."""
 
@@ -222,7 +239,7 @@ def bitmap(hashes: DataFrame) -> Bitmap:
 
 
 def enumerate_phrases(index: Index, hashes: np.ndarray, depth: int, bitmaps: list[Bitmap]) -> Iterator[Phrases]:
-    """Phrases of 2 to `depth` words, one length at a time; bitmap k thins out the phrases of k + 1 words, all parts included.
+    """Phrases of 1 to `depth` words, one length at a time; bitmap k thins out the phrases of k + 1 words, all parts included.
 
     Phrases grow to the right and to the left in turn.
     """
@@ -235,14 +252,7 @@ def enumerate_phrases(index: Index, hashes: np.ndarray, depth: int, bitmaps: lis
                 phrases = phrases.where(bitmaps[k].has(_hash(hashes, phrases.ids[:, first : first + k + 1])))
         if not len(phrases.count):
             return
-        if size > 1:
-            yield phrases
-
-
-def _words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for lang, index in _opened(batches):
-        if len(index.words) > 1:
-            yield pd.DataFrame({"lang": lang, "phrase": index.words[1:], "a": np.diff(index.starts)[1:], "h": _hashes(lang, index)[1:].view(np.int64)})
+        yield phrases
 
 
 def _survey(depth: int, bitmaps: list[Bitmap], ranges: int, least: int):
@@ -253,7 +263,7 @@ def _survey(depth: int, bitmaps: list[Bitmap], ranges: int, least: int):
             hashes = _hashes(lang, index)
             for phrases in enumerate_phrases(index, hashes, depth, bitmaps):
                 if phrases.ids.shape[1] == depth:
-                    at = (_hash(hashes, phrases.ids) & np.uint64((ranges << PLACE_BITS) - 1)).astype(np.int64)
+                    at = _places(hashes, phrases.ids, ranges)
                     order = np.argsort(at)
                     at, first = np.unique(at[order], return_index=True)
                     n = np.minimum(np.add.reduceat(phrases.count[order], first), least)
@@ -298,19 +308,73 @@ def _frequent(least: int):
     return run
 
 
-def _counted(depth: int, bitmaps: list[Bitmap]):
-    """Map indexes to (lang, phrase, a, before, after)."""
+def _counted(sizes: list[int], bitmaps: list[Bitmap], ranges: int):
+    """Map indexes to (lang, range, seen): phrases of the given lengths in order, with their counts, compressed."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for lang, index in _opened(batches):
-            for phrases in enumerate_phrases(index, _hashes(lang, index), depth, bitmaps):
-                texts = [" ".join([index.words[i] for i in ids]) for ids in phrases.ids.tolist()]
-                sides = {name: index.neighbours(phrases, side) for name, side in (("before", "left"), ("after", "right"))}
-                yield pd.DataFrame({"lang": lang, "phrase": texts, "a": phrases.count, **sides})
+            hashes = _hashes(lang, index)
+            for phrases in enumerate_phrases(index, hashes, max(sizes), bitmaps):
+                if phrases.ids.shape[1] not in sizes:
+                    continue
+                part = _places(hashes, phrases.ids, ranges) >> PLACE_BITS
+                order = np.argsort(part, kind="stable")
+                texts = [" ".join([index.words[i] for i in ids]) for ids in phrases.ids[order].tolist()]
+                numbers = np.stack([phrases.count, *(index.neighbours(phrases, side) for side in ("left", "right"))])[:, order]
+                cuts = np.flatnonzero(np.append(True, np.diff(part[order]) != 0)).tolist()
+                seen = [_listed(texts[i:j], numbers[:, i:j]) for i, j in zip(cuts, [*cuts[1:], len(texts)])]
+                yield pd.DataFrame({"lang": lang, "range": part[order][cuts], "seen": seen})
 
     return run
 
 
+def _listed(texts: list[str], numbers: np.ndarray) -> bytes:
+    return zlib.compress(np.append(len(texts), numbers).astype("<i8").tobytes() + "\n".join(texts).encode(), 1)
+
+
+def _unlisted(seen: bytes) -> tuple[list[str], np.ndarray]:
+    raw = zlib.decompress(seen)
+    n = int(np.frombuffer(raw, "<i8", 1)[0])
+    return raw[8 + 24 * n :].decode().split("\n"), np.frombuffer(raw, "<i8", 3 * n, 8).reshape(3, n)
+
+
+def _summed(least: int):
+    """Map lists sorted by language and range to (lang, phrase, a, before, after) of at least `least` occurrences."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own, sums = None, Sums()
+        for batch in batches:
+            for lang, part, seen in zip(batch["lang"], batch["range"].tolist(), batch["seen"]):
+                if (lang, part) != own:
+                    yield from sums.found(own, least)
+                    own, sums = (lang, part), Sums()
+                sums.add(*_unlisted(seen))
+        yield from sums.found(own, least)
+
+    return run
+
+
+class Sums:
+    """Counts of different phrases, added up."""
+
+    def __init__(self):
+        self.at, self.numbers = defaultdict(count().__next__), np.zeros((3, 0), np.int64)
+
+    def add(self, texts: list[str], numbers: np.ndarray) -> None:
+        """Each phrase once."""
+        at = np.fromiter(map(self.at.__getitem__, texts), np.int64, len(texts))
+        if len(self.at) > self.numbers.shape[1]:
+            self.numbers = np.hstack([self.numbers, np.zeros((3, len(self.at)), np.int64)])
+        self.numbers[:, at] += numbers
+
+    def found(self, own: tuple | None, least: int) -> Iterator[pd.DataFrame]:
+        keep = np.flatnonzero(self.numbers[0, : len(self.at)] >= least)
+        if len(keep):
+            texts = list(self.at)
+            a, before, after = self.numbers[:, keep]
+            yield pd.DataFrame({"lang": own[0], "phrase": [texts[i] for i in keep.tolist()], "a": a, "before": before, "after": after})
+
+
 @contextmanager
 def _small_batches(spark: SparkSession) -> Iterator[None]:
     """Rows of an index are large: few go to Python at a time. The session's own setting comes back."""
@@ -331,28 +395,30 @@ def indexes(docs: DataFrame, max_words: int = MAX_WORDS, shard_words: int = SHAR
 
 
 def phrases(index: DataFrame, max_words: int = MAX_WORDS, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
-    """All words, and all phrases of 2 to `max_words` words with at least `least` occurrences.
+    """The words, and the phrases of 2 to `max_words` words, with at least `least` occurrences.
 
-    Words: (lang, phrase, a). Phrases: (lang, phrase, a, before, after, words); before and after are the occurrences that
-    have a word on the left and on the right within their piece.
+    Columns are (lang, phrase, a, before, after, words); before and after are the occurrences that have a word on the left
+    and on the right within their piece.
     """
     narrow = index.select("lang", "words", "starts", "before", "after")
-    none = F.lit(b"")
+    # A bitmap is made of the low BITS bits of a hash, so there are at least as many places.
+    places = 4 * (index.agg(F.sum("size")).first()[0] or 0)
+    ranges = 1 << max(BITS - PLACE_BITS, (places >> PLACE_BITS).bit_length())
+
+    def counted(sizes: list[int], maps: list[Bitmap], name: str) -> DataFrame:
+        lists = narrow.mapInPandas(_counted(sizes, maps, ranges), "lang string, range long, seen binary")
+        dealt = lists.repartition("lang", "range").sortWithinPartitions("lang", "range")
+        found = dealt.mapInPandas(_summed(least), "lang string, phrase string, a long, before long, after long")
+        return materialise(found.withColumn("words", F.size(F.split("phrase", " ", -1))), name)
+
     with _small_batches(index.sparkSession):
-        listed = narrow.withColumn("before", none).withColumn("after", none).mapInPandas(_words, "lang string, phrase string, a long, h long")
-        words = materialise(listed.groupBy("lang", "phrase", "h").agg(F.sum("a").alias("a")), "words")
-        maps = [bitmap(words.filter(F.col("a") >= least))]
-        # A bitmap is made of the low BITS bits, so there are at least as many places.
-        places = 4 * (index.agg(F.sum("size")).first()[0] or 0)
-        ranges = 1 << max(BITS - PLACE_BITS, (places >> PLACE_BITS).bit_length())
+        words = counted([1], [], "words")
+        maps = [bitmap(words.mapInPandas(_word_hashes, "h long"))]
         for depth in range(2, max_words + 1):
             seen = narrow.mapInPandas(_survey(depth, maps, ranges, least), "range long, seen binary")
             dealt = seen.repartition("range").sortWithinPartitions("range")
             maps.append(bitmap(dealt.mapInPandas(_frequent(least), "h long")))
-        found = narrow.mapInPandas(_counted(max_words, maps), "lang string, phrase string, a long, before long, after long")
-        found = found.groupBy("lang", "phrase").agg(*[F.sum(c).alias(c) for c in ("a", "before", "after")])
-        found = found.withColumn("words", F.size(F.split("phrase", " ", -1)))
-        return words.drop("h"), materialise(found.filter(F.col("a") >= least), "phrases")
+        return words, counted(list(range(2, max_words + 1)), maps, "phrases")
 
 
 def first_rows(df: DataFrame, group: str, order: list[Column], key: Column, n: int, rows: int) -> DataFrame:
@@ -377,8 +443,9 @@ def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST, max_words:
     Null texts count as empty, a null lang as `und`. Texts without a word give nothing; a language without a frequent
     phrase is not in the result; an empty table gives an empty one. Repeated rows count each. Other columns don't matter.
     """
-    words, found = phrases(indexes(docs, max_words, shard_words), max_words, least)
-    parts = words.filter(F.col("a") >= least).unionByName(found.select("lang", "phrase", "a"))
+    index = indexes(docs, max_words, shard_words)
+    words, found = phrases(index, max_words, least)
+    parts = words.unionByName(found)
     split = found.withColumn("w", F.split("phrase", " ", -1)).withColumn("k", F.explode(F.expr("sequence(1, words - 1)")))
     left, right = F.expr("array_join(slice(w, 1, k), ' ')"), F.expr("array_join(slice(w, k + 1, words - k), ' ')")
     cuts = split.select("lang", "phrase", "a", "k", left.alias("left"), right.alias("right"))
@@ -395,5 +462,5 @@ def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST, max_words:
     scored = scored.join(weakest, ["lang", "phrase"]).select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score", "before", "after")
     scored = materialise(scored, "scored")
     best = first_rows(scored, "lang", [F.desc("score"), F.desc("a"), F.asc("phrase")], F.col("phrase"), top, scored.count())
-    total = words.groupBy("lang").agg(F.sum("a").alias("n"))
+    total = index.groupBy("lang").agg(F.sum("size").alias("n"))
     return best.join(total, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score", "before", "after")
