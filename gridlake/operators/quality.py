@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gridlake.functions.measures import present
 from gridlake.functions.timeslots import period_well_formed
+from gridlake.operators import moments
 from gridlake.operators.joins import lookup_join
 from gridlake.operators.quantiles import group_statistics
 from gridlake.workspace import materialise
@@ -125,17 +126,21 @@ def score_b(measure: str = "installed_capacity") -> Column:
     )
 
 
-def flag_outliers(df: DataFrame, measure: str, over: DataFrame | None = None) -> DataFrame:
+def flag_outliers(df: DataFrame, measure: str, over: DataFrame | None = None, stored: DataFrame | None = None) -> DataFrame:
     """Add `is_anomaly`: more than three sample deviations from the mean of the whole frame.
 
     `over` may be another frame with the measure, such as the full history when `df` is only its
-    newest part. The two statistics are a scalar subquery: one extra scan of a single column, no
-    collect, no join. Without deviation nothing is flagged.
+    newest part, and `stored` moments of such a history (see `moments.refresh`). The two statistics are
+    a scalar subquery: one extra scan of a single column, or of the few moments, no collect, no join.
+    Without deviation nothing is flagged.
     """
     value = present(F.col(measure)).cast("double")
-    stats = (df if over is None else over).select(value.alias("_v")).agg(
-        F.struct(F.avg("_v").alias("mean"), F.stddev("_v").alias("deviation")).alias("stats")
-    )
+    if stored is None:
+        rows = (df if over is None else over).select(value.alias("_v"))
+        mean, deviation = F.avg("_v"), F.stddev("_v")
+    else:
+        rows, mean, deviation = moments.merged(stored), F.first("mean"), F.first(moments.deviation())
+    stats = rows.agg(F.struct(mean.alias("mean"), deviation.alias("deviation")).alias("stats"))
     mean, reach = F.col("_stats.mean"), SIGMAS * F.col("_stats.deviation")
     far = (reach > 0) & ((value > mean + reach) | (value < mean - reach))
     return df.withColumn("_stats", stats.scalar()).withColumn("is_anomaly", F.coalesce(far, F.lit(False))).drop("_stats")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake import schemas
-from gridlake.operators import merge, quality
+from gridlake.operators import merge, moments, quality
 from gridlake.plans import baseline, gold, reports, silver
 from gridlake.session import planned_bytes, sized_shuffles
 from gridlake.sources import tables
@@ -16,6 +16,7 @@ from gridlake.sources.windows import in_months_from
 from gridlake.workspace import materialise
 
 MONTHLY = ("year", "month")
+FLAGGED = ("public_power", "price")  # kinds with an outlier flag
 
 TABLES = (
     "silver_public_power",
@@ -35,12 +36,14 @@ def build_silver(
     as_of: datetime,
     batch_id: str,
     history: dict[str, DataFrame] | None = None,
+    whole: bool = False,
 ) -> dict[str, dict]:
     """Upsert the three silver tables; only the months found in the bronze frames are rewritten.
 
     For an incremental run pass just the new rows as `bronze` and all of them as `history`: the
-    outlier limits then come from the history. Running it again changes nothing. Returns total, valid
-    and invalid rows that arrived in each table.
+    outlier limits then come from the history. Its moments are stored by month next to the silver tables;
+    of the history only the months of the new rows are read, all of it at the first time or with `whole`.
+    Running it again changes nothing. Returns total, valid and invalid rows that arrived in each table.
     """
     if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC", "GMT", "Z"):
         raise ValueError("business keys hold times as text: set the session time zone to UTC, see session.prepare")
@@ -53,7 +56,11 @@ def build_silver(
     for kind, rows in bronze.items():
         if rows.isEmpty():
             continue
-        frame = build[schemas.known_kind(kind)](rows, as_of, batch_id, (history or {}).get(kind))
+        stored = None
+        if kind in FLAGGED and kind in (history or {}):
+            touched = None if whole else _months_of(rows)
+            stored = moments.refresh(spark, f"{root}/moments_{kind}", history[kind], schemas.MEASURE[kind], touched)
+        frame = build[schemas.known_kind(kind)](rows, as_of, batch_id, moments=stored)
         # The frame holds one row per key, so nothing is left to deduplicate before it is stored.
         with sized_shuffles(spark, planned_bytes(rows)):
             arrived = merge.upsert_table(
@@ -63,6 +70,11 @@ def build_silver(
     return counts
 
 
+def _months_of(rows: DataFrame) -> list[tuple]:
+    """The months that occur, one short row each."""
+    return [tuple(r) for r in rows.select(F.year("timestamp"), F.month("timestamp")).distinct().collect()]
+
+
 def build_gold(
     spark: SparkSession,
     root: str,
@@ -154,16 +166,12 @@ def run(
 ) -> dict[str, dict]:
     """Bronze to silver to gold in one go; returns the counts of each write.
 
-    `since` makes it incremental: of `bronze` only the months from that date on are processed, outlier
-    limits still come from all of it, and gold reads and replaces those months only. Where bronze lies in
-    folders of year and month the older ones aren't read but for the limits.
+    `since` makes it incremental: of `bronze` only the months from that date on are processed, and gold reads and
+    replaces those months only. Outlier limits come from all of it, by the moments that earlier runs stored for
+    each month. Where bronze lies in folders of year and month the older ones aren't read.
     """
-    new, history = bronze, None
-    if since is not None:
-        start = since.replace(day=1)
-        new = {kind: _from_day(rows, start) for kind, rows in bronze.items()}
-        history = bronze
-    counts = build_silver(spark, new, root, as_of, batch_id, history)
+    new = bronze if since is None else {kind: _from_day(rows, since.replace(day=1)) for kind, rows in bronze.items()}
+    counts = build_silver(spark, new, root, as_of, batch_id, bronze, whole=since is None)
     return counts | build_gold(spark, root, as_of, since=since)
 
 

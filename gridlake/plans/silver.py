@@ -112,20 +112,25 @@ def silver_public_power(
     history: DataFrame | None = None,
     taxonomy_name: str = "fine",
     dedup_on: str = "raw",
+    moments: DataFrame | None = None,
 ) -> DataFrame:
     """Standardise, score, flag outliers, keep the latest row per time, type and country.
 
-    Outliers are measured against `history` (a bronze frame) if given, else against all of `bronze`.
+    Outliers are measured against stored `moments` or `history` (a bronze frame) if given, else against all of `bronze`.
     """
     rows, by = _latest(_keyed(bronze, "electricity_generated"), taxonomy_name, dedup_on)
     rows = _finite(rows, "electricity_generated")
     rows = quality.score_quality(_power_columns(rows), "public_power", "electricity_generated")
-    rows = quality.flag_outliers(rows, "electricity_generated", bronze if history is None else history)
+    rows = quality.flag_outliers(rows, "electricity_generated", bronze if history is None else history, moments)
     return rows.withColumns({"business_key": keys.joined_key(*map(F.col, by)), **_processing(as_of, batch_id)})
 
 
 def silver_price(
-    bronze: DataFrame, as_of: datetime, batch_id: str = "batch", history: DataFrame | None = None
+    bronze: DataFrame,
+    as_of: datetime,
+    batch_id: str = "batch",
+    history: DataFrame | None = None,
+    moments: DataFrame | None = None,
 ) -> DataFrame:
     """Score, flag outliers (see `silver_public_power`), keep the latest row per time and country."""
     by = ("timestamp", "country")
@@ -151,7 +156,7 @@ def silver_price(
         "ingestion_timestamp",
     )
     rows = quality.score_quality(rows, "price", "electricity_price")
-    rows = quality.flag_outliers(rows, "electricity_price", bronze if history is None else history)
+    rows = quality.flag_outliers(rows, "electricity_price", bronze if history is None else history, moments)
     return rows.withColumns({"business_key": keys.joined_key(*map(F.col, by)), **_processing(as_of, batch_id)})
 
 
@@ -162,8 +167,9 @@ def silver_installed_power(
     history: DataFrame | None = None,
     taxonomy_name: str = "fine",
     dedup_on: str = "raw",
+    moments: DataFrame | None = None,
 ) -> DataFrame:
-    """Standardise, score, keep the latest per month, type and country. No outlier flag, so no use of `history`."""
+    """Standardise, score, keep the latest per month, type and country. No outlier flag, so no use of `history` or `moments`."""
     rows = _keyed(bronze, "installed_capacity", "time_period").withColumnRenamed("installed_capacity", "installed_power")
     rows, by = _latest(rows, taxonomy_name, dedup_on)
     rows = _finite(rows, "installed_power")

@@ -69,6 +69,24 @@ def in_months_from(day: date) -> Column:
     return F.make_date("year", "month", F.lit(1)) >= F.lit(day.replace(day=1))
 
 
+def in_months(df: DataFrame, ts: str, months: list[tuple]) -> Column:
+    """Condition: `ts` lies in one of the months (year, month); the month (None, None) is that of rows without a time.
+
+    Neighbouring months become one range, so the filter reaches the scan; columns `year` and `month`, if `df` has them,
+    belong to `ts` and skip whole folders.
+    """
+    numbers = sorted({y * 12 + m - 1 for y, m in months if y is not None})
+    condition = F.col(ts).isNull() if (None, None) in map(tuple, months) else F.lit(False)
+    ends = [i for i, n in enumerate(numbers) if i + 1 == len(numbers) or numbers[i + 1] != n + 1]
+    for first, last in zip([0, *[i + 1 for i in ends]], ends):
+        start, stop = (F.lit(date(n // 12, n % 12 + 1, 1)).cast("timestamp") for n in (numbers[first], numbers[last] + 1))
+        condition = condition | ((F.col(ts) >= start) & (F.col(ts) < stop))
+    if {"year", "month"} <= set(df.columns):
+        folder = F.col("year") * 12 + F.col("month") - 1
+        condition = condition & (folder.isin(numbers) | folder.isNull())
+    return condition
+
+
 def recent(df: DataFrame, as_of: datetime, ts: str, by_month: bool = False, **span: int) -> DataFrame:
     """Rows not older than `span` (arguments of timedelta) before `as_of`, and none after it.
 

@@ -59,6 +59,38 @@ STEPS["odd_b_power"] = """SELECT * REPLACE (CASE WHEN CAST(record_id AS BIGINT)
     THEN NULL ELSE electricity_generated END AS electricity_generated) FROM b_power"""
 
 
+# The staged rows cover one month: some are moved back by one to four months. Every step to the silver table again.
+_MOVED = ("b_power", "std_power", "power_spread", "scored_power", "s_power")
+for _step in _MOVED[1:]:
+    STEPS[f"moved_{_step}"] = re.sub(rf"\b({'|'.join(_MOVED)})\b", r"moved_\1", STEPS[_step])
+STEPS["moved_b_power"] = """SELECT * REPLACE (timestamp - to_months(CAST(CAST(record_id AS BIGINT) % 5 AS INTEGER)) AS timestamp)
+  FROM b_power"""
+
+
+def moved_power(lake):
+    """Production rows of five months."""
+    back = F.make_ym_interval(F.lit(0), (F.col("record_id").cast("long") % 5).cast("int"))
+    return lake.power().withColumn("timestamp", F.col("timestamp") - back)
+
+
+@query(
+    "anomaly_incremental",
+    "SELECT bronze_record_id AS record_id, timestamp, is_anomaly FROM moved_s_power WHERE timestamp >= TIMESTAMP '2023-12-01'",
+)
+def _(lake):
+    """Three months, then two more: their limits come from the moments of all five, though the first three aren't read again."""
+    root = scratch_path(lake.spark, "moments")
+    bronze = f"{root}/bronze"
+    rows = moved_power(lake)
+    tables.overwrite_table(_dated(rows), bronze, ("year", "month"))
+    stored = lake.spark.read.parquet(bronze)
+    new = F.col("timestamp") >= F.lit(date(2023, 12, 1)).cast("timestamp")
+    for part, history in ((stored.filter(~new), stored.filter(~new)), (stored.filter(new), stored)):
+        lakehouse.build_silver(lake.spark, {"public_power": part}, root, NOW, "batch-1", {"public_power": history})
+    found = lake.spark.read.parquet(f"{root}/silver_public_power").filter(new)
+    return found.select(F.col("bronze_record_id").alias("record_id"), "timestamp", "is_anomaly")
+
+
 def _odd_power(lake):
     number = F.col("record_id").cast("long")
     value = F.when(number % 71 == 0, float("nan")).when(number % 73 == 0, float("-inf")).otherwise(F.col("electricity_generated"))
