@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from gridlake import schemas
 from gridlake.functions import keys, measures, taxonomy, timeslots
+from gridlake.operators.asof import as_of_join
 from gridlake.operators.joins import lookup_join
 from gridlake.workspace import materialise
 
@@ -74,6 +75,24 @@ def with_plant(power: DataFrame, dim: DataFrame, how: str = "left", columns: tup
     return lookup_join(power, plants, ("production_type", "country"), how)
 
 
+def with_plant_as_of(power: DataFrame, dim: DataFrame, columns: tuple[str, ...], time: str = "timestamp") -> DataFrame:
+    """Add `production_type_id` and other columns of the dimension row that was valid at the time of the production.
+
+    The first row of a plant also holds for what was produced before it was known.
+    """
+    plants = dim.withColumnRenamed("production_plant_name", "production_type")
+    return as_of_join(
+        power,
+        plants,
+        ("production_type", "country"),
+        time,
+        ("production_type_id", *columns),
+        "effective_date",
+        "expiry_date",
+        extend_first=True,
+    )
+
+
 def fact_power(
     power: DataFrame,
     price: DataFrame,

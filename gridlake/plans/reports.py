@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gridlake.functions import taxonomy, timeslots
 from gridlake.operators import series
+from gridlake.operators.asof import as_of_join
 from gridlake.operators.joins import lookup_join
 from gridlake.sources.windows import recent
 from gridlake.workspace import materialise
@@ -113,11 +114,14 @@ def renewable_share(fact: DataFrame, dim: DataFrame) -> DataFrame:
     )
 
 
-def capacity_utilisation(agg: DataFrame, dim: DataFrame, installed: DataFrame, mw_per_unit: float = 1000.0) -> DataFrame:
+def capacity_utilisation(
+    agg: DataFrame, dim: DataFrame, installed: DataFrame, mw_per_unit: float = 1000.0, carry_forward: bool = False
+) -> DataFrame:
     """Half-hour output against the capacity installed in that month.
 
     Raw capacity types that share a standard name are added up first, invalid (missing, negative) rows left
     out, so the join keeps one row per half hour. `mw_per_unit` converts the unit of the capacity column to MW.
+    With `carry_forward` a month without a record has the last capacity known before it.
     """
     by = ("production_type", "country", "_month")
     valid = installed.filter("is_valid") if "is_valid" in installed.columns else installed
@@ -127,7 +131,11 @@ def capacity_utilisation(agg: DataFrame, dim: DataFrame, installed: DataFrame, m
     rows = _with_dim(agg, dim, "production_plant_name").withColumns(
         {"production_type": F.col("production_plant_name"), "_month": timeslots.month_start(F.col("timestamp_30min"))}
     )
-    return lookup_join(rows, materialise(capacity, "capacity"), by).select(
+    if carry_forward:
+        met = as_of_join(rows, capacity, by[:2], "_month", ("installed_mw",), "_month", bucket="year")
+    else:
+        met = lookup_join(rows, materialise(capacity, "capacity"), by)
+    return met.select(
         "timestamp_30min",
         "production_type",
         "country",

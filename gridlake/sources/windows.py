@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridlake.functions import timeslots
@@ -46,6 +46,29 @@ def missing_slots(
     return expected.join(observed, [*by, "slot"], "left_anti")
 
 
+def gap_ranges(
+    df: DataFrame, start: datetime, end: datetime, minutes: int, by: tuple[str, ...], ts: str = "timestamp"
+) -> DataFrame:
+    """`by, gap_from, gap_to, missing`: runs of slots in `[start, end)` that a series has no row for, `gap_to` exclusive.
+
+    Each slot looks at the next one of its series, the two bounds stand in as slots; no calendar is expanded. Slots are
+    made distinct map-side first, so a series sorts at most its slots, however many rows it has. Rows without a time
+    still make a series known.
+    """
+    step = minutes * 60
+    seconds = F.unix_seconds(F.col(ts))
+    slot = (seconds - F.pmod(seconds, F.lit(step))).alias("slot")
+    first, stop = (F.unix_seconds(F.lit(t).cast("timestamp")) for t in (start, end))
+    inside = df.select(*by, slot).filter((F.col("slot") >= first) & (F.col("slot") < stop)).distinct()
+    edges = df.select(*by).distinct().withColumn("slot", F.explode(F.array(first - step, stop)))
+    series = Window.partitionBy(*by).orderBy("slot")
+    steps = inside.unionByName(edges).withColumn("next", F.lead("slot").over(series))
+    missing = F.expr(f"(next - slot) div {step}") - 1
+    return steps.withColumn("missing", missing).filter("missing > 0").select(
+        *by, F.timestamp_seconds(F.col("slot") + step).alias("gap_from"), F.timestamp_seconds("next").alias("gap_to"), "missing"
+    )
+
+
 def interval_bounds(as_of: datetime, minutes: int) -> tuple[datetime, datetime]:
     """The last complete interval of `minutes` before `as_of`."""
     end = as_of.replace(second=0, microsecond=0) - timedelta(minutes=as_of.minute % int(minutes))

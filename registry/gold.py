@@ -1,5 +1,10 @@
 """Dimension and facts."""
 
+from datetime import datetime, timezone
+
+from pyspark.sql import functions as F
+
+from gridlake.operators import merge
 from gridlake.plans import gold, silver
 from gridlake.workspace import materialise
 from registry.core import (
@@ -57,6 +62,34 @@ def _(lake):
     return lake.fact(lake.dim(), "exact")
 
 
+def dim_with_history(lake):
+    """Known since the first of the month; on the 10th German renewables are curtailed, on the 20th no longer, and coal runs out."""
+    first, second, third = (datetime(2024, 1, day, tzinfo=timezone.utc) for day in (1, 10, 20))
+    typed = [silver.type_pairs(lake.power()), silver.type_pairs(lake.capacity())]
+    dim = materialise(gold.dim_production_type(typed, first), "dim")
+    curtailed = (F.col("country") == "de") & (F.col("energy_category") == "Renewable")
+    with_curtailed = dim.withColumn("controllability_type", F.when(curtailed, "Curtailed").otherwise(F.col("controllability_type")))
+    coal = F.lower("production_plant_name").contains("coal")
+    with_phase_out = dim.withColumn("energy_category", F.when(coal, "Phase-out").otherwise(F.col("energy_category")))
+    for incoming, as_of in ((with_curtailed, second), (with_phase_out, third)):
+        dim = materialise(merge.scd2_merge(dim, incoming, as_of), "dim")
+    return dim
+
+
+@query(
+    "fact_power_as_of_dim",
+    """SELECT p.timestamp, p.production_type, p.country, electricity_generated, production_type_id,
+        CASE WHEN lower(production_plant_name) LIKE '%coal%' AND p.timestamp >= TIMESTAMP '2024-01-20' THEN 'Phase-out'
+          ELSE energy_category END AS energy_category,
+        CASE WHEN p.country = 'de' AND energy_category = 'Renewable' AND p.timestamp >= TIMESTAMP '2024-01-10'
+          AND p.timestamp < TIMESTAMP '2024-01-20' THEN 'Curtailed' ELSE controllability_type END AS controllability_type
+      FROM s_power p LEFT JOIN dim d ON p.production_type = d.production_plant_name AND p.country = d.country""",
+    "timestamp production_type country electricity_generated production_type_id energy_category controllability_type",
+)
+def _(lake):
+    return gold.with_plant_as_of(lake.silver_power(), dim_with_history(lake), ("energy_category", "controllability_type"))
+
+
 _LEGACY_SLOT = f"date_trunc('hour', p.timestamp) + to_minutes({LEGACY_MARKER})"
 
 

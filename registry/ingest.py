@@ -207,6 +207,22 @@ def _(lake):
     return windows.missing_slots(lake.power(), start, NOW, 30, ("production_type", "country"))
 
 
+@query(
+    "gap_ranges",
+    f"""SELECT production_type, country, min(slot) AS gap_from, max(slot) + INTERVAL 30 MINUTE AS gap_to, count(*) AS missing
+      FROM (SELECT k.production_type, k.country, g.slot,
+          row_number() OVER (PARTITION BY k.production_type, k.country ORDER BY g.slot) AS i
+        FROM (SELECT DISTINCT production_type, country FROM b_power) AS k,
+          generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30 23:30:00', INTERVAL 30 MINUTE) AS g(slot)
+        WHERE NOT EXISTS (SELECT 1 FROM b_power b WHERE b.production_type = k.production_type AND b.country = k.country
+          AND {slot_sql('b.timestamp')} = g.slot)) AS lost
+      GROUP BY production_type, country, slot - to_minutes(30 * i)""",
+)
+def _(lake):
+    start = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    return windows.gap_ranges(lake.power(), start, NOW, 30, ("production_type", "country"))
+
+
 @query(
     "previous_interval",
     """SELECT * FROM b_power WHERE timestamp >= TIMESTAMP '2024-01-30 11:45:00' AND timestamp < TIMESTAMP '2024-01-30 12:00:00'""",

@@ -254,3 +254,26 @@ def _(lake):
     moved = F.col("timestamp") + F.make_ym_interval(F.lit(0), F.lit(270))
     installed = lake.silver_capacity().withColumn("timestamp", moved)
     return reports.capacity_utilisation(lake.half_hours(dim), dim, installed)
+
+
+STEPS["moved_half_hours"] = """SELECT * REPLACE (timestamp_30min - to_months(day % 5) AS timestamp_30min) FROM half_hours"""
+STEPS["sparse_capacity"] = """SELECT production_type, country, timestamp + INTERVAL 270 MONTH AS mon, sum(installed_power) * 1000 AS installed_mw
+  FROM s_capacity WHERE is_valid AND month(timestamp + INTERVAL 270 MONTH) % 4 = 3 GROUP BY 1, 2, 3"""
+
+
+@query(
+    "capacity_as_of",
+    """SELECT h.timestamp_30min, production_plant_name AS production_type, h.country, avg_electricity_produced, installed_mw,
+        avg_electricity_produced / nullif(installed_mw, 0) AS utilisation
+      FROM (SELECT h.*, production_plant_name FROM moved_half_hours h JOIN dim USING (production_type_id)) AS h
+      ASOF LEFT JOIN sparse_capacity c ON c.production_type = h.production_plant_name AND c.country = h.country
+        AND h.timestamp_30min >= c.mon""",
+    digits={"avg_electricity_produced": 4, "installed_mw": 0, "utilisation": 9},
+)
+def _(lake):
+    """Production of five months, capacities of every fourth: the months between have the last one known."""
+    dim = lake.dim()
+    installed = lake.silver_capacity().withColumn("timestamp", F.col("timestamp") + F.make_ym_interval(F.lit(0), F.lit(270)))
+    back = F.make_ym_interval(F.lit(0), F.col("day") % 5)
+    agg = lake.half_hours(dim).withColumn("timestamp_30min", F.col("timestamp_30min") - back)
+    return reports.capacity_utilisation(agg, dim, installed.filter(F.month("timestamp") % 4 == 3), carry_forward=True)
