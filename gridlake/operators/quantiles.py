@@ -28,7 +28,7 @@ EXACT_ROWS = 1_000_000
 _LARGEST = 1.7976931348623157e308
 
 
-def _log_cell(x: Column) -> Column:
+def log_cell(x: Column) -> Column:
     """Cell number that never decreases with `x`; 0 is its own cell."""
     size = F.least(F.abs(x), F.lit(_LARGEST))
     cell = F.floor(F.log2(size) * CELLS_PER_OCTAVE) + 1100 * CELLS_PER_OCTAVE
@@ -106,7 +106,7 @@ def group_statistics(
         raise ValueError("group_statistics needs at least one group column")
     rows = df.select(*by, present(F.col(value)).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
     first = materialise(
-        rows.groupBy(*by, _log_cell(F.col("_x")).alias("_cell")).agg(
+        rows.groupBy(*by, log_cell(F.col("_x")).alias("_cell")).agg(
             *_cell_counts(), F.avg("_x").alias("_mean"), F.var_pop("_x").alias("_var")
         ),
         "cells",

@@ -17,7 +17,7 @@ MODERATE, SEVERE = 1.5, 2.0
 SLOT_KEYS = ("production_type_id", "hour", "minute_interval_30", "day_of_week", "season")
 
 
-def _slots(agg: DataFrame) -> DataFrame:
+def slots(agg: DataFrame) -> DataFrame:
     """Weekday (Sunday is 1) and season of each half hour."""
     return agg.withColumns(
         {"day_of_week": F.dayofweek("timestamp_30min"), "season": timeslots.season(F.month("timestamp_30min"))}
@@ -40,7 +40,7 @@ def performance_baseline(
     """
     produced = F.col("avg_electricity_produced")
     midnight = as_of.replace(hour=0, minute=0, second=0, microsecond=0)
-    history = _slots(recent(agg, midnight, "timestamp_30min", by_month=True, days=days))
+    history = slots(recent(agg, midnight, "timestamp_30min", by_month=True, days=days))
     grouped = history.groupBy(*SLOT_KEYS).agg(
         F.avg(produced).alias("baseline_avg_production"),
         F.percentile(produced, F.lit(0.5)).alias("baseline_median_production"),
@@ -51,11 +51,17 @@ def performance_baseline(
     )
     enough = grouped.filter(F.col("historical_observations") >= min_observations)
 
+    return with_thresholds(enough, dim, as_of, moderate, severe)
+
+
+def with_thresholds(groups: DataFrame, dim: DataFrame, as_of: datetime, moderate: float = MODERATE, severe: float = SEVERE) -> DataFrame:
+    """Add the plant columns, which depend on the id, and the limits of underperformance."""
+
     def below(deviations: float) -> Column:
         return F.col("baseline_avg_production") - F.col("baseline_std_production") * deviations
 
     plants = dim.filter("active_flag").select("production_type_id", "energy_category", "controllability_type")
-    return lookup_join(enough, plants, ("production_type_id",), "left").withColumns(
+    return lookup_join(groups, plants, ("production_type_id",), "left").withColumns(
         {
             "underperformance_threshold_moderate": below(moderate),
             "underperformance_threshold_severe": below(severe),
@@ -75,7 +81,7 @@ def underperformance(
     hour would meet all of its weekdays.
     """
     plants = dim.filter("active_flag").select("production_type_id", "production_plant_name", "controllability_type")
-    now = lookup_join(_slots(recent(agg, as_of, "timestamp_30min", by_month=True, hours=hours)), plants, ("production_type_id",), "inner")
+    now = lookup_join(slots(recent(agg, as_of, "timestamp_30min", by_month=True, hours=hours)), plants, ("production_type_id",), "inner")
     expected = baseline.select(
         *SLOT_KEYS,
         "baseline_avg_production",

@@ -25,6 +25,21 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the finished tables below a folder: those with the mark that Spark leaves after the last file."""
+    if not table_exists(spark, path):
+        return []
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    names = [status.getPath().getName() for status in found if status.isDirectory()]
+    return sorted(n for n in names if table_exists(spark, f"{path}/{n}/_SUCCESS"))
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def folder_bytes(spark: SparkSession, *paths: str) -> int:
     """Bytes stored below the paths that exist."""
     total = 0

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from gridlake.operators import merge, quality
 from gridlake.plans import baseline, gold, lakehouse, reports, silver
+from gridlake.plans.sliding import SlidingBaseline
 from gridlake.sources import payloads, tables
 from gridlake.streaming import jobs
-from gridlake.workspace import scratch_path
+from gridlake.workspace import materialise, scratch_path
 from registry.core import CAPACITY_NOW, NOW, STEPS, query
 from registry.ingest import land
 from registry.reports import _MIN_OBSERVATIONS
@@ -154,6 +155,40 @@ def _(lake):
     return rows.drop("created_at", "updated_at")
 
 
+def _window_sql(day: str) -> str:
+    """`base` on half hours of five months, with the window before the given day."""
+    moved = re.sub(r"\bhalf_hours\b", "moved_half_hours", STEPS["slotted"])
+    rows = f"({moved})"
+    window = f"timestamp_30min BETWEEN TIMESTAMP '{day}' - INTERVAL 60 DAY AND TIMESTAMP '{day}'"
+    base = STEPS["base"].replace("timestamp_30min >= TIMESTAMP '2024-01-31' - INTERVAL 90 DAY", window)
+    return f"SELECT '{day}' AS until, w.* FROM ({base.replace('FROM slotted', f'FROM {rows} AS s')}) AS w"
+
+
+_DAYS = ("2023-12-20", "2024-01-20", "2023-11-27")
+
+
+@query(
+    "baseline_sliding",
+    " UNION ALL ".join(map(_window_sql, _DAYS)),
+    digits={f"baseline_{m}_production": 3 for m in ("avg", "median", "p25", "p75", "std")}
+    | {f"underperformance_threshold_{t}": 3 for t in ("moderate", "severe", "quartile")},
+)
+def _(lake):
+    """One window of 60 days moved to three dates, forward and back; the rows of the last month arrive between the first two."""
+    dim = lake.dim()
+    back = F.make_ym_interval(F.lit(0), F.col("day") % 5)
+    agg = materialise(lake.half_hours(dim).withColumn("timestamp_30min", F.col("timestamp_30min") - back), "half_hours")
+    early = agg.filter(F.col("timestamp_30min") < F.lit(date(2024, 1, 1)).cast("timestamp"))
+    sliding = SlidingBaseline(lake.spark, scratch_path(lake.spark, "baseline"), days=60)
+    found = []
+    for day, rows, since in zip(_DAYS, (early, agg, agg), (None, datetime(2024, 1, 1, tzinfo=timezone.utc), datetime(2024, 1, 1, tzinfo=timezone.utc))):
+        then = datetime.fromisoformat(day).replace(tzinfo=timezone.utc)
+        sliding.advance(rows.drop("year", "month"), then, since)
+        typical = sliding.baseline(dim, then, min_observations=_MIN_OBSERVATIONS).drop("created_at", "updated_at")
+        found.append(materialise(typical.withColumn("until", F.lit(day)), "baseline"))
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 def _growth_sql(country: str, upper: str) -> str:
     return f"""SELECT production_date, {country} production_plant_name, energy_category, daily_production, avg_daily_price,
         lag(daily_production) OVER (PARTITION BY {country} production_plant_name ORDER BY production_date) AS previous_day_production
