@@ -32,6 +32,15 @@ def lookup_join(
 
 def anti_join(left: DataFrame, right: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Rows of `left` whose keys do not occur in `right`."""
+    return _by_presence(left, right, keys, "left_anti")
+
+
+def semi_join(left: DataFrame, right: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Rows of `left` whose keys occur in `right`, each once."""
+    return _by_presence(left, right, keys, "left_semi")
+
+
+def _by_presence(left: DataFrame, right: DataFrame, keys: tuple[str, ...], how: str) -> DataFrame:
     wanted = right.select(*[F.col(k).alias(f"_{k}") for k in keys])
     condition = reduce(Column.__and__, [left[k].eqNullSafe(wanted[f"_{k}"]) for k in keys])
-    return left.join(wanted, condition, "left_anti")
+    return left.join(wanted, condition, how)

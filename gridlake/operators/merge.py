@@ -56,6 +56,8 @@ def upsert_table(
     newest_first: tuple[str, ...],
     incremental: bool = True,
     unique: bool = False,
+    changes: str | None = None,
+    unnoted: tuple[str, ...] = (),
 ) -> DataFrame:
     """Upsert into a partitioned table, rewriting only the partitions the source touches; returns the rows that arrived.
 
@@ -65,11 +67,17 @@ def upsert_table(
 
     No column is lost. One that the source lacks keeps its stored value, also in rows that are updated; one
     that the table lacks becomes NULL in stored rows. `unique` says that the source holds one row per key already.
+
+    `changes` names a folder that gets what the upsert changed, as `table_diff` of the touched partitions; a row that
+    differs in the `unnoted` columns only (load times, batch names) has not changed.
     """
     newest = source if unique else keep_latest(source, keys, *newest_first)
     if not tables.table_exists(spark, path):
         tables.overwrite_table(newest, path, partition_by)
-        return spark.read.schema(newest.schema).parquet(path)
+        newest = spark.read.schema(newest.schema).parquet(path)
+        if changes:
+            tables.overwrite_table(newest.drop(*unnoted).select(F.lit("insert").alias("change_type"), "*"), changes)
+        return newest
     newest = arrived = materialise(newest, "upsert")
     # One short row per touched folder, far fewer than the driver lists anyway. As literals they
     # prune the scan to just those folders.
@@ -85,6 +93,11 @@ def upsert_table(
         merged = keep_latest(arriving, keys, *newest_first, "_arriving").drop("_arriving")
     else:
         merged = tables.unite(anti_join(stored, newest, keys), newest)
+    if changes:
+        merged = materialise(merged, "merged")
+        columns = [c for c in merged.columns if c not in unnoted]
+        before = tables.unite(stored, merged.limit(0)).select(*columns)
+        tables.overwrite_table(table_diff(before, merged.select(*columns), keys), changes)
     tables.overwrite_partitions(merged, path, partition_by)
     return arrived
 

@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake import schemas
+from gridlake.functions import keys, timeslots
 from gridlake.operators import merge, moments, quality
+from gridlake.operators.joins import anti_join, semi_join
 from gridlake.plans import baseline, gold, reports, silver
 from gridlake.session import planned_bytes, sized_shuffles
 from gridlake.sources import tables
-from gridlake.sources.windows import in_months_from
+from gridlake.sources.windows import in_months, in_months_from
 from gridlake.workspace import materialise
 
 MONTHLY = ("year", "month")
@@ -37,6 +40,7 @@ def build_silver(
     batch_id: str,
     history: dict[str, DataFrame] | None = None,
     whole: bool = False,
+    note_changes: bool = False,
 ) -> dict[str, dict]:
     """Upsert the three silver tables; only the months found in the bronze frames are rewritten.
 
@@ -44,6 +48,8 @@ def build_silver(
     outlier limits then come from the history. Its moments are stored by month next to the silver tables;
     of the history only the months of the new rows are read, all of it at the first time or with `whole`.
     Running it again changes nothing. Returns total, valid and invalid rows that arrived in each table.
+
+    With `note_changes` the rows that the run inserts or updates are noted in `changes_<kind>`, for `gold_from_changes`.
     """
     if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC", "GMT", "Z"):
         raise ValueError("business keys hold times as text: set the session time zone to UTC, see session.prepare")
@@ -54,6 +60,8 @@ def build_silver(
         "installed_power": silver.silver_installed_power,
     }
     for kind, rows in bronze.items():
+        if note_changes:
+            tables.delete_folder(spark, f"{root}/changes_{kind}")
         if rows.isEmpty():
             continue
         stored = None
@@ -64,7 +72,15 @@ def build_silver(
         # The frame holds one row per key, so nothing is left to deduplicate before it is stored.
         with sized_shuffles(spark, planned_bytes(rows)):
             arrived = merge.upsert_table(
-                spark, f"{root}/silver_{kind}", frame, ("business_key",), MONTHLY, silver.NEWEST, unique=True
+                spark,
+                f"{root}/silver_{kind}",
+                frame,
+                ("business_key",),
+                MONTHLY,
+                silver.NEWEST,
+                unique=True,
+                changes=f"{root}/changes_{kind}" if note_changes else None,
+                unnoted=("silver_batch_id", "processing_timestamp"),
             )
         counts[f"silver_{kind}"] = quality.validity_counts(arrived).first().asDict()
     return counts
@@ -94,16 +110,10 @@ def build_gold(
         return _build_gold(spark, root, as_of, price_join, slot_mode, since)
 
 
-def _build_gold(spark, root, as_of, price_join, slot_mode, since) -> dict[str, dict]:
-    only = None if since is None else in_months_from(since)
-
-    def months(df: DataFrame) -> DataFrame:
-        return df if only is None else df.filter(only)
-
+def _update_dim(spark: SparkSession, root: str, months, as_of: datetime) -> dict:
+    """The dimension with the types of the months that `months` leaves over; returns the counts of the write."""
     power = spark.read.parquet(f"{root}/silver_public_power")
-    price = spark.read.parquet(f"{root}/silver_price")
     installed = spark.read.parquet(f"{root}/silver_installed_power")
-
     dim_path = f"{root}/gold_dim_production_type"
     known = tables.table_exists(spark, dim_path)
     # History keeps what no longer arrives, so an update only needs the types of the new months.
@@ -111,8 +121,70 @@ def _build_gold(spark, root, as_of, price_join, slot_mode, since) -> dict[str, d
     if known:
         stored = spark.read.schema(schemas.DIM_PRODUCTION_TYPE).parquet(dim_path)
         incoming = materialise(merge.scd2_merge(stored, incoming, as_of), "dim")
-    counts = {"gold_dim_production_type": tables.checked_write(incoming, dim_path)}
-    dim = spark.read.schema(schemas.DIM_PRODUCTION_TYPE).parquet(dim_path)
+    return tables.checked_write(incoming, dim_path)
+
+
+def gold_from_changes(spark: SparkSession, root: str, as_of: datetime) -> dict[str, int]:
+    """Bring dimension and facts up to date from what the last `build_silver(note_changes=True)` changed.
+
+    Only production rows that changed, or whose hourly price did, are joined and written anew, and only the half hours
+    they lie in are computed again; of all tables the months of the changes are read. Returns the number of fact rows
+    and half hours that were replaced. The baseline follows by `SlidingBaseline.advance`.
+    """
+    changed = {}
+    for kind in ("public_power", "price"):
+        path = f"{root}/changes_{kind}"
+        if tables.table_exists(spark, path):
+            changed[kind] = spark.read.parquet(path)
+    touched = sorted({m for rows in changed.values() for m in _months_of(rows)}, key=str)
+    if not touched:
+        return {"gold_fact_power": 0, "gold_fact_power_30min_agg": 0}
+
+    def months(df: DataFrame) -> DataFrame:
+        return df.filter(in_months(df, "timestamp", touched))
+
+    _update_dim(spark, root, months, as_of)
+    dim = spark.read.schema(schemas.DIM_PRODUCTION_TYPE).parquet(f"{root}/gold_dim_production_type")
+    power, price = (months(spark.read.parquet(f"{root}/silver_{kind}")) for kind in ("public_power", "price"))
+    series = ("timestamp", "raw_type", "country")
+    wanted = [rows.select(*series) for kind, rows in changed.items() if kind == "public_power"]
+    if "price" in changed:
+        hours = changed["price"].select(timeslots.hour_start(F.col("timestamp")).alias("_hour"), "country").distinct()
+        met = power.withColumn("_hour", timeslots.hour_start(F.col("timestamp"))).join(hours, ["_hour", "country"], "left_semi")
+        wanted.append(met.select(*series))
+    wanted = materialise(reduce(DataFrame.unionByName, wanted).distinct().withColumn("record_id", keys.hashed_key(*map(F.col, series))), "wanted")
+
+    # Rows of the changed keys: what the fact holds now, and what it will hold.
+    fact_path, agg_path = f"{root}/gold_fact_power", f"{root}/gold_fact_power_30min_agg"
+    stored = months(spark.read.schema(schemas.FACT_POWER).parquet(fact_path))
+    ids = wanted.select("record_id")
+    new = materialise(gold.fact_power(semi_join(power, wanted.select(*series), series), price, dim, as_of), "fact")
+    slot = timeslots.half_hour_slot(F.col("timestamp")).alias("timestamp_30min")
+    by = ("production_type_id", "country", "timestamp_30min")
+    gone = semi_join(stored, ids, ("record_id",)).select("production_type_id", "country", slot)
+    slots = materialise(gone.unionByName(new.select("production_type_id", "country", slot)).distinct(), "slots")
+    fact = materialise(anti_join(stored, ids, ("record_id",)).unionByName(new), "fact")
+    tables.overwrite_partitions(fact, fact_path, MONTHLY, rebalance=False)
+
+    own = semi_join(fact.withColumn("timestamp_30min", slot), slots, by)
+    agg = materialise(gold.fact_power_30min(own, as_of), "half_hours")
+    held = months(spark.read.schema(schemas.FACT_POWER_30MIN).parquet(agg_path))
+    merged = materialise(anti_join(held, slots, by).unionByName(agg), "half_hours")
+    tables.overwrite_partitions(merged, agg_path, MONTHLY)
+    return {"gold_fact_power": new.count(), "gold_fact_power_30min_agg": agg.count()}
+
+
+def _build_gold(spark, root, as_of, price_join, slot_mode, since) -> dict[str, dict]:
+    only = None if since is None else in_months_from(since)
+
+    def months(df: DataFrame) -> DataFrame:
+        return df if only is None else df.filter(only)
+
+    power = spark.read.parquet(f"{root}/silver_public_power")
+    price = spark.read.parquet(f"{root}/silver_price")
+
+    counts = {"gold_dim_production_type": _update_dim(spark, root, months, as_of)}
+    dim = spark.read.schema(schemas.DIM_PRODUCTION_TYPE).parquet(f"{root}/gold_dim_production_type")
 
     fact_path = f"{root}/gold_fact_power"
     fact = gold.fact_power(months(power), months(price), dim, as_of, price_join, slot_mode)

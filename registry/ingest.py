@@ -172,6 +172,23 @@ def _(lake):
     return lake.spark.read.parquet(bronze)
 
 
+_LANDED = POWER_ROWS_COLUMNS.replace(" ingestion_batch_id", "")
+
+
+@query("landing_twice", POWER_ROWS_SQL, _LANDED)
+def _(lake):
+    """Some files, the same again, all of them, and all again: the register lets each through once."""
+    everything, some = land(lake), scratch_path(lake.spark, "landing")
+    lines = lake.spark.read.text(everything)
+    first = F.pmod(F.xxhash64("value"), F.lit(3)) == 0
+    bronze, register = scratch_path(lake.spark, "bronze"), scratch_path(lake.spark, "register")
+    for batch, rows in enumerate((lines.filter(first), None, lines.filter(~first), None)):
+        if rows is not None:
+            rows.repartition(4).write.mode("append").text(some)
+        landing.ingest_new(lake.spark, some, "public_power", bronze, register, f"batch-{batch}", NOW)
+    return lake.spark.read.parquet(bronze)
+
+
 @query(
     "date_spine",
     """SELECT CAST(CAST(d.day AS DATE) AS VARCHAR) AS day, count(o_orderkey) AS loaded_rows
