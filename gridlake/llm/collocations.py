@@ -9,8 +9,8 @@ number of smaller neighbours. All intervals of a depth grow at once, in numpy.
 Indexes are built once and written to the shared workspace; counts of shards are summed by Spark. First come the words, then
 for each length a survey: the phrases of a shard are counted by places of a hash, as many as four times the words of the
 corpus, and the sums of all shards that reach the least count leave a bitmap of fixed size. Last, phrases are counted
-themselves, where the bitmaps say that they and all their parts can be frequent; shards send them as compressed lists, one
-for each range of places, and a task sums the lists of a range. A bitmap has false positives but misses
+themselves, where the bitmaps say that they and all their parts can be frequent; they are sent as compressed lists, one for
+each range of a hash, and a task sums the lists of a range. A bitmap has false positives but misses
 nothing. With a corpus so large that a bitmap fills up, more phrases are counted, and the result stays the same.
 
 A phrase is dropped if a longer one that holds it occurs at least half as often. Its score compares its count with the
@@ -39,7 +39,8 @@ MAX_WORDS = 3
 LEAST = 10  # occurrences of a candidate
 TOP = 2_000
 HELD = 50  # percent of its occurrences that lie in one longer phrase: then a phrase is dropped
-SHARD_WORDS = 400_000
+SHARD_WORDS = 200_000
+HELD_PHRASES = 200_000  # that a task adds up before it sends them on
 BITS = 24  # a bitmap has 2^24 bits
 PLACE_BITS = 22  # a survey counts in ranges of 2^22 places
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -309,33 +310,48 @@ def _frequent(least: int):
 
 
 def _counted(sizes: list[int], bitmaps: list[Bitmap], ranges: int):
-    """Map indexes to (lang, range, seen): phrases of the given lengths in order, with their counts, compressed."""
+    """Map indexes to (lang, range, seen): phrases of the given lengths with their counts, as compressed lists.
+
+    What the shards of a task share is added up first.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[str, Sums] = defaultdict(Sums)
         for lang, index in _opened(batches):
-            hashes = _hashes(lang, index)
-            for phrases in enumerate_phrases(index, hashes, max(sizes), bitmaps):
-                if phrases.ids.shape[1] not in sizes:
-                    continue
-                part = _places(hashes, phrases.ids, ranges) >> PLACE_BITS
-                order = np.argsort(part, kind="stable")
-                texts = [" ".join([index.words[i] for i in ids]) for ids in phrases.ids[order].tolist()]
-                numbers = np.stack([phrases.count, *(index.neighbours(phrases, side) for side in ("left", "right"))])[:, order]
-                cuts = np.flatnonzero(np.append(True, np.diff(part[order]) != 0)).tolist()
-                seen = [_listed(texts[i:j], numbers[:, i:j]) for i, j in zip(cuts, [*cuts[1:], len(texts)])]
-                yield pd.DataFrame({"lang": lang, "range": part[order][cuts], "seen": seen})
+            for phrases in enumerate_phrases(index, _hashes(lang, index), max(sizes), bitmaps):
+                if phrases.ids.shape[1] in sizes:
+                    texts = [" ".join([index.words[i] for i in ids]) for ids in phrases.ids.tolist()]
+                    held[lang].add(texts, np.stack([phrases.count, *(index.neighbours(phrases, side) for side in ("left", "right"))]))
+            if sum(map(len, held.values())) >= HELD_PHRASES:
+                yield from _lists(held, ranges)
+                held.clear()
+        yield from _lists(held, ranges)
 
     return run
 
 
+def _lists(held: dict[str, Sums], ranges: int) -> Iterator[pd.DataFrame]:
+    """One list for each language and range, phrases in order."""
+    for lang, sums in held.items():
+        if len(sums):
+            order = sorted((zlib.crc32(text.encode()) % ranges, text, i) for text, i in sums.at.items())
+            part, places = np.array([p for p, _, _ in order]), np.array([i for _, _, i in order])
+            cuts = np.flatnonzero(np.append(True, np.diff(part) != 0)).tolist()
+            seen = [_listed([t for _, t, _ in order[i:j]], sums.numbers[:, places[i:j]]) for i, j in zip(cuts, [*cuts[1:], len(order)])]
+            yield pd.DataFrame({"lang": lang, "range": part[cuts], "seen": seen})
+
+
 def _listed(texts: list[str], numbers: np.ndarray) -> bytes:
-    return zlib.compress(np.append(len(texts), numbers).astype("<i8").tobytes() + "\n".join(texts).encode(), 1)
+    """Numbers by their bytes, lowest first: the high ones are zero and compress to nothing."""
+    planes = numbers.astype("<i8").view(np.uint8).reshape(3, -1, 8).transpose(0, 2, 1)
+    return zlib.compress(len(texts).to_bytes(8, "little") + planes.tobytes() + "\n".join(texts).encode(), 1)
 
 
 def _unlisted(seen: bytes) -> tuple[list[str], np.ndarray]:
     raw = zlib.decompress(seen)
-    n = int(np.frombuffer(raw, "<i8", 1)[0])
-    return raw[8 + 24 * n :].decode().split("\n"), np.frombuffer(raw, "<i8", 3 * n, 8).reshape(3, n)
+    n = int.from_bytes(raw[:8], "little")
+    planes = np.frombuffer(raw, np.uint8, 24 * n, 8).reshape(3, 8, n).transpose(0, 2, 1)
+    return raw[8 + 24 * n :].decode().split("\n"), planes.copy().view("<i8")[..., 0]
 
 
 def _summed(least: int):
@@ -360,6 +376,9 @@ class Sums:
     def __init__(self):
         self.at, self.numbers = defaultdict(count().__next__), np.zeros((3, 0), np.int64)
 
+    def __len__(self) -> int:
+        return len(self.at)
+
     def add(self, texts: list[str], numbers: np.ndarray) -> None:
         """Each phrase once."""
         at = np.fromiter(map(self.at.__getitem__, texts), np.int64, len(texts))
@@ -368,7 +387,7 @@ class Sums:
         self.numbers[:, at] += numbers
 
     def found(self, own: tuple | None, least: int) -> Iterator[pd.DataFrame]:
-        keep = np.flatnonzero(self.numbers[0, : len(self.at)] >= least)
+        keep = np.flatnonzero(self.numbers[0, : len(self)] >= least)
         if len(keep):
             texts = list(self.at)
             a, before, after = self.numbers[:, keep]
@@ -406,7 +425,8 @@ def phrases(index: DataFrame, max_words: int = MAX_WORDS, least: int = LEAST) ->
     ranges = 1 << max(BITS - PLACE_BITS, (places >> PLACE_BITS).bit_length())
 
     def counted(sizes: list[int], maps: list[Bitmap], name: str) -> DataFrame:
-        lists = narrow.mapInPandas(_counted(sizes, maps, ranges), "lang string, range long, seen binary")
+        # Eight surveys' ranges make one list: long ones compress better.
+        lists = narrow.mapInPandas(_counted(sizes, maps, max(1, ranges // 8)), "lang string, range long, seen binary")
         dealt = lists.repartition("lang", "range").sortWithinPartitions("lang", "range")
         found = dealt.mapInPandas(_summed(least), "lang string, phrase string, a long, before long, after long")
         return materialise(found.withColumn("words", F.size(F.split("phrase", " ", -1))), name)

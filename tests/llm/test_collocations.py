@@ -105,6 +105,29 @@ def test_surveys_keep_places_and_counts():
     assert (places == at).all() and (counts == n).all()
 
 
+def test_lists_keep_phrases_and_counts(monkeypatch):
+    rng = np.random.default_rng(6)
+    texts = [f"w{i} x\x00{i % 7}" for i in range(500)]
+    numbers = rng.integers(0, 2**40, (3, 500))
+    found, counts = c._unlisted(c._listed(texts, numbers))
+    assert found == texts and (counts == numbers).all()
+    sums = c.Sums()
+    for _ in range(3):
+        sums.add(texts[::-1], numbers[:, ::-1])
+    lists = next(c._lists({"en": sums}, 16))
+    assert 10 < len(lists) <= 16
+    total = {t: n for seen in lists["seen"] for t, n in zip(c._unlisted(seen)[0], c._unlisted(seen)[1].T.tolist())}
+    assert total == {t: [3 * x for x in n] for t, n in zip(texts, numbers.T.tolist())}
+
+
+def test_tasks_send_what_they_hold_in_parts(spark, monkeypatch):
+    rows = corpus(9, 200)
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(2)
+    whole = sorted(map(tuple, c.collocations(docs, least=4, shard_words=50).collect()))
+    monkeypatch.setattr(c, "HELD_PHRASES", 20)
+    assert sorted(map(tuple, c.collocations(docs, least=4, shard_words=50).collect())) == whole
+
+
 def test_rounds_find_the_first_rows(spark):
     df = spark.range(20_000).select((F.col("id") % 2).alias("g"), F.xxhash64("id").alias("v"), F.col("id").cast("string").alias("k"))
     got = c.first_rows(df, "g", [F.asc("v"), F.asc("k")], F.col("k"), 5, 20_000)
