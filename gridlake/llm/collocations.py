@@ -343,7 +343,7 @@ def _lists(held: dict[str, Sums], ranges: int) -> Iterator[pd.DataFrame]:
 
 def _listed(texts: list[str], numbers: np.ndarray) -> bytes:
     """Numbers by their bytes, lowest first: the high ones are zero and compress to nothing."""
-    planes = numbers.astype("<i8").view(np.uint8).reshape(3, -1, 8).transpose(0, 2, 1)
+    planes = np.ascontiguousarray(numbers, "<i8").view(np.uint8).reshape(3, -1, 8).transpose(0, 2, 1)
     return zlib.compress(len(texts).to_bytes(8, "little") + planes.tobytes() + "\n".join(texts).encode(), 1)
 
 
