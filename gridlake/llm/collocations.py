@@ -9,8 +9,8 @@ number of smaller neighbours. All intervals of a depth grow at once, in numpy.
 Indexes are built once and written to the shared workspace; counts of shards are summed by Spark. First come the words, then
 for each length a survey: the phrases of a shard are counted by places of a hash, as many as four times the words of the
 corpus, and the sums of all shards that reach the least count leave a bitmap of fixed size. Last, phrases are counted
-themselves, where the bitmaps say that they and all their parts can be frequent; they are sent as compressed lists, one for
-each range of a hash, and a task sums the lists of a range. A bitmap has false positives but misses
+themselves, where the bitmaps say that they and all their parts can be frequent; shards send them as compressed lists, one
+for each range of places, and a task sums the lists of a range. A bitmap has false positives but misses
 nothing. With a corpus so large that a bitmap fills up, more phrases are counted, and the result stays the same.
 
 A phrase is dropped if a longer one that holds it occurs at least half as often. Its score compares its count with the
@@ -33,14 +33,13 @@ from pyspark.sql import functions as F
 
 from gridlake.llm.common import small_batches, with_type
 from gridlake.llm.shingles import mix
-from gridlake.workspace import materialise
+from gridlake.workspace import materialise, scratch_path
 
 MAX_WORDS = 3
 LEAST = 10  # occurrences of a candidate
 TOP = 2_000
 HELD = 50  # percent of its occurrences that lie in one longer phrase: then a phrase is dropped
-SHARD_WORDS = 200_000
-HELD_PHRASES = 200_000  # that a task adds up before it sends them on
+SHARD_WORDS = 250_000
 BITS = 24  # a bitmap has 2^24 bits
 PLACE_BITS = 22  # a survey counts in ranges of 2^22 places
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -310,37 +309,26 @@ def _frequent(least: int):
 
 
 def _counted(sizes: list[int], bitmaps: list[Bitmap], ranges: int):
-    """Map indexes to (lang, range, seen): phrases of the given lengths with their counts, as compressed lists.
-
-    What the shards of a task share is added up first.
-    """
+    """Map indexes to (lang, range, seen): phrases of the given lengths with their counts, as compressed lists."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[str, Sums] = defaultdict(Sums)
         for lang, index in _opened(batches):
-            for phrases in enumerate_phrases(index, _hashes(lang, index), max(sizes), bitmaps):
-                if phrases.ids.shape[1] in sizes:
-                    texts = [" ".join([index.words[i] for i in ids]) for ids in phrases.ids.tolist()]
-                    held[lang].add(texts, np.stack([phrases.count, *(index.neighbours(phrases, side) for side in ("left", "right"))]))
-            if sum(map(len, held.values())) >= HELD_PHRASES:
-                yield from _lists(held, ranges)
-                held.clear()
-        yield from _lists(held, ranges)
+            hashes = _hashes(lang, index)
+            for phrases in enumerate_phrases(index, hashes, max(sizes), bitmaps):
+                if phrases.ids.shape[1] not in sizes:
+                    continue
+                # Eight ranges of a survey make one list: long ones compress better.
+                part = _places(hashes, phrases.ids, ranges) >> (PLACE_BITS + 3)
+                order = np.argsort(part, kind="stable")
+                texts = [" ".join([index.words[i] for i in ids]) for ids in phrases.ids[order].tolist()]
+                numbers = np.stack([phrases.count, *(index.neighbours(phrases, side) for side in ("left", "right"))])[:, order]
+                cuts = np.flatnonzero(np.append(True, np.diff(part[order]) != 0)).tolist()
+                seen = [_listed(texts[i:j], numbers[:, i:j]) for i, j in zip(cuts, [*cuts[1:], len(texts)])]
+                yield pd.DataFrame({"lang": lang, "range": part[order][cuts], "seen": seen})
 
     return run
 
 
-def _lists(held: dict[str, Sums], ranges: int) -> Iterator[pd.DataFrame]:
-    """One list for each language and range, phrases in order."""
-    for lang, sums in held.items():
-        if len(sums):
-            order = sorted((zlib.crc32(text.encode()) % ranges, text, i) for text, i in sums.at.items())
-            part, places = np.array([p for p, _, _ in order]), np.array([i for _, _, i in order])
-            cuts = np.flatnonzero(np.append(True, np.diff(part) != 0)).tolist()
-            seen = [_listed([t for _, t, _ in order[i:j]], sums.numbers[:, places[i:j]]) for i, j in zip(cuts, [*cuts[1:], len(order)])]
-            yield pd.DataFrame({"lang": lang, "range": part[cuts], "seen": seen})
-
-
 def _listed(texts: list[str], numbers: np.ndarray) -> bytes:
     """Numbers by their bytes, lowest first: the high ones are zero and compress to nothing."""
     planes = np.ascontiguousarray(numbers, "<i8").view(np.uint8).reshape(3, -1, 8).transpose(0, 2, 1)
@@ -410,7 +398,11 @@ def indexes(docs: DataFrame, max_words: int = MAX_WORDS, shard_words: int = SHAR
     small_batches(docs.sparkSession)
     lang = F.coalesce(with_type(docs, "lang", "string"), F.lit("und"))
     texts = docs.select(lang.alias("lang"), with_type(docs, "text", "string").alias("text")).filter("text is not null")
-    return materialise(texts.mapInPandas(_shards(max_words, shard_words), INDEX), "phrase_index")
+    rows = texts.mapInPandas(_shards(max_words, shard_words), INDEX)
+    path = scratch_path(docs.sparkSession, "phrase_index")
+    # Neighbours of equal words are much alike, which a slower codec makes use of.
+    rows.write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def phrases(index: DataFrame, max_words: int = MAX_WORDS, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
@@ -425,8 +417,7 @@ def phrases(index: DataFrame, max_words: int = MAX_WORDS, least: int = LEAST) ->
     ranges = 1 << max(BITS - PLACE_BITS, (places >> PLACE_BITS).bit_length())
 
     def counted(sizes: list[int], maps: list[Bitmap], name: str) -> DataFrame:
-        # Eight surveys' ranges make one list: long ones compress better.
-        lists = narrow.mapInPandas(_counted(sizes, maps, max(1, ranges // 8)), "lang string, range long, seen binary")
+        lists = narrow.mapInPandas(_counted(sizes, maps, ranges), "lang string, range long, seen binary")
         dealt = lists.repartition("lang", "range").sortWithinPartitions("lang", "range")
         found = dealt.mapInPandas(_summed(least), "lang string, phrase string, a long, before long, after long")
         return materialise(found.withColumn("words", F.size(F.split("phrase", " ", -1))), name)
@@ -465,22 +456,27 @@ def collocations(docs: DataFrame, top: int = TOP, least: int = LEAST, max_words:
     """
     index = indexes(docs, max_words, shard_words)
     words, found = phrases(index, max_words, least)
-    parts = words.unionByName(found)
-    split = found.withColumn("w", F.split("phrase", " ", -1)).withColumn("k", F.explode(F.expr("sequence(1, words - 1)")))
-    left, right = F.expr("array_join(slice(w, 1, k), ' ')"), F.expr("array_join(slice(w, k + 1, words - k), ' ')")
-    cuts = split.select("lang", "phrase", "a", "k", left.alias("left"), right.alias("right"))
-    cuts = cuts.join(parts.select("lang", F.col("phrase").alias("left"), F.col("a").alias("l")), ["lang", "left"])
-    cuts = cuts.join(parts.select("lang", F.col("phrase").alias("right"), F.col("a").alias("r")), ["lang", "right"])
+    # Written with a number for each phrase: of what follows, only one step carries texts.
+    found = materialise(found.withColumn("id", F.monotonically_increasing_id()), "numbered")
+    split = found.withColumn("w", F.split("phrase", " ", -1))
+    piece = "named_struct('k', {k}, 'side', '{side}', 'phrase', array_join(slice(w, {at}, {n}), ' '))"
+    cuts = [piece.format(k="k", side=side, at=at, n=n) for side, at, n in (("l", "1", "k"), ("r", "k + 1", "words - k"))]
+    asked = f"flatten(transform(sequence(1, words - 1), k -> array({', '.join(cuts)})))"
+    # Phrases inside that are no part of a cut: from the second word at the earliest to the last but one.
+    inner = "transform(sequence(2, words - n), i -> " + piece.format(k="0", side="i", at="i", n="n") + ")"
+    inner = f"if(words < 4, cast(array() as array<struct<k: int, side: string, phrase: string>>), flatten(transform(sequence(2, words - 2), n -> {inner})))"
+    asked = split.select("lang", "id", F.col("a").alias("asker"), "words", F.inline(F.concat(F.expr(asked), F.expr(inner))))
+    known = words.select("lang", "phrase", "a", F.lit(None).cast("long").alias("own")).unionByName(found.select("lang", "phrase", "a", F.col("id").alias("own")))
+    met = materialise(asked.join(known, ["lang", "phrase"]).select("id", "k", "side", "a", "own", "asker"), "parts")
+
+    sides = [F.max(F.when(F.col("side") == side, F.col("a"))).alias(side) for side in ("l", "r")]
+    both = met.filter("k > 0").groupBy("id", "k").agg(F.max("asker").alias("a"), *sides)
     exact = "cast(1000000 as decimal(38,0)) * cast(a as decimal(19,0)) * cast(a as decimal(19,0)) div (cast(l as decimal(19,0)) * cast(r as decimal(19,0)))"
-    cuts = cuts.withColumn("score", F.expr(exact))
-    weakest = cuts.groupBy("lang", "phrase").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
-
-    inner = F.expr("explode(flatten(transform(sequence(2, words - 1), m -> transform(sequence(1, words - m + 1), i -> array_join(slice(w, i, m), ' ')))))")
-    longer = found.filter("words > 2").withColumn("w", F.split("phrase", " ", -1))
-    held = longer.select("lang", "a", inner.alias("phrase")).groupBy("lang", "phrase").agg(F.max("a").alias("in_longer"))
-    scored = found.join(held, ["lang", "phrase"], "left").filter(F.coalesce(100 * F.col("in_longer") < HELD * F.col("a"), F.lit(True)))
-    scored = scored.join(weakest, ["lang", "phrase"]).select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score", "before", "after")
-    scored = materialise(scored, "scored")
+    weakest = both.withColumn("score", F.expr(exact)).groupBy("id").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
+    held = met.filter("own is not null").groupBy(F.col("own").alias("id")).agg(F.max("asker").alias("in_longer"))
+    scored = found.join(weakest, "id").join(held, "id", "left")
+    scored = scored.filter(F.coalesce(100 * F.col("in_longer") < HELD * F.col("a"), F.lit(True)))
+    scored = materialise(scored.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score", "before", "after"), "scored")
     best = first_rows(scored, "lang", [F.desc("score"), F.desc("a"), F.asc("phrase")], F.col("phrase"), top, scored.count())
     total = index.groupBy("lang").agg(F.sum("size").alias("n"))
     return best.join(total, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score", "before", "after")

@@ -44,7 +44,7 @@ def corpus(seed, n):
     return [(rng.choice(["en", "de", None, "und", "x y"]), rng.choice([None, ""]) if i % 17 == 0 else text()) for i in range(n)]
 
 
-@pytest.mark.parametrize("max_words, shard", [(3, 200), (2, 10**6), (4, 90)])
+@pytest.mark.parametrize("max_words, shard", [(3, 200), (2, 10**6), (4, 90), (5, 300)])
 def test_collocations_against_plain_counting(spark, max_words, shard):
     rows = corpus(max_words, 300)
     docs = spark.createDataFrame(rows, "lang string, text string").repartition(3)
@@ -105,7 +105,7 @@ def test_surveys_keep_places_and_counts():
     assert (places == at).all() and (counts == n).all()
 
 
-def test_lists_keep_phrases_and_counts(monkeypatch):
+def test_lists_keep_phrases_and_counts():
     rng = np.random.default_rng(6)
     texts = [f"w{i} x\x00{i % 7}" for i in range(500)]
     numbers = rng.integers(0, 2**40, (3, 500))
@@ -114,18 +114,9 @@ def test_lists_keep_phrases_and_counts(monkeypatch):
     sums = c.Sums()
     for _ in range(3):
         sums.add(texts[::-1], numbers[:, ::-1])
-    lists = next(c._lists({"en": sums}, 16))
-    assert 10 < len(lists) <= 16
-    total = {t: n for seen in lists["seen"] for t, n in zip(c._unlisted(seen)[0], c._unlisted(seen)[1].T.tolist())}
-    assert total == {t: [3 * x for x in n] for t, n in zip(texts, numbers.T.tolist())}
-
-
-def test_tasks_send_what_they_hold_in_parts(spark, monkeypatch):
-    rows = corpus(9, 200)
-    docs = spark.createDataFrame(rows, "lang string, text string").repartition(2)
-    whole = sorted(map(tuple, c.collocations(docs, least=4, shard_words=50).collect()))
-    monkeypatch.setattr(c, "HELD_PHRASES", 20)
-    assert sorted(map(tuple, c.collocations(docs, least=4, shard_words=50).collect())) == whole
+    sums.add(["new"], np.array([[1], [2], [3]]))
+    rows = next(sums.found(("en", 0), 2))
+    assert dict(zip(rows["phrase"], zip(rows["a"], rows["before"], rows["after"]))) == {t: tuple(3 * x for x in n) for t, n in zip(texts, numbers.T.tolist()) if n[0] > 0}
 
 
 def test_rounds_find_the_first_rows(spark):
