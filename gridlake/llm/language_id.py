@@ -58,6 +58,8 @@ _WORD = re.compile(
     "|".join(rf"(?:(?=[{own}]){_LETTER}){{1,{LONGEST}}}" for own in _IN_SCRIPT.values())
     + rf"|(?:(?![{''.join(_IN_SCRIPT.values())}]){_LETTER}){{1,{LONGEST}}}"
 )
+# Number signs (halves, superscripts, Roman numerals) that a regular expression takes for letters.
+_NUMBERS = re.compile("[" + "".join(c for c in map(chr, range(128, 0x110000)) if c.isnumeric() and not c.isalpha() and not c.isdecimal()) + "]")
 RESULT = "lang string, score double, spans array<struct<begin: int, end: int, lang: string>>"
 
 
@@ -70,6 +72,11 @@ def script_of(word: str) -> str:
 _ONE_SCRIPT = {name: re.compile(f"[{own}]+") for name, own in _IN_SCRIPT.items()}
 
 
+def without_numbers(text: str) -> str:
+    """The text with a blank for each number sign."""
+    return text if text.isascii() else _NUMBERS.sub(" ", text)
+
+
 def split_run(run: str) -> list[str]:
     """A run of letters, cut where the script changes and after every `LONGEST` letters."""
     if len(run) <= LONGEST and (run.isascii() or (one := _ONE_SCRIPT.get(script_of(run))) and one.fullmatch(run)):
@@ -78,7 +85,7 @@ def split_run(run: str) -> list[str]:
 
 
 def words_of(text: str) -> list[str]:
-    """All letters of a text in pieces of one script."""
+    """All letters of a text, which has no number signs any more, in pieces of one script."""
     runs = _RUN.findall(text)
     if text.isascii() and max(map(len, runs), default=0) <= LONGEST:
         return runs
@@ -152,7 +159,7 @@ def fit(rows: list[tuple[str, str]]) -> Model:
     counts: dict[str, Counter] = {}
     scripts: dict[str, Counter] = {}
     for lang, text in rows:
-        words = Counter(words_of(text.lower()))
+        words = Counter(words_of(without_numbers(text).lower()))
         own, by_script = counts.setdefault(lang, Counter()), scripts.setdefault(lang, Counter())
         for word in words:
             by_script[script_of(word)] += 1
@@ -210,6 +217,7 @@ class Labeler:
         if len(self.at) > self.most:
             self.at, self.known = {}, np.zeros((0, 1))
         at, places, sizes, new = self.at, [], [], []
+        texts = [without_numbers(text) for text in texts]
         for text in texts:
             words = words_of(text)
             for word in set(words).difference(at):
