@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.llm.common import components, small_batches, with_type
+from gridlake.llm.common import carried, components, small_batches, with_type
 from gridlake.llm.ngram_join import Forest, _groups
 from gridlake.workspace import materialise
 
@@ -171,7 +171,7 @@ def near_links(vectors: DataFrame, threshold: float = THRESHOLD, recall: float =
     """
     spark = vectors.sparkSession
     small_batches(spark)
-    vec_id, key = with_type(vectors, "vec_id", "long"), "vector_key"
+    vec_id = with_type(vectors, "vec_id", "long")
     embedding = with_type(vectors, "embedding", "array<double>")
     base = vectors.select(vec_id.alias("vec_id"), embedding.alias("embedding"))
     keyed = base.mapInPandas(_keys, "vec_id long, key binary, dim int").filter("key is not null")
@@ -205,7 +205,7 @@ def near_links(vectors: DataFrame, threshold: float = THRESHOLD, recall: float =
     placed = reps.join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = placed.groupBy("root").agg(F.min("rep").alias("component_id"))
     classes = placed.join(least, "root").join(counts, "node", "left")
-    classes = classes.select(F.col("key").alias(key), "component_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.lit(True).alias("grouped"))
+    classes = classes.select(F.col("key").alias("vector_key"), "component_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.lit(True).alias("grouped"))
     added = ["n_links", "component_id", "kept"]
 
     @F.pandas_udf("binary")
@@ -213,11 +213,12 @@ def near_links(vectors: DataFrame, threshold: float = THRESHOLD, recall: float =
         for series in batches:
             yield next(_keys(iter([pd.DataFrame({"vec_id": 0, "embedding": series})])))["key"]
 
-    rows = vectors.select(*[F.col(f"`{c}`") for c in vectors.columns if c not in added], keys(embedding).alias(key))
-    return (
-        rows.join(classes, key, "left")
-        .withColumn("n_links", F.coalesce("n_links", F.lit(0)).cast("long"))
-        .withColumn("component_id", F.when(F.col("grouped"), F.col("component_id")).otherwise(vec_id))
-        .withColumn("kept", F.coalesce(vec_id == F.col("component_id"), F.col("component_id").isNull()))
-        .drop(key, "grouped")
+    rows = carried(vectors, ("vec_id", "long"), ("embedding", "array<double>"))
+    rows = rows.select("carried_row", "vec_id", keys(F.col("embedding")).alias("vector_key")).join(classes, "vector_key", "left")
+    component = F.when(F.col("grouped"), F.col("component_id")).otherwise(F.col("vec_id"))
+    return rows.withColumn("component_id", component).select(
+        *[F.col(f"carried_row.`{c}`") for c in vectors.columns if c not in added],
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        "component_id",
+        F.coalesce(F.col("vec_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"),
     )

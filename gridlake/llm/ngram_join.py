@@ -377,25 +377,27 @@ def mark(docs: DataFrame, **settings) -> DataFrame:
     occurs in several rows, all of them are marked as kept; `survivors` leaves one. Columns of `docs` called like an
     added one are replaced.
     """
-    return _marked(docs, **settings).drop("class")
+    marked, added = _marked(docs, **settings), ["group_id", "n_links", "kept"]
+    return marked.select(*[F.col(f"carried_row.`{c}`") for c in docs.columns if c not in added], *added)
 
 
 def _marked(docs: DataFrame, **settings) -> DataFrame:
-    classes = materialise(ngram_join(docs, **settings), "joined")
-    doc_id, added = with_type(docs, "doc_id", "long"), ["group_id", "n_links", "kept", "class"]
-    base = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in added], text_class(with_type(docs, "text", "string")).alias("class"))
+    """Each row of `docs` as `carried_row`, with doc_id, class, group_id, n_links and kept."""
+    rows = carried(docs, ("doc_id", "long"), ("text", "string"))
+    classes = materialise(ngram_join(rows.select("doc_id", "text"), **settings), "joined")
+    base = rows.select("carried_row", "doc_id", text_class(F.col("text")).alias("class"))
     return (
         base.join(classes.select("class", "group_id", "n_links", F.lit(True).alias("grouped")), "class", "left")
         .withColumn("n_links", F.coalesce("n_links", F.lit(0)).cast("long"))
-        .withColumn("group_id", F.when(F.col("grouped"), F.col("group_id")).otherwise(doc_id))
-        .withColumn("kept", F.coalesce(doc_id == F.col("group_id"), F.col("group_id").isNull()))
+        .withColumn("group_id", F.when(F.col("grouped"), F.col("group_id")).otherwise(F.col("doc_id")))
+        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("group_id"), F.col("group_id").isNull()))
         .drop("grouped")
     )
 
 
 def survivors(docs: DataFrame, **settings) -> DataFrame:
     """The rows that stay, one for each doc_id and group, with the columns of `docs`. Empty texts all stay."""
-    marked = _marked(carried(docs, ("doc_id", "long"), ("text", "string")), **settings)
+    marked = _marked(docs, **settings)
     order = Window.partitionBy("class", "doc_id").orderBy("class")
     stays = marked.filter("kept").withColumn("nth", F.row_number().over(order)).filter("nth = 1")
     return stays.select("carried_row.*")

@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.llm.common import ascii_lower, with_type
+from gridlake.llm.common import ascii_lower, carried
 from gridlake.workspace import materialise
 
 Rule = tuple[str, str]
@@ -134,9 +134,9 @@ def judge(pages: DataFrame, rules: list[Rule], purity: float = PURITY) -> DataFr
     host. Columns of `pages` called like an added one are replaced; repeated rows get the same answer; an empty table
     gives an empty result.
     """
-    host, path = host_and_path(with_type(pages, "url", "string"))
-    added = ["host", "path", "rule", "verdict", "template", "purity", "shape"]
-    base = pages.select(*[F.col(f"`{c}`") for c in pages.columns if c not in added], host.alias("host"), path.alias("path"))
+    host, path = host_and_path(F.col("url"))
+    added = ["host", "path", "rule", "verdict", "template", "purity"]
+    base = carried(pages, ("url", "string")).select("carried_row", host.alias("host"), path.alias("path"))
     rule, verdict = longest_rule(F.col("host"), F.col("path"), rules)
     base = base.withColumns({"rule": rule, "ruled": verdict, "shape": shape(F.col("path"))})
     shapes = base.groupBy("host", "shape").agg(
@@ -153,4 +153,5 @@ def judge(pages: DataFrame, rules: list[Rule], purity: float = PURITY) -> DataFr
     judged = tree.select("host", "shape", "template").join(sums.select("host", "template", pure.alias("purity")), ["host", "template"])
     judged = materialise(judged, "judged")
     method = F.when(F.col("purity") >= purity, "block").otherwise("allow")
-    return base.join(judged, ["host", "shape"], "left").withColumn("verdict", F.coalesce("ruled", method)).drop("ruled", "shape")
+    answered = base.join(judged, ["host", "shape"], "left").withColumn("verdict", F.coalesce("ruled", method))
+    return answered.select(*[F.col(f"carried_row.`{c}`") for c in pages.columns if c not in added], *added)

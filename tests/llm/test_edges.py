@@ -157,3 +157,36 @@ def test_vectors(spark):
     assert out[1] == (2, 1, True) and out[2] == (2, 1, False) and out[9] == (1, 9, True) and out[10] == (1, 9, False)
     assert all(out[i] == (0, i, True) for i in (3, 4, 5, 6, 7, 8)) and out[None] == (0, None, True)
     assert embedding_dedup.near_links(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_inner_names_may_be_columns(spark):
+    """Columns called like what the operators use inside come back as they were."""
+    inner = ("grouped", "vector_key", "ruled", "shape", "key", "class", "node", "carried", "h")
+
+    def dressed(rows, schema):
+        df = spark.createDataFrame(rows, schema)
+        for name in inner:
+            df = df.withColumn(name, F.lit(f"my {name}"))
+        return df
+
+    text = "one two three four five six seven"
+    docs = dressed([(1, text, "en"), (2, text, "en"), (3, None, None)], "doc_id long, text string, lang string")
+    vectors = dressed([(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, None)], "vec_id long, embedding array<double>")
+    pages = dressed([(1, "http://a.net/es/x"), (2, "http://a.org/y"), (3, None)], "page_id long, url string")
+    for out, id_ in ((ngram_join.mark(docs), "doc_id"), (embedding_dedup.near_links(vectors), "vec_id"), (url_filters.judge(pages, [("block", "net/es/")]), "page_id")):
+        rows = out.collect()
+        assert sorted(r[id_] for r in rows) == [1, 2, 3] and all(r[name] == f"my {name}" for r in rows for name in inner)
+        assert len(set(out.columns)) == len(out.columns)
+    assert {r.doc_id: r.group_id for r in ngram_join.mark(docs).collect()} == {1: 1, 2: 1, 3: 3}
+    assert {r.vec_id: (r.component_id, r.n_links) for r in embedding_dedup.near_links(vectors).collect()} == {1: (1, 1), 2: (1, 1), 3: (3, 0)}
+    assert {r.page_id: (r.rule, r.verdict) for r in url_filters.judge(pages, [("block", "net/es/")]).collect()}[1] == ("net/es/", "block")
+
+
+def test_number_signs_are_no_letters(spark):
+    rows = [(1, "½ ² ③ Ⅷ ५ 10"), (2, "der ½ und die ² und das"), (3, "the cat and the dog"), (4, "the cat ²and Ⅷ the dog"), (5, "一二三 十")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame([(i, t, l) for i in range(10) for t, l in (("der und die und das", "de"), ("the cat and the dog", "en"))], "doc_id long, text string, lang string")
+    out = {r.doc_id: r for r in language_id.identify(docs, language_id.trained(known)).select("doc_id", "language.*").collect()}
+    assert (out[1].lang, out[1].score, out[1].spans) == ("und", 0.0, [])
+    assert out[2].lang == "de" and out[3].lang == out[4].lang == "en" and out[5].lang != "und"
+    assert [(s.begin, s.end) for s in out[4].spans] == [(0, 22)]
