@@ -58,8 +58,11 @@ _WORD = re.compile(
     "|".join(rf"(?:(?=[{own}]){_LETTER}){{1,{LONGEST}}}" for own in _IN_SCRIPT.values())
     + rf"|(?:(?![{''.join(_IN_SCRIPT.values())}]){_LETTER}){{1,{LONGEST}}}"
 )
-# Number signs (halves, superscripts, Roman numerals) that a regular expression takes for letters.
-_NUMBERS = re.compile("[" + "".join(c for c in map(chr, range(128, 0x110000)) if c.isnumeric() and not c.isalpha() and not c.isdecimal()) + "]")
+# Number signs (halves, superscripts, Roman numerals) that a regular expression takes for letters. Those of the first
+# plane and those beyond it are apart: a set of the former is one table, the latter are hardly ever met.
+_SIGNS = [c for c in map(chr, range(128, 0x110000)) if c.isnumeric() and not c.isalpha() and not c.isdecimal()]
+_NUMBERS, _FAR_NUMBERS = (re.compile(f"[{''.join(c for c in _SIGNS if (c > '\uffff') == far)}]") for far in (False, True))
+_FAR = re.compile("[\U00010000-\U0010ffff]")
 RESULT = "lang string, score double, spans array<struct<begin: int, end: int, lang: string>>"
 
 
@@ -74,7 +77,10 @@ _ONE_SCRIPT = {name: re.compile(f"[{own}]+") for name, own in _IN_SCRIPT.items()
 
 def without_numbers(text: str) -> str:
     """The text with a blank for each number sign."""
-    return text if text.isascii() else _NUMBERS.sub(" ", text)
+    if text.isascii():
+        return text
+    text = _NUMBERS.sub(" ", text)
+    return _FAR_NUMBERS.sub(" ", text) if _FAR.search(text) else text
 
 
 def split_run(run: str) -> list[str]:
