@@ -1,11 +1,12 @@
 """Upserts, snapshot differences, dimension history, and stored tables."""
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.operators import merge
+from gridlake.operators import bucketed, merge
 from gridlake.operators.dedup import keep_latest
 from gridlake.plans import gold, lakehouse, silver
 from gridlake.sources import tables
@@ -67,6 +68,22 @@ def _(lake):
     return lake.spark.read.parquet(path)
 
 
+@query(
+    "upsert_bucketed",
+    f"""SELECT *, CAST(year(timestamp) AS INTEGER) AS year, CAST(month(timestamp) AS INTEGER) AS month FROM (
+      SELECT * FROM late_rows UNION ALL
+      SELECT * FROM early_rows a WHERE NOT EXISTS (SELECT 1 FROM late_rows b WHERE {_MATCH}))""",
+    f"{_COLUMNS} year month",
+)
+def _(lake):
+    name = f"bucketed_{uuid.uuid4().hex}"
+    early, late = (b.withColumns({"year": F.year("timestamp"), "month": F.month("timestamp")}) for b in batches(lake))
+    bucketed.create(early, name, KEYS, ("year", "month"), silver.NEWEST, 4, scratch_path(lake.spark, "bucketed"))
+    for batch in (late, early):
+        bucketed.upsert(lake.spark, name, batch, KEYS, ("year", "month"), silver.NEWEST)
+    return bucketed.read(lake.spark, name)
+
+
 @query(
     "table_diff",
     """SELECT CASE WHEN b.timestamp IS NULL THEN 'insert' WHEN a.timestamp IS NULL THEN 'delete' ELSE 'update' END AS change_type,
