@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.functions.timeslots import floor_minutes
-from gridlake.sources import landing, payloads, windows
+from gridlake.sources import drift, landing, payloads, windows
 from gridlake.workspace import scratch_path
 from registry.core import CAPACITY_NOW, NOW, STEPS, query, slot_sql
 
@@ -268,3 +268,65 @@ def _(lake):
 @query("row_limit", "SELECT * FROM b_power ORDER BY ingestion_date, record_id LIMIT 1000")
 def _(lake):
     return windows.first_rows(lake.power(), 1000, "ingestion_date", "record_id")
+
+
+def drifting_payloads(lake) -> DataFrame:
+    """Payloads of a source that adds, drops and retypes fields."""
+    s, n = F.col("s"), F.col("event_id")
+    series = _text('"production_types":[{"name":"Solar","data":[', n, "]}]")
+    texts = [
+        _text('{"unix_seconds":[', s, "],", series, "}"),
+        _text('{"unix_seconds":[', s, "],", series, ',"deprecated":false,"note":"n', n, '"}'),
+        _text('{"unix_seconds":[', s, '],"production_types":[{"name":"Solar","data":[', n, ']},{"name":"Load","data":[],"unit":"MW"}]}'),
+        _text('{"unix_seconds":["', s, '"],', series, "}"),
+        _text("{", series, ',"resolution":{"minutes":', n, "}}"),
+        _text("[", n, "]"),
+        _text('{"unix_seconds":[', s, "],", series, ',"deprecated":"since ', n, '"}'),
+    ]
+    return _events(lake).select("event_id", "country", "ingestion_date", _shapes(n, texts).alias("payload"))
+
+
+_TYPES = "ARRAY<OBJECT<data: ARRAY<BIGINT>, name: STRING, unit: STRING>>"
+_OBJECTS = "CASE WHEN x = 5 THEN 0 ELSE 1 END"
+_ITEMS = "CASE x WHEN 5 THEN 0 WHEN 2 THEN 2 ELSE 1 END"
+
+
+def _field_sql(field: str, status: str, kind: str, given: str, objects: str = "") -> str:
+    missing = f"CAST(sum({objects}) - sum({given}) AS BIGINT)" if objects else "CAST(NULL AS BIGINT)"
+    return f"""SELECT '{field}' AS field, '{status}' AS status, CAST(sum({given}) AS BIGINT) AS given, {missing} AS missing, '{kind}' AS type,
+      min(ingestion_date) FILTER (WHERE {given} > 0) AS first_seen, max(ingestion_date) FILTER (WHERE {given} > 0) AS last_seen FROM drifting"""
+
+
+STEPS["drifting"] = "SELECT *, event_id % 7 AS x FROM shaped"
+STEPS["drift_fields"] = " UNION ALL ".join(
+    [
+        _field_sql("unix_seconds", "retyped", "ARRAY<VARIANT>", "CASE WHEN x IN (4, 5) THEN 0 ELSE 1 END", _OBJECTS),
+        _field_sql("production_types", "known", _TYPES, _OBJECTS, _OBJECTS),
+        _field_sql("production_types[].name", "known", "STRING", _ITEMS, _ITEMS),
+        _field_sql("production_types[].data", "known", "ARRAY<BIGINT>", _ITEMS, _ITEMS),
+        _field_sql("production_types[].unit", "unknown", "STRING", "CASE WHEN x = 2 THEN 1 ELSE 0 END"),
+        _field_sql("deprecated", "unknown", "VARIANT", "CASE WHEN x IN (1, 6) THEN 1 ELSE 0 END"),
+        _field_sql("note", "unknown", "STRING", "CASE WHEN x = 1 THEN 1 ELSE 0 END"),
+        _field_sql("resolution", "unknown", "OBJECT<minutes: BIGINT>", "CASE WHEN x = 4 THEN 1 ELSE 0 END"),
+    ]
+)
+
+
+@query("payload_drift", "SELECT * FROM drift_fields")
+def _(lake):
+    return drift.report(drifting_payloads(lake), "public_power")
+
+
+@query(
+    "payload_unknown",
+    """SELECT event_id, 'deprecated' AS field, CAST(NULL AS INTEGER) AS item, 'false' AS value FROM drifting WHERE x = 1
+      UNION ALL SELECT event_id, 'deprecated', NULL, concat('"since ', event_id, '"') FROM drifting WHERE x = 6
+      UNION ALL SELECT event_id, 'note', NULL, concat('"n', event_id, '"') FROM drifting WHERE x = 1
+      UNION ALL SELECT event_id, 'production_types[].unit', 1, '"MW"' FROM drifting WHERE x = 2
+      UNION ALL SELECT event_id, 'resolution', NULL, concat('{"minutes":', event_id, '}') FROM drifting WHERE x = 4""",
+)
+def _(lake):
+    path = scratch_path(lake.spark, "unknown")
+    drift.with_unknown(drifting_payloads(lake), "public_power").select("event_id", "unknown").write.parquet(path)
+    kept = lake.spark.read.parquet(path).select("event_id", F.inline("unknown"))
+    return kept.withColumn("value", F.to_json("value"))
