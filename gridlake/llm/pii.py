@@ -322,6 +322,9 @@ def listed(spans: Column, *kinds: str) -> Column:
     return F.concat_ws(",", F.transform(own, lambda s: F.concat_ws(":", s.kind, s.begin.cast("string"), s.end.cast("string"))))
 
 
+PART, BLOCK = 128, 2048  # spans, and characters, that are looked through for one span
+
+
 def redact(docs: DataFrame, model: Model, least: float = LEAST) -> DataFrame:
     """The rows of `docs` with each span replaced by its kind, as `<EMAIL>`; overlapping spans become one.
 
@@ -329,30 +332,48 @@ def redact(docs: DataFrame, model: Model, least: float = LEAST) -> DataFrame:
     """
     marked = annotate(carried(docs, ("text", "string")), model, least)
 
-    def whole(spans: Column) -> Column:
-        """Spans by start, without those that begin inside an earlier one, as the first of them stands for all."""
+    def leading(spans: Column) -> Column:
+        """Spans by start that begin after all earlier ones end, each with that end, `before`.
+
+        Ends are looked up in parts of PART spans, so the work grows with the number of spans and not with its square.
+        """
         ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s.begin.alias("begin"), s.end.alias("end"), s.kind.alias("kind"))))
-        empty = F.array().cast("array<struct<begin:int,end:int,kind:string>>")
 
-        def add(kept: Column, s: Column) -> Column:
-            last = F.get(kept, F.size(kept) - 1)
-            joined = F.struct(last.begin.alias("begin"), F.greatest(last.end, s.end).alias("end"), last.kind.alias("kind"))
-            apart = F.size(kept).eqNullSafe(0) | (last.end <= s.begin)
-            return F.when(apart, F.concat(kept, F.array(s))).otherwise(F.concat(F.slice(kept, F.lit(1), F.size(kept) - 1), F.array(joined)))
+        def of(ordered: Column) -> Column:
+            firsts = F.sequence(F.lit(0), F.floor((F.size(ordered) - 1) / PART).cast("int"))
+            return let(F.transform(firsts, lambda i: F.slice(ordered, i * PART + 1, PART)), with_ends)
+
+        def with_ends(parts: Column) -> Column:
+            ends = F.transform(parts, lambda part: F.array_max(part.end))
+            reached = F.aggregate(ends, F.array(F.lit(0)), lambda got, end: F.concat(got, F.array(F.greatest(F.element_at(got, -1), end))))
+            return let(reached, lambda reached: F.flatten(F.transform(parts, lambda part, i: of_part(part, F.get(reached, i)))))
+
+        def of_part(part: Column, before: Column) -> Column:
+            def seen(s: Column, i: Column) -> Column:
+                own = F.greatest(before, F.coalesce(F.array_max(F.slice(part.end, F.lit(1), i)), F.lit(0)))
+                return F.struct(s.begin.alias("begin"), own.alias("before"), s.kind.alias("kind"))
+
+            return F.filter(F.transform(part, seen), lambda s: s.begin >= s.before)
 
-        return F.aggregate(ordered, empty, add)
+        return let(ordered, of)
 
-    def written(spans: Column) -> Column:
-        text = F.col("text")
+    def written(blocks: Column) -> Column:
+        """The text anew, from its blocks of BLOCK characters: no place is counted from the start of the whole text."""
 
-        def piece(s: Column, i: Column) -> Column:
-            start = F.when(i == 0, F.lit(0)).otherwise(F.get(spans, i - 1).end)
-            return F.concat(F.substring(text, start + 1, s.begin - start), F.lit("<"), F.upper(s.kind), F.lit(">"))
+        def between(begin: Column, end: Column) -> Column:
+            first, last = F.floor(begin / BLOCK).cast("int"), F.floor(end / BLOCK).cast("int")
+            head = F.coalesce(F.get(blocks, first), F.lit(""))
+            inside = F.substring(head, begin % BLOCK + 1, end - begin)
+            whole = F.array_join(F.slice(blocks, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+            tail = F.substring(F.coalesce(F.get(blocks, last), F.lit("")), F.lit(1), end % BLOCK)
+            across = F.concat(F.substring(head, begin % BLOCK + 1, F.lit(BLOCK)), whole, tail)
+            return F.when(first == last, inside).otherwise(across)
 
-        last = F.get(spans, F.size(spans) - 1).end
-        return F.concat(F.array_join(F.transform(spans, piece), ""), F.substring(text, last + 1, F.char_length(text) - last))
+        pieces = F.transform(leading(F.col("pii")), lambda s: F.concat(between(s.before, s.begin), F.lit("<"), F.upper(s.kind), F.lit(">")))
+        return F.concat(F.array_join(pieces, ""), between(F.array_max(F.col("pii.end")), F.char_length("text")))
 
-    text = F.when(F.size("pii") == 0, F.col("text")).otherwise(let(whole(F.col("pii")), written))
+    blocks = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    text = F.when(F.size("pii") == 0, F.col("text")).otherwise(let(blocks, written))
     changed = {"text": F.col("text"), "n_chars": F.char_length("text").cast("long")}
     columns = [changed.get(c, F.col(f"carried_row.`{c}`")).alias(c) for c in docs.columns]
     return marked.withColumn("text", text).select(*columns)
