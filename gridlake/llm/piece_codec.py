@@ -1,14 +1,14 @@
 """Encoding and decoding with a SentencePiece merge model, with seeded merge-dropout.
 
 Adjacent symbols are merged in the order of the scores of the merged pieces, ties from the left. With dropout each candidate
-that comes up is skipped with some probability, decided by a hash that is keyed by the seed, the variant, the stretch of
-text, the place and the piece. The same seed and document give the same pieces at any time and on any machine, another seed
-or document other ones, and all of them decode to the text, byte for byte.
+that comes up is skipped with some probability, decided by a hash that is keyed by the seed, the document, the place in
+it and the piece. The same seed and document give the same pieces at any time and on any machine, another seed or document
+other ones, and all of them decode to the text, byte for byte. Every occurrence of a word has draws of its own.
 
-No piece continues past the end of a word, so stretches of blanks and the word after them are encoded for themselves. Each
-occurrence of a stretch in a document is given one of `variants` variants by hash. Frequent (stretch, variant) pairs are
-remembered; new ones are encoded many at a time: the agendas of all stretches of a batch advance together. Long stretches
-have an agenda of their own.
+No piece continues past the end of a word, so stretches of blanks and the word after them are encoded for themselves. For
+each different stretch the merges without dropout are remembered. An occurrence that skips none of them ends as the
+remembered pieces; any other one is encoded for itself, many at a time: the agendas of all stretches of a batch advance
+together. Long stretches have an agenda of their own, and are not remembered where there is dropout.
 
 Characters without a piece become byte pieces. So does U+2581, which stands for a blank in pieces, and that makes decoding
 lossless for every text.
@@ -30,9 +30,9 @@ from gridlake.llm.common import small_batches, with_type
 from gridlake.llm.shingles import mix
 
 DROPOUT = 0.1
-VARIANTS = 4
 LONGEST = 48  # characters of a stretch that is encoded together with others
 _STRETCH = re.compile(r" *[^ ]+| +")
+_TOGETHER = 200_000  # occurrences whose draws are looked at together
 _BLANK = "▁"
 _NEVER = np.iinfo(np.int32).max
 RESULT = "ids array<int>, lossless boolean"
@@ -81,18 +81,37 @@ class Vocabulary:
         return [self.byte_id.get(b, self.unknown) for b in char.encode()]
 
 
+_PLACE, _PIECE = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
+_ALL = 2**64 - 1
+
+
+def _limit(dropout: float) -> int:
+    """Draws below it are skipped."""
+    return int(min(dropout, 1.0) * (2**64 - 1025))
+
+
 def _skips(key: np.ndarray, place: np.ndarray, piece: np.ndarray, dropout: float) -> np.ndarray:
     """Whether each candidate is skipped: a keyed hash against the dropout."""
     if dropout <= 0:
         return np.zeros(len(key), bool)
-    drawn = mix(key + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + piece.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
-    return drawn < np.uint64(min(dropout, 1.0) * (2**64 - 1025))
+    drawn = mix(key + place.astype(np.uint64) * np.uint64(_PLACE) + piece.astype(np.uint64) * np.uint64(_PIECE))
+    return drawn < np.uint64(_limit(dropout))
+
+
+def _draw(key: int, place: int, piece: int) -> int:
+    """The draw of one candidate, as `_skips` makes it."""
+    x = (key + place * _PLACE + piece * _PIECE) & _ALL
+    x = ((x ^ x >> 32) * 0xD6E8FEB86659FD93) & _ALL
+    x = ((x ^ x >> 32) * 0xD6E8FEB86659FD93) & _ALL
+    return x ^ x >> 32
 
 
-def encode_together(vocabulary: Vocabulary, stretches: list[str], keys: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray]:
+def encode_together(
+    vocabulary: Vocabulary, stretches: list[str], keys: np.ndarray, dropout: float, merges: list[tuple] | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """Pieces of many short stretches, one after the other, and how many each has; `keys` is the hash key of each.
 
-    While merging, a character without a piece is a negative number made from its code point.
+    The merges that take place are appended to `merges` as arrays (stretch, place, piece). While merging, a character without a piece is a negative number made from its code point.
     """
     length = np.fromiter(map(len, stretches), np.int64, len(stretches))
     n, width = len(stretches), int(length.max()) + 2
@@ -117,6 +136,8 @@ def encode_together(vocabulary: Vocabulary, stretches: list[str], keys: np.ndarr
         rows, left = live[~skip], at[~skip]
         if not len(rows):
             continue
+        if merges is not None:
+            merges.append((rows, left, piece[rows, left]))
         right = following[rows, left]
         after = following[rows, right]
         symbol[rows, left] = piece[rows, left]
@@ -170,12 +191,12 @@ def encode_alone(vocabulary: Vocabulary, stretch: str, key: int, dropout: float)
 
     for left in range(n):
         propose(left)
-    own, gone = np.full(1, key, np.uint64), bytearray(n)
+    gone, limit = bytearray(n), _limit(dropout)
     while agenda:
         _, left, piece, a, b = heapq.heappop(agenda)
         if gone[left] or symbol[left] != a or following[left] >= n or symbol[following[left]] != b:
             continue
-        if dropout > 0 and _skips(own, np.array([left]), np.array([piece]), dropout)[0]:
+        if dropout > 0 and _draw(key, left, piece) < limit:
             continue
         right = following[left]
         symbol[left], gone[right] = piece, 1
@@ -188,65 +209,129 @@ def encode_alone(vocabulary: Vocabulary, stretch: str, key: int, dropout: float)
     return _with_bytes(vocabulary, [symbol[i] for i in places], places, stretch)
 
 
+class Lists:
+    """Lists of numbers, one after the other, found by their number."""
+
+    def __init__(self, *kinds: type):
+        self.flat = [np.zeros(0, kind) for kind in kinds]
+        self.begin, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, length: np.ndarray, *flat: np.ndarray) -> None:
+        self.begin = np.concatenate([self.begin, len(self.flat[0]) + np.cumsum(length) - length])
+        self.length = np.concatenate([self.length, length])
+        self.flat = [np.concatenate([old, new.astype(old.dtype)]) for old, new in zip(self.flat, flat)]
+
+    def of(self, at: np.ndarray) -> tuple[np.ndarray, ...]:
+        """How long the lists `at` are, and what they hold, in this order."""
+        n = self.length[at]
+        index = np.repeat(self.begin[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return n, *[flat[index] for flat in self.flat]
+
+
 class Codec:
     """Encodes and decodes texts. What it remembers is bounded."""
 
-    def __init__(self, vocabulary: Vocabulary, seed: int = 0, dropout: float = DROPOUT, variants: int = VARIANTS, most: int = 250_000):
+    def __init__(self, vocabulary: Vocabulary, seed: int = 0, dropout: float = DROPOUT, most: int = 250_000):
         self.vocabulary, self.seed, self.dropout, self.most = vocabulary, seed, dropout, most
-        self.variants = variants if dropout > 0 else 1
         self._forget()
 
     def _forget(self) -> None:
-        self.at: list[dict[str, int]] = [{} for _ in range(self.variants)]
-        self.flat, self.begin, self.length = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.at: dict[str, int] = {}
+        self.pieces, self.merges = Lists(np.int32), Lists(np.int32, np.int32)
 
     def encode(self, texts: list[str], keys: list[str]) -> list[np.ndarray]:
         """Piece ids of each text; `keys` names the document, and with the seed decides what is skipped."""
-        if len(self.begin) > self.most:
+        if len(self.at) > self.most:
             self._forget()
-        known, places, new = len(self.begin), [], []
-        for text, key in zip(texts, keys):
-            stretches = _STRETCH.findall(" " + text) if text else []
-            own = np.uint64(xxhash.xxh3_64_intdigest(key, seed=self.seed))
-            which = (mix(own + np.arange(len(stretches), dtype=np.uint64)) % np.uint64(self.variants)).tolist()
-            out = np.empty(len(stretches), np.int64)
-            for i, (stretch, variant) in enumerate(zip(stretches, which)):
-                at = self.at[variant]
-                place = at.get(stretch)
-                if place is None:
-                    place = at[stretch] = known + len(new)
-                    new.append((stretch, variant))
-                out[i] = place
-            places.append(out)
-        if new:
-            self._learn(new)
+        cut = [_STRETCH.findall(" " + text) if text else [] for text in texts]
+        new = list(set().union(*cut).difference(self.at))
+        self._learn(new)
         out = []
-        for place in places:
-            n = self.length[place]
-            ends = np.cumsum(n)
-            index = np.repeat(self.begin[place] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
-            out.append(self.flat[index])
-        return out
-
-    def _learn(self, new: list[tuple[str, int]]) -> None:
-        keys = np.array([xxhash.xxh3_64_intdigest(stretch, seed=self.seed * 1_000_003 + variant) for stretch, variant in new], np.uint64)
-        sizes = np.array([len(stretch) for stretch, _ in new])
-        begin, length, parts, used = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64), [self.flat], len(self.flat)
+        for stretches, key in zip(self._lots(cut), self._lots([self._drawn_for(own, len(c)) for own, c in zip(keys, cut)])):
+            out.append(self._encode([w for some in stretches for w in some], np.concatenate(key)))
+        ids = np.concatenate([flat for flat, _ in out]) if out else np.zeros(0, np.int32)
+        n = np.concatenate([n for _, n in out]) if out else np.zeros(0, np.int64)
+        ends = np.concatenate([[0], np.cumsum(n)])[np.cumsum([0, *map(len, cut)])]
+        return [ids[a:b] for a, b in zip(ends[:-1], ends[1:])]
+
+    def _drawn_for(self, key: str, occurrences: int) -> np.ndarray:
+        """The hash key of each occurrence in a document."""
+        return mix(np.uint64(xxhash.xxh3_64_intdigest(key, seed=self.seed)) + np.arange(occurrences, dtype=np.uint64))
+
+    @staticmethod
+    def _lots(parts: list) -> Iterator[list]:
+        """The parts in order, in lots of at most `_TOGETHER` items; longer parts are cut."""
+        lot, size = [], 0
+        for part in parts:
+            while size + len(part) > _TOGETHER:
+                room = _TOGETHER - size
+                yield [*lot, part[:room]]
+                lot, size, part = [], 0, part[room:]
+            lot.append(part)
+            size += len(part)
+        if size:
+            yield lot
+
+    def _encode(self, stretches: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces of all occurrences, one after the other, and how many each has."""
+        place = np.fromiter(map(self.at.__getitem__, stretches), np.int64, len(stretches))
+        if self.dropout <= 0:
+            n, flat = self.pieces.of(place)
+            return flat, n
+        merges, left, piece = self.merges.of(place)
+        owner = np.repeat(np.arange(len(place)), merges)
+        own = np.zeros(len(place), bool)
+        own[owner[_skips(keys[owner], left, piece, self.dropout)]] = True
+        own |= self.pieces.length[place] == 0  # long ones
+        rows = np.flatnonzero(own)
+        if not len(rows):
+            n, flat = self.pieces.of(place)
+            return flat, n
+        found = Lists(np.int32)
+        order = self._all(found, [stretches[i] for i in rows.tolist()], keys[rows], self.dropout)
+        at = np.empty(len(rows), np.int64)
+        at[order] = np.arange(len(rows))
+        # Remembered lists first, then those of this call.
+        both = Lists(np.int32)
+        both.flat = [np.concatenate([self.pieces.flat[0], found.flat[0]])]
+        both.begin = np.concatenate([self.pieces.begin, found.begin + len(self.pieces.flat[0])])
+        both.length = np.concatenate([self.pieces.length, found.length])
+        place[rows] = len(self.pieces.begin) + at
+        n, flat = both.of(place)
+        return flat, n
+
+    def _all(self, out: Lists, stretches: list[str], keys: np.ndarray, dropout: float, merges: Lists | None = None) -> np.ndarray:
+        """Add the pieces of each stretch to `out`, in the order that is returned; long ones come last."""
+        sizes = np.fromiter(map(len, stretches), np.int64, len(stretches))
+        order = []
         for low, high in ((0, 6), (6, 9), (9, 13), (13, 20), (20, LONGEST)):
             rows = np.flatnonzero((sizes > low) & (sizes <= high))
             for first in range(0, len(rows), 20_000):
                 some = rows[first : first + 20_000]
-                ids, n = encode_together(self.vocabulary, [new[i][0] for i in some.tolist()], keys[some], self.dropout)
-                begin[some], length[some] = used + np.cumsum(n) - n, n
-                parts.append(ids)
-                used += len(ids)
-        for row in np.flatnonzero(sizes > LONGEST).tolist():
-            ids = encode_alone(self.vocabulary, new[row][0], int(keys[row]), self.dropout)
-            begin[row], length[row] = used, len(ids)
-            parts.append(ids)
-            used += len(ids)
-        self.begin, self.length = np.concatenate([self.begin, begin]), np.concatenate([self.length, length])
-        self.flat = np.concatenate(parts)
+                done: list[tuple] = []
+                ids, n = encode_together(self.vocabulary, [stretches[i] for i in some.tolist()], keys[some], dropout, None if merges is None else done)
+                out.add(n, ids)
+                if merges is not None:
+                    row, left, piece = (np.concatenate(part) for part in zip(*done)) if done else [np.zeros(0, np.int64)] * 3
+                    sorted_ = np.argsort(row, kind="stable")
+                    merges.add(np.bincount(row, minlength=len(some)), left[sorted_], piece[sorted_])
+                order.append(some)
+        long = np.flatnonzero(sizes > LONGEST)
+        if len(long):
+            remembered = merges is not None and self.dropout > 0
+            ids = [] if remembered else [encode_alone(self.vocabulary, stretches[i], int(keys[i]), dropout) for i in long.tolist()]
+            n = np.zeros(len(long), np.int64) if remembered else np.array([len(own) for own in ids])
+            out.add(n, np.concatenate(ids) if ids else np.zeros(0, np.int32))
+            if merges is not None:
+                merges.add(np.zeros(len(long), np.int64), *[np.zeros(0, np.int32)] * 2)
+            order.append(long)
+        return np.concatenate(order) if order else np.zeros(0, np.int64)
+
+    def _learn(self, new: list[str]) -> None:
+        """Remember pieces and merges without dropout; of a long stretch nothing, where there is dropout."""
+        known = len(self.pieces.begin)
+        order = self._all(self.pieces, new, np.zeros(len(new), np.uint64), 0.0, self.merges)
+        self.at.update((new[i], known + place) for place, i in enumerate(order.tolist()))
 
     def decode(self, ids) -> str:
         """The text of piece ids; the blank that encoding put in front is taken away."""

@@ -260,6 +260,32 @@ def test_pieces_with_dropout(spark, corpus, vocabulary):
     assert {r.doc_id: r.text for r in back.collect()} == dict(enumerate(texts))
 
 
+def test_every_occurrence_has_draws_of_its_own(vocabulary):
+    text = "internationalisation of measurements " * 3
+    codec = piece_codec.Codec(vocabulary, 3, most=10)
+    ids = codec.encode([text] * 1000, [str(i) for i in range(1000)])
+    assert len({own.tobytes() for own in ids}) > 900
+    assert all(codec.decode(own.tolist()) == text for own in ids)
+    # Each occurrence is what its agenda alone gives, remembered or not, and however many are taken together.
+    cut = piece_codec._STRETCH.findall(" " + text)
+    for key in ("0", "17", "999"):
+        keys = codec._drawn_for(key, len(cut))
+        alone = [piece_codec.encode_alone(vocabulary, w, int(k), codec.dropout) for w, k in zip(cut, keys)]
+        assert ids[int(key)].tolist() == np.concatenate(alone).tolist()
+    words = piece_codec._STRETCH.findall(" " + " ".join(["measured values of wind and sun"] * 50))
+    one = codec.encode([" ".join(["measured values of wind and sun"] * 50)], ["k"])[0]
+    assert one.tolist() == np.concatenate([piece_codec.encode_alone(vocabulary, w, int(k), codec.dropout) for w, k in zip(words, codec._drawn_for("k", len(words)))]).tolist()
+    assert len({own.tobytes() for own in (piece_codec.Codec(vocabulary, s).encode([text], ["k"])[0] for s in range(50))}) > 40
+
+
+def test_lots_of_occurrences_are_cut_anywhere(vocabulary, monkeypatch):
+    texts, names = ["one two three " * 40, "", "four " * 7, "x" * 99], ["a", "b", "c", "d"]
+    whole = piece_codec.Codec(vocabulary, 5).encode(texts, names)
+    monkeypatch.setattr(piece_codec, "_TOGETHER", 11)
+    cut = piece_codec.Codec(vocabulary, 5).encode(texts, names)
+    assert [a.tolist() for a in whole] == [b.tolist() for b in cut]
+
+
 def test_packing_keeps_rules(spark, corpus):
     docs, texts = corpus
     out = packing.pack(docs, capacity=3000, shard_pieces=300).join(docs.select("doc_id", "source"), "doc_id").collect()
