@@ -11,6 +11,11 @@ square root of the number of vectors, so that a cell holds about the same number
 A pair can meet in two cells. The visit of the vector itself counts; a visit by the other one counts only where the vector
 doesn't visit in turn. Counts are therefore exact for what is found, without a list of pairs: what leaves a cell is a count
 and a spanning edge for each vector. Equal vectors are one with a number of copies.
+
+Vectors of different lengths never meet. Each length has cells of its own, and each with more than `EXACT` vectors, the most
+common one in any case, an index of its own; vectors of a rarer length are all compared, in blocks.
+
+A vector travels once to each cell that it visits, in the precision that it came in.
 """
 
 from __future__ import annotations
@@ -32,24 +37,44 @@ RECALL = 0.97
 OCCUPANCY = 400  # vectors in a cell, on average
 SAMPLE = 8_192  # vectors that codebooks and the number of visits are fitted on
 BLOCK = 2_048
+EXACT = 20_000  # vectors of a length that are compared without an index
 
 
-def _units(column: pd.Series) -> np.ndarray:
-    x = np.frombuffer(b"".join(column), dtype=np.float64).reshape(len(column), -1)
+def _units(keys: pd.Series, dim: int) -> np.ndarray:
+    """Unit vectors in doubles from the numbers of vectors of one length; the size of a key tells floats from doubles."""
+    data = b"".join(keys)
+    x = np.frombuffer(data, np.float32 if len(data) == 4 * dim * len(keys) else np.float64).astype(np.float64).reshape(len(keys), dim)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Map (vec_id, embedding) to (vec_id, key, dim): the doubles of a usable vector, null for others."""
-    for batch in batches:
-        keys, dims = [], []
-        for vector in batch["embedding"]:
-            x = None if vector is None else np.array([np.nan if v is None else v for v in vector], dtype=np.float64) + 0.0
-            # The length is taken without overflow or underflow of the squares.
-            usable = x is not None and len(x) and np.isfinite(x).all() and np.abs(x).max() > 0
-            keys.append((x / np.abs(x).max() if np.abs(x).max() > 1e150 or np.abs(x).max() < 1e-150 else x).tobytes() if usable else None)
-            dims.append(len(x) if usable else 0)
-        yield pd.DataFrame({"vec_id": batch["vec_id"], "key": keys, "dim": dims})
+def _kind(vectors: DataFrame) -> str:
+    """The type that embeddings are read as: floats stay floats."""
+    given = vectors.schema["embedding"].dataType.simpleString() if "embedding" in vectors.columns else ""
+    return given if given == "array<float>" else "array<double>"
+
+
+def _keys(column: pd.Series, kind: str) -> tuple[list[bytes | None], list[int]]:
+    """The numbers of each usable vector, null for others, and how many they are."""
+    keys, dims = [], []
+    for vector in column:
+        x = None if vector is None else np.asarray(vector, np.float32 if kind == "array<float>" else np.float64) + 0
+        usable = x is not None and len(x) and np.isfinite(x).all() and np.abs(x).max() > 0
+        if usable and x.dtype == np.float64 and not 1e-150 <= np.abs(x).max() <= 1e150:
+            x = x / np.abs(x).max()  # the squares of the length would overflow or vanish
+        keys.append(x.tobytes() if usable else None)
+        dims.append(len(x) if usable else 0)
+    return keys, dims
+
+
+def _keyed(kind: str):
+    """Map (vec_id, embedding) to (vec_id, key, dim)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            keys, dims = _keys(batch["embedding"], kind)
+            yield pd.DataFrame({"vec_id": batch["vec_id"], "key": keys, "dim": dims})
+
+    return run
 
 
 def codebook(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
@@ -106,48 +131,61 @@ def fit(sample: np.ndarray, vectors: int, threshold: float = THRESHOLD, recall:
     return index
 
 
-def _visits(index: Index, dim: int):
-    """Map (node, key, dim, copies) to one row for each visited cell."""
+def _visits(indexes: dict[int, Index]):
+    """Map (node, key, dim, copies) to the same rows with `cells`: the cells to visit, the own one first."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            own = batch[batch["dim"] == dim]
-            if len(own):
-                cells = index.cells(_units(own["key"]))
-                n = cells.shape[1]
-                flat = own.loc[own.index.repeat(n), ["node", "key", "dim", "copies"]].reset_index(drop=True)
-                at_home = np.tile(np.arange(n) == 0, len(own))
-                lists = np.empty(len(flat), object)
-                lists[at_home] = [row.astype(np.int32).tobytes() for row in cells]
-                yield flat.assign(cell=cells.reshape(-1), home=np.repeat(cells[:, 0], n), visits=lists)
-            # Vectors of another length are compared with all of their length.
-            rest = batch[batch["dim"] != dim]
-            if len(rest):
-                zero = np.zeros(1, np.int32).tobytes()
-                yield rest[["node", "key", "dim", "copies"]].assign(cell=0, home=0, visits=zero)
+            for dim, own in batch.groupby("dim"):
+                index = indexes.get(int(dim))
+                cells = np.zeros((len(own), 1), np.int64) if index is None else index.cells(_units(own["key"], int(dim)))
+                yield own.assign(cells=list(cells.astype(np.int64)))
 
     return run
 
 
+def _dealt(routed: DataFrame, most: int = BLOCK) -> DataFrame:
+    """One row for each block in which a vector is a guest or a resident (host) of a cell.
+
+    A cell with at most `most` guests and `most` hosts is one block, in which a resident is its own guest. The blocks of
+    guests and those of hosts of a more crowded cell meet each other once.
+    """
+    spread = routed.select("*", F.posexplode("cells").alias("nth", "cell"))
+    sizes = spread.groupBy("dim", "cell").agg(F.count("*").alias("guests"), F.sum((F.col("nth") == 0).cast("long")).alias("hosts"))
+    # A written table of the few cells that are empty or crowded: the planner sees how small it is.
+    special = materialise(sizes.filter((F.col("hosts") == 0) | (F.col("guests") > most) | (F.col("hosts") > most)), "cells")
+    resident = F.col("nth") == 0
+    n_i, n_j = (F.ceil(F.coalesce(c, F.lit(1)) / most).cast("int") for c in ("guests", "hosts"))
+    mine = lambda blocks: F.pmod(F.xxhash64("node"), blocks).cast("int")
+    place = lambda i, j, guest, host: F.struct(i.alias("i"), j.alias("j"), guest.alias("guest"), host.alias("resident"))
+    yes, no, zero = F.lit(True), F.lit(False), F.lit(0)
+    as_guest = F.transform(F.sequence(zero, n_j - 1), lambda j: place(mine(n_i), j, yes, no))
+    as_host = F.transform(F.sequence(zero, n_i - 1), lambda i: place(i, mine(n_j), no, yes))
+    places = F.when((n_i == 1) & (n_j == 1), F.array(place(zero, zero, yes, resident))).when(resident, F.concat(as_guest, as_host)).otherwise(as_guest)
+    rows = spread.join(special, ["dim", "cell"], "left").filter(F.coalesce("hosts", F.lit(1)) > 0)
+    return rows.select("node", "key", "dim", "copies", "cell", F.col("cells")[0].alias("home"), "cells", F.explode(places).alias("p")).select(
+        "node", "key", "dim", "copies", "cell", "home", F.when(F.col("p.resident"), F.col("cells")).alias("visits"), "p.*"
+    )
+
+
 def _links(threshold: float):
     """Map visitors and residents of cells, sorted by cell and block, to (node, root, links)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in _groups(batches, ["dim", "cell", "i", "j"], 2000):
-            for _, group in frame.groupby(["dim", "cell", "i", "j"], sort=False):
-                guests, hosts = group[~group["resident"]], group[group["resident"]]
+            for (dim, *_), group in frame.groupby(["dim", "cell", "i", "j"], sort=False):
+                guests, hosts = group[group["guest"]], group[group["resident"]]
                 if not len(guests) or not len(hosts):
                     continue
-                x, y = _units(guests["key"]), _units(hosts["key"])
+                x, y = _units(guests["key"], int(dim)), _units(hosts["key"], int(dim))
                 a, b = guests["node"].to_numpy(), hosts["node"].to_numpy()
                 linked = (x @ y.T >= threshold) & (a[:, None] != b[None, :])
                 left, right = np.nonzero(linked)
                 if not len(left):
                     continue
                 to_guest = linked @ hosts["copies"].to_numpy()
-                lists = [np.frombuffer(v, np.int32) for v in hosts["visits"]]
                 home = guests["home"].to_numpy()
-                returned = np.stack([np.isin(home, own) for own in lists], axis=1)
+                returned = np.stack([np.isin(home, own) for own in hosts["visits"]], axis=1)
                 to_host = guests["copies"].to_numpy() @ (linked & ~returned)
                 nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
                 forest = Forest(len(nodes))
@@ -171,35 +209,25 @@ def near_links(vectors: DataFrame, threshold: float = THRESHOLD, recall: float =
     """
     spark = vectors.sparkSession
     small_batches(spark)
+    kind = _kind(vectors)
     vec_id = with_type(vectors, "vec_id", "long")
-    embedding = with_type(vectors, "embedding", "array<double>")
-    base = vectors.select(vec_id.alias("vec_id"), embedding.alias("embedding"))
-    keyed = base.mapInPandas(_keys, "vec_id long, key binary, dim int").filter("key is not null")
+    base = vectors.select(vec_id.alias("vec_id"), with_type(vectors, "embedding", kind).alias("embedding"))
+    keyed = base.mapInPandas(_keyed(kind), "vec_id long, key binary, dim int").filter("key is not null")
     reps = keyed.groupBy("key", "dim").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
     reps = materialise(reps.withColumn("node", F.monotonically_increasing_id()), "vectors")
-    lengths = reps.groupBy("dim").count().orderBy(F.desc("count"), "dim").first()
-    if lengths is None:
-        own, found = 0, None
-    else:
-        own, n = lengths
-        if index is None:
-            picked = reps.filter(F.col("dim") == own).orderBy(F.xxhash64("key")).limit(SAMPLE).select("key").collect()
-            index = fit(_units(pd.Series([bytes(row.key) for row in picked])), n, threshold, recall)
-        rows = reps.select("node", "key", "dim", "copies").mapInPandas(
-            _visits(index, own), "node long, key binary, dim int, copies long, cell long, home long, visits binary"
-        )
-        rows = materialise(rows, "visits")
-        sizes = rows.groupBy("dim", "cell").agg(F.count("*").alias("guests"), F.count("visits").alias("hosts"))
-        rows = rows.join(sizes, ["dim", "cell"])
-        n_i, n_j = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("guests", "hosts"))
-        mine = lambda blocks: F.pmod(F.xxhash64("node"), blocks).cast("int")
-        as_guest = rows.filter("hosts > 0").select("dim", "cell", mine(n_i).alias("i"), F.explode(F.sequence(F.lit(0), n_j - 1)).alias("j"), F.lit(False).alias("resident"), "node", "key", "copies", "home", F.lit(None).cast("binary").alias("visits"))
-        as_host = rows.filter("visits is not null").select("dim", "cell", F.explode(F.sequence(F.lit(0), n_i - 1)).alias("i"), mine(n_j).alias("j"), F.lit(True).alias("resident"), "node", "key", "copies", "home", "visits")
-        # A block is read as one group: several tasks share a crowded cell, one task several small cells.
-        dealt = as_guest.unionByName(as_host).repartition("dim", "cell", "i", "j").sortWithinPartitions("dim", "cell", "i", "j")
-        found = materialise(dealt.mapInPandas(_links(threshold), "node long, root long, links long"), "links")
-    if found is None:
-        found = spark.createDataFrame([], "node long, root long, links long")
+    lengths = reps.groupBy("dim").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim")
+    indexes = {}
+    for dim, n in {*lengths.limit(1).collect(), *lengths.filter(F.col("n") > EXACT).collect()}:
+        if index is not None and dim == index.first.shape[1] + index.second.shape[1]:
+            indexes[dim] = index
+            continue
+        picked = reps.filter(F.col("dim") == dim).orderBy(F.xxhash64("key")).limit(SAMPLE).select("key").collect()
+        indexes[dim] = fit(_units(pd.Series([bytes(row.key) for row in picked]), dim), n, threshold, recall)
+    routed = reps.select("node", "key", "dim", "copies").mapInPandas(_visits(indexes), "node long, key binary, dim int, copies long, cells array<long>")
+    # A block is read as one group: several tasks share a crowded cell, one task several small cells.
+    block = ["dim", "cell", "i", "j"]
+    dealt = _dealt(materialise(routed, "visits")).repartition(*block).sortWithinPartitions(*block)
+    found = materialise(dealt.mapInPandas(_links(threshold), "node long, root long, links long"), "links")
     linked = components(found.select(F.col("node").alias("u"), F.col("root").alias("v")), "linked")
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
     placed = reps.join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -211,9 +239,9 @@ def near_links(vectors: DataFrame, threshold: float = THRESHOLD, recall: float =
     @F.pandas_udf("binary")
     def keys(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for series in batches:
-            yield next(_keys(iter([pd.DataFrame({"vec_id": 0, "embedding": series})])))["key"]
+            yield pd.Series(_keys(series, kind)[0], dtype=object)
 
-    rows = carried(vectors, ("vec_id", "long"), ("embedding", "array<double>"))
+    rows = carried(vectors, ("vec_id", "long"), ("embedding", kind))
     rows = rows.select("carried_row", "vec_id", keys(F.col("embedding")).alias("vector_key")).join(classes, "vector_key", "left")
     component = F.when(F.col("grouped"), F.col("component_id")).otherwise(F.col("vec_id"))
     return rows.withColumn("component_id", component).select(

@@ -398,6 +398,27 @@ def test_embedding_links_against_all_pairs(spark):
     assert np.mean([found[i].component_id == roots[i] for i in range(len(x))]) > 0.97
 
 
+@pytest.mark.parametrize("exact", [20_000, 50])
+def test_embeddings_of_several_lengths_and_crowded_cells(spark, monkeypatch, exact):
+    """Floats, two lengths, blocks of a few vectors: with all cells visited every link is counted once."""
+    monkeypatch.setattr(embedding_dedup, "EXACT", exact)
+    monkeypatch.setattr(embedding_dedup, "fit", lambda sample, n, *_: embedding_dedup.Index(sample[:3, : sample.shape[1] // 2], sample[:3, sample.shape[1] // 2 :], 9))
+    dealt = embedding_dedup._dealt
+    monkeypatch.setattr(embedding_dedup, "_dealt", lambda routed: dealt(routed, 7))
+    rng = np.random.default_rng(4)
+    rows = [row.astype(np.float32) for d, n in ((6, 160), (9, 90)) for row in rng.standard_normal((n // 8, d)).repeat(8, axis=0) + 0.2 * rng.standard_normal((n // 8 * 8, d))]
+    rows += [rows[0]] * 3
+    frame = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(rows)], "vec_id long, embedding array<float>")
+    want = np.zeros(len(rows), int)
+    for d in (6, 9):
+        at = [i for i, row in enumerate(rows) if len(row) == d]
+        x = np.array([rows[i] for i in at], float)
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        want[at] = (x @ x.T >= 0.9).sum(axis=1) - 1
+    found = {r.vec_id: r.n_links for r in embedding_dedup.near_links(frame).collect()}
+    assert [found[i] for i in range(len(rows))] == want.tolist()
+
+
 def test_index_visits_nearest_cells():
     rng = np.random.default_rng(2)
     x = rng.standard_normal((50, 8))
