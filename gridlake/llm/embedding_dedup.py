@@ -179,14 +179,17 @@ def _links(threshold: float):
                     continue
                 x, y = _units(guests["key"], int(dim)), _units(hosts["key"], int(dim))
                 a, b = guests["node"].to_numpy(), hosts["node"].to_numpy()
-                linked = (x @ y.T >= threshold) & (a[:, None] != b[None, :])
-                left, right = np.nonzero(linked)
+                left, right = np.nonzero(x @ y.T >= threshold)
+                differ = a[left] != b[right]
+                left, right = left[differ], right[differ]
                 if not len(left):
                     continue
-                to_guest = linked @ hosts["copies"].to_numpy()
-                home = guests["home"].to_numpy()
-                returned = np.stack([np.isin(home, own) for own in hosts["visits"]], axis=1)
-                to_host = guests["copies"].to_numpy() @ (linked & ~returned)
+                # Whether the host visits the guest's own cell in turn: asked once for each cell that guests come from.
+                homes, which = np.unique(guests["home"].to_numpy(), return_inverse=True)
+                lists = np.stack(hosts["visits"].to_list())
+                returned = np.stack([(lists == home).any(axis=1) for home in homes])[which[left], right]
+                to_guest = np.bincount(left, hosts["copies"].to_numpy()[right], len(a))
+                to_host = np.bincount(right, np.where(returned, 0, guests["copies"].to_numpy()[left]), len(b))
                 nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
                 forest = Forest(len(nodes))
                 forest.join(at[: len(a)][left], at[len(a) :][right])
