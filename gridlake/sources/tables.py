@@ -4,7 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, BinaryType, DataType, DecimalType, MapType, StringType, StructType, VariantType
+
+# What a sort holds for each row besides the row: its length, and its entry in an array that doubles when it is full.
+SORT_ENTRY = 52
+_VARYING = ArrayType | MapType | StructType | StringType | BinaryType | VariantType | DecimalType
 
 
 def read_table(
@@ -133,6 +137,31 @@ def checked_write(
     return counts
 
 
+def _value_bytes(value: Column, kind: DataType) -> Column:
+    """Bytes of a value in a row in memory, beyond the eight that each field takes."""
+    if isinstance(kind, StructType):
+        parts = [_value_bytes(value.getField(f.name), f.dataType) for f in kind.fields]
+        return sum(parts, F.lit(8 * (len(parts) + 1 + len(parts) // 64)).cast("long"))
+    if isinstance(kind, ArrayType):
+        inner = F.array_size(value).cast("long") * 8
+        if isinstance(kind.elementType, _VARYING):
+            inner = F.aggregate(value, inner, lambda total, x: total + _value_bytes(x, kind.elementType))
+        return F.coalesce(16 + inner, F.lit(0))
+    if isinstance(kind, MapType):
+        keys, values = F.map_keys(value), F.map_values(value)
+        return _value_bytes(keys, ArrayType(kind.keyType)) + _value_bytes(values, ArrayType(kind.valueType))
+    if isinstance(kind, StringType | BinaryType | VariantType):
+        text = value.cast("string") if isinstance(kind, VariantType) else value
+        return F.coalesce(F.octet_length(text) + 7, F.lit(0)).cast("long")
+    return F.lit(16 if isinstance(kind, DecimalType) and kind.precision > 18 else 0).cast("long")
+
+
+def sort_memory(table: DataFrame) -> int:
+    """Bytes that sorting all rows takes, as rows are held unpacked. One pass over the columns of varying width."""
+    row = _value_bytes(F.struct("*"), table.schema) + SORT_ENTRY
+    return table.agg(F.sum(row)).first()[0] or 0
+
+
 def compact_table(
     spark: SparkSession,
     source: str,
@@ -141,15 +170,18 @@ def compact_table(
     spread: str,
     partition_by: tuple[str, ...] = (),
     file_bytes: int = 256 << 20,
+    sort_bytes: int = 1 << 30,
 ) -> int:
     """Rewrite a table into files of about `file_bytes`, ordered by `cluster_by` so that min/max statistics prune.
 
+    A task sorts what it writes. Stored rows can be many times larger in memory, so there are also enough ranges
+    for each to be sorted in about `sort_bytes`; files of rows that compress well are then smaller than `file_bytes`.
     The range also covers a hash of `spread`: a single hot value of the cluster columns can then
     still be cut into several files. With `partition_by` the folders of the table are kept: they lead the
     range, so a file belongs to one folder or, at the edge of a range, to two. Returns the number of ranges.
     """
-    files = max(1, -(-folder_bytes(spark, source) // file_bytes))
     table = spark.read.option("mergeSchema", "true").parquet(source)
+    files = max(1, -(-folder_bytes(spark, source) // file_bytes), -(-sort_memory(table) // sort_bytes))
     columns = [F.col(c) for c in (*partition_by, *cluster_by)]
     ordered = table.repartitionByRange(files, *columns, F.xxhash64(spread)).sortWithinPartitions(*columns)
     writer = ordered.write.mode("overwrite").option("compression", "snappy").option("partitionOverwriteMode", "static")

@@ -155,6 +155,51 @@ def test_compaction_keeps_folders_and_sizes_files(spark, folder):
     assert all("/p=" in f for f in written) and spark.read.parquet(target).count() == 40_000
 
 
+def test_compaction_sorts_no_more_than_a_task_holds(spark, folder):
+    """Rows that take a few bytes on disk and 1.2 GB in memory: not one task for all of them."""
+    source, target = folder("packed"), folder("compacted")
+    spark.range(0, 24_000, 1, 8).selectExpr("id AS k", "repeat('x', 50000) AS v").write.parquet(source)
+    assert tables.folder_bytes(spark, source) < 10 << 20
+    assert tables.compact_table(spark, source, target, ("k",), "k") == 2
+    spans = rows(spark.read.parquet(target).groupBy(F.input_file_name()).agg(F.min("k").alias("a"), F.max("k").alias("b"), F.count("*").alias("n")), "a", "b", "n")
+    assert len(spans) == 2 and all(b - a + 1 == n < 18_000 for a, b, n in spans) and sum(n for _, _, n in spans) == 24_000
+
+
+@pytest.mark.parametrize("by", [()])
+def test_compaction_in_small_sorts_keeps_all_rows(spark, folder, by):
+    """Null and repeated keys, null folders, and nested columns come through, in order."""
+    source, target = folder("scattered"), folder("compacted")
+    df = spark.range(6000).selectExpr(
+        "nullif(id % 3, 2) AS p", "nullif(id % 50, 7) AS k", "cast(nullif(id % 2000, 9) AS string) AS v",
+        "CASE WHEN id % 5 > 0 THEN array(struct(id AS a, cast(id AS string) AS b), NULL) END AS l", "map('m', nullif(id % 2, 1)) AS m",
+        "CAST(id AS decimal(30,2)) AS `d.e`",
+    )
+    df.repartition(9).write.partitionBy(*by).parquet(source)
+    files = tables.compact_table(spark, source, target, ("k",), "v", partition_by=by, sort_bytes=200_000)
+    assert files == -(-tables.sort_memory(spark.read.parquet(source)) // 200_000) and files > 5
+    stored = spark.read.parquet(target)
+    texts = [F.to_json(F.struct(F.col("p").cast("long"), "k", "v", "l", "m", "`d.e`")).alias("t")]
+    before, after = df.select(*texts), stored.select(*texts)
+    assert stored.count() == 6000 and before.exceptAll(after).isEmpty() and after.exceptAll(before).isEmpty()
+    kept = [r.k for r in spark.read.parquet(stored.inputFiles()[0]).select("k").collect()]
+    assert kept == sorted(kept, key=lambda k: (k is not None, k))
+
+
+def test_sort_memory_counts_unpacked_values(spark):
+    def of(*expressions, n=1000):
+        return tables.sort_memory(spark.range(0, n, 1, 4).selectExpr(*expressions))
+
+    assert of("id", n=0) == 0
+    assert of("id") == 1000 * (tables.SORT_ENTRY + 16)
+    assert of("id", "CAST(NULL AS string) AS s") == of("id", "1 AS s") == 1000 * (tables.SORT_ENTRY + 24)
+    assert of("id", "repeat('ä', 500) AS s") >= 1000 * 1000
+    assert of("array_repeat(repeat('x', 100), 10) AS l") >= 1000 * 1000 > of("CAST(NULL AS array<string>) AS l")
+    assert of("array_repeat(id, 20) AS l") == 1000 * (tables.SORT_ENTRY + 16 + 16 + 160)
+    assert of("map(repeat('x', 500), repeat('y', 500)) AS m") >= 1000 * 1000
+    assert of("struct(array(struct(repeat('x', 1000) AS a)) AS b) AS s") >= 1000 * 1000
+    assert of("parse_json(concat('{\"a\":\"', repeat('x', 1000), '\"}')) AS j") >= 1000 * 1000
+
+
 def test_many_folders_make_a_flat_condition(spark):
     from gridlake.operators.merge import _one_of
 
