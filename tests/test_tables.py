@@ -165,7 +165,7 @@ def test_compaction_sorts_no_more_than_a_task_holds(spark, folder):
     assert len(spans) == 2 and all(b - a + 1 == n < 18_000 for a, b, n in spans) and sum(n for _, _, n in spans) == 24_000
 
 
-@pytest.mark.parametrize("by", [()])
+@pytest.mark.parametrize("by", [(), ("p",)])
 def test_compaction_in_small_sorts_keeps_all_rows(spark, folder, by):
     """Null and repeated keys, null folders, and nested columns come through, in order."""
     source, target = folder("scattered"), folder("compacted")
