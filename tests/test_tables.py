@@ -165,6 +165,19 @@ def test_compaction_sorts_no_more_than_a_task_holds(spark, folder):
     assert len(spans) == 2 and all(b - a + 1 == n < 18_000 for a, b, n in spans) and sum(n for _, _, n in spans) == 24_000
 
 
+def test_compaction_with_a_large_folder_sorts_no_more_than_a_task_holds(spark, folder):
+    """Most rows lie in one folder and all have one key: the folder is still cut, and each task holds about its share."""
+    source, target = folder("packed"), folder("compacted")
+    df = spark.range(0, 24_000, 1, 8).selectExpr("if(id % 8 = 0, 'a', 'b') AS p", "'hot' AS k", "id AS v", "repeat('x', 50000) AS t")
+    df.write.partitionBy("p").parquet(source)
+    assert tables.folder_bytes(spark, source) < 10 << 20
+    assert tables.compact_table(spark, source, target, ("k",), "v", partition_by=("p",)) == 2
+    stored = spark.read.parquet(target)
+    task = F.regexp_extract(F.input_file_name(), r"part-(\d+)", 1)
+    assert all(n < 18_000 for (n,) in rows(stored.groupBy(task).count(), "count"))
+    assert rows(stored.groupBy("p").agg(F.count_distinct("v").alias("n")), "p", "n") == [("a", 3_000), ("b", 21_000)]
+
+
 @pytest.mark.parametrize("by", [(), ("p",)])
 def test_compaction_in_small_sorts_keeps_all_rows(spark, folder, by):
     """Null and repeated keys, null folders, and nested columns come through, in order."""
